@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.functions import amount, date_key, divide, ym
+from martloom.functions import AMOUNT, date_key, ym
 from martloom.rules import Rules
 
 AS_OF = date(2001, 8, 1)
@@ -30,56 +31,70 @@ CHANNELS = {
 }
 
 
-def _map(value: Column, mapping: dict[str, str], other: str | None = None) -> Column:
-    out = F.lit(other)
-    for key, text in mapping.items():
-        out = F.when(value == key, text).otherwise(out)
-    return out
+_YM = "CAST(year(o_orderdate) * 100 + month(o_orderdate) AS STRING)"
+_DATE_KEY = "CAST(year(BillingDate) * 10000 + month(BillingDate) * 100 + day(BillingDate) AS STRING)"
 
 
 def _text(value: Column | str) -> Column:
     return (F.col(value) if isinstance(value, str) else value).cast("string")
 
 
+def once(view):
+    """Build each view once per ``Roles``, so plans share it and Spark can reuse exchanges."""
+    @functools.wraps(view)
+    def built(self, *args):
+        key = (view.__name__, *args)
+        if key not in self._built:
+            self._built[key] = view(self, *args)
+        return self._built[key]
+    return built
+
+
 class Roles:
     """Lazy role views; ``since`` bounds the order date where a job's window allows."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
+        self._built: dict[tuple, DataFrame] = {}
 
+    @once
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        if name != "lineitem":
+            return table
+        # A small test file is one split and would keep every core but one idle. A table
+        # stored in at least as many splits as there are cores is left as it is.
+        cores = self.spark.sparkContext.defaultParallelism
+        return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores, "l_orderkey")
 
     # -- dimensions ---------------------------------------------------------------
 
+    @once
     def material(self) -> DataFrame:
-        size = F.col("p_size")
-        return self.raw("part").select(
-            _text("p_partkey").alias("Material"), F.col("p_name").alias("BasicMaterial"),
-            F.col("p_brand").alias("BrandDesc"), F.col("p_brand").alias("BrandDescription"),
-            F.col("p_type").alias("MatType1"),
-            F.when(F.col("p_type") == "PROMO", "Z99").otherwise("Z31").alias("MaterialType"),
-            F.when(size <= 40, 1).otherwise(3).alias("MatType1Id"),
-            _map(_text(F.col("p_partkey") % 3), {"0": "NR", "1": "RB", "2": "CN"}).alias("PackagingType"),
-            F.when(F.col("p_type") == "LARGE", "PostMix").otherwise("").alias("GroupPostMix"),
-            amount(size * 10).alias("Millilitre"), amount(size).alias("CubeConvert"),
+        return self.raw("part").selectExpr(
+            "CAST(p_partkey AS STRING) AS Material", "p_name AS BasicMaterial", "p_brand AS BrandDesc",
+            "p_brand AS BrandDescription", "p_type AS MatType1", "IF(p_type = 'PROMO', 'Z99', 'Z31') AS MaterialType",
+            "IF(p_size <= 40, 1, 3) AS MatType1Id",
+            "CASE p_partkey % 3 WHEN 0 THEN 'NR' WHEN 1 THEN 'RB' ELSE 'CN' END AS PackagingType",
+            "IF(p_type = 'LARGE', 'PostMix', '') AS GroupPostMix",
+            f"CAST(p_size * 10 AS {AMOUNT}) AS Millilitre", f"CAST(p_size AS {AMOUNT}) AS CubeConvert",
         )
 
+    @once
     def customer(self) -> DataFrame:
-        key = F.col("c_custkey")
-        return self.raw("customer").select(
-            F.lit(1).alias("HANAFlag"), _text(key).alias("Customer"), F.col("c_name").alias("CustomerDesc"),
-            _text(F.col("c_nationkey") + 120).alias("CustGrp1"),
-            _map(_text(key % 3), {"0": "", "1": "Other", "2": "Special"}).alias("SpecialGrp1"),
-            F.when(key % 10 == 0, "Other").otherwise("Customer store").alias("CustType"),
+        return self.raw("customer").selectExpr(
+            "1 AS HANAFlag", "CAST(c_custkey AS STRING) AS Customer", "c_name AS CustomerDesc",
+            "CAST(c_nationkey + 120 AS STRING) AS CustGrp1",
+            "CASE c_custkey % 3 WHEN 0 THEN '' WHEN 1 THEN 'Other' ELSE 'Special' END AS SpecialGrp1",
+            "IF(c_custkey % 10 = 0, 'Other', 'Customer store') AS CustType",
         )
 
+    @once
     def group(self) -> DataFrame:
-        shops = {"0": "FSR", "1": "Provision", "2": "Other", "3": "CVM", "4": "Employee"}
-        return self.raw("nation").select(
-            (F.col("n_nationkey") + 120).alias("CustGrp"), F.col("n_name").alias("CustGrpDesc"),
-            F.concat_ws(" - ", _text("n_nationkey"), "n_name").alias("CustGrpDescription"),
-            _map(_text("n_regionkey"), shops).alias("ShopType"),
+        return self.raw("nation").selectExpr(
+            "n_nationkey + 120 AS CustGrp", "n_name AS CustGrpDesc",
+            "CASE n_regionkey WHEN 0 THEN 'FSR' WHEN 1 THEN 'Provision' WHEN 2 THEN 'Other' WHEN 3 THEN 'CVM'"
+            " ELSE 'Employee' END AS ShopType",
         )
 
     def _values(self, columns: str, rows: list[tuple[str, ...]]) -> DataFrame:
@@ -87,16 +102,20 @@ class Roles:
         body = ", ".join("(" + ", ".join(f"'{v}'" for v in row) + ")" for row in rows)
         return self.spark.sql(f"SELECT * FROM VALUES {body} AS t({columns})")
 
+    @once
     def channel(self) -> DataFrame:
         return self._values("ChannelMarge, SalesOfficeDesc", list(CHANNELS.items()))
 
+    @once
     def config(self) -> DataFrame:
         offices = CHANNELS.values()
         return self._values("Value1, Value2", [(o, "Post-Mix" if o == "Post-Mix" else "Normal") for o in offices])
 
+    @once
     def reason(self) -> DataFrame:
         return self._values("ReasonCode, ReasonName", [("", "sale"), ("101", "exchange"), ("601", "cancel")])
 
+    @once
     def route(self) -> DataFrame:
         return self.raw("supplier").select(
             _text("s_suppkey").alias("Route"),
@@ -104,6 +123,7 @@ class Roles:
             _text("s_nationkey").alias("BranchVL"),
         )
 
+    @once
     def location(self) -> DataFrame:
         return self.raw("nation").select(
             _text("n_nationkey").alias("BranchCode"),
@@ -117,48 +137,50 @@ class Roles:
         orders = self.raw("orders")
         return orders if since is None else orders.filter(F.col("o_orderdate") >= F.lit(since))
 
+    @once
     def stage_invoice(self, since: date | None = None) -> DataFrame:
         """Invoice lines as staged: no case quantities yet."""
-        price = F.col("l_extendedprice").cast("decimal(12,2)")
-        discount = F.col("l_discount").cast("decimal(4,2)")
-        net = amount(price * (1 - discount))
-        vat = amount(net * F.col("l_tax").cast("decimal(4,2)"))
         orders = self.orders(since).select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
         segment = self.raw("customer").select("c_custkey", "c_mktsegment")
         branch = self.raw("supplier").select("s_suppkey", "s_nationkey")
-        reasons = {"5-LOW": "601", "4-NOT SPECIFIED": "101"}
-        lines = self.raw("lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
-            segment, F.col("o_custkey") == F.col("c_custkey")
-        ).join(branch, F.col("l_suppkey") == F.col("s_suppkey"))
-        nothing = F.lit(None).cast("string")
-        return lines.select(
-            _text("s_nationkey").alias("Branch"), ym(F.col("o_orderdate")).alias("YM"),
-            F.col("o_orderdate").alias("BillingDate"), _text("l_suppkey").alias("Route"),
-            nothing.alias("Channel"), nothing.alias("ChannelVSMS"), F.col("c_mktsegment").alias("ChannelMarge"),
-            nothing.alias("SalesOffice"),
-            F.when(F.col("l_returnflag") == "R", "CN").otherwise("TaxInv").alias("BType"),
-            _text(F.col("l_suppkey") % 7).alias("Salesman"), _text("o_custkey").alias("Customer"),
-            _text("o_orderkey").alias("Documents"), _text("l_partkey").alias("Material"),
-            amount(F.col("l_quantity") * 2).alias("SoldSingle"), amount(F.col("l_quantity")).alias("SoldBaseQty"),
-            amount(F.col("l_linenumber") * 2).alias("FreeSingle"), amount(F.col("l_linenumber")).alias("FreeBaseQty"),
-            net.alias("NetItemAmt"), vat.alias("VatAmt"), amount(net + vat).alias("TotalAmt"),
-            amount(price * discount).alias("Discount"), _text("o_custkey").alias("SoldTo"),
-            _text("o_custkey").alias("BillTo"), _text("o_custkey").alias("Payer"), _text("o_custkey").alias("ShipTo"),
-            F.col("l_linestatus").alias("DataSource"), nothing.alias("PromotionCode"),
-            _map(F.col("o_orderpriority"), reasons, "").alias("ReasonCode"),
-            _text("o_orderkey").alias("DOCUMENT_NUMBER"), _text("l_suppkey").alias("VL"),
-            F.col("l_shipdate").alias("ETLLoadData"), F.col("l_returnflag").alias("_flag"),
+        lines = (
+            self.raw("lineitem").join(orders, F.expr("l_orderkey = o_orderkey"))
+            .join(segment, F.expr("o_custkey = c_custkey")).join(branch, F.expr("l_suppkey = s_suppkey"))
+        )
+        priced = lines.selectExpr(
+            "*", "CAST(l_extendedprice AS DECIMAL(12,2)) AS _price", "CAST(l_discount AS DECIMAL(4,2)) AS _disc"
+        ).selectExpr("*", f"CAST(_price * (1 - _disc) AS {AMOUNT}) AS _net").selectExpr(
+            "*", f"CAST(_net * CAST(l_tax AS DECIMAL(4,2)) AS {AMOUNT}) AS _vat"
+        )
+        return priced.selectExpr(
+            "CAST(s_nationkey AS STRING) AS Branch", f"{_YM} AS YM", "o_orderdate AS BillingDate",
+            "CAST(l_suppkey AS STRING) AS Route", "CAST(NULL AS STRING) AS Channel",
+            "CAST(NULL AS STRING) AS ChannelVSMS", "c_mktsegment AS ChannelMarge",
+            "CAST(NULL AS STRING) AS SalesOffice", "IF(l_returnflag = 'R', 'CN', 'TaxInv') AS BType",
+            "CAST(l_suppkey % 7 AS STRING) AS Salesman", "CAST(o_custkey AS STRING) AS Customer",
+            "CAST(o_orderkey AS STRING) AS Documents", "CAST(l_partkey AS STRING) AS Material",
+            f"CAST(l_quantity * 2 AS {AMOUNT}) AS SoldSingle", f"CAST(l_quantity AS {AMOUNT}) AS SoldBaseQty",
+            f"CAST(l_linenumber * 2 AS {AMOUNT}) AS FreeSingle", f"CAST(l_linenumber AS {AMOUNT}) AS FreeBaseQty",
+            "_net AS NetItemAmt", "_vat AS VatAmt", f"CAST(_net + _vat AS {AMOUNT}) AS TotalAmt",
+            f"CAST(_price * _disc AS {AMOUNT}) AS Discount", "CAST(o_custkey AS STRING) AS SoldTo",
+            "CAST(o_custkey AS STRING) AS BillTo", "CAST(o_custkey AS STRING) AS Payer",
+            "CAST(o_custkey AS STRING) AS ShipTo", "l_linestatus AS DataSource", "CAST(NULL AS STRING) AS PromotionCode",
+            "CASE o_orderpriority WHEN '5-LOW' THEN '601' WHEN '4-NOT SPECIFIED' THEN '101' ELSE '' END AS ReasonCode",
+            "CAST(o_orderkey AS STRING) AS DOCUMENT_NUMBER", "CAST(l_suppkey AS STRING) AS VL",
+            "l_shipdate AS ETLLoadData", "l_returnflag AS _flag",
         )
 
+    @once
     def invoice(self, since: date | None = None) -> DataFrame:
         """The loaded invoice fact: staged lines with cases by pack size."""
-        pack = self.raw("part").select(_text("p_partkey").alias("Material"), amount(F.col("p_size")).alias("_pack"))
-        return self.stage_invoice(since).join(pack, "Material").select(
-            "*", F.lit(1).alias("HANAFlag"), date_key(F.col("BillingDate")).alias("DateKey"),
-            amount(divide(F.col("SoldBaseQty"), F.col("_pack"))).alias("SoldCase"),
-            amount(divide(F.col("FreeBaseQty"), F.col("_pack"))).alias("FreeCase"),
+        pack = self.raw("part").selectExpr(
+            "CAST(p_partkey AS STRING) AS Material", f"CAST(p_size AS {AMOUNT}) AS _pack")
+        return self.stage_invoice(since).join(pack, "Material").selectExpr(
+            "*", "1 AS HANAFlag", f"{_DATE_KEY} AS DateKey",
+            f"CAST(SoldBaseQty / _pack AS {AMOUNT}) AS SoldCase", f"CAST(FreeBaseQty / _pack AS {AMOUNT}) AS FreeCase",
         )
 
+    @once
     def plan(self, since: date | None = None) -> DataFrame:
         """Customers on a route plan: every key with a line that was not accepted outright."""
         kept = self.stage_invoice(since).filter(F.col("_flag") != "A")
@@ -171,35 +193,37 @@ class Roles:
             F.col("Customer").alias("SellToCustomer"), F.col("FirstActiveBillingDate").alias("ETLLoadData"),
         )
 
+    @once
     def planned_visits(self) -> DataFrame:
         orders = self.raw("orders").select("o_orderkey", "o_custkey", "o_orderdate")
-        return self._visits(orders, F.col("o_orderdate"), "AssignedDate")
+        return self._visits(orders, "o_orderdate", "AssignedDate")
 
+    @once
     def actual_visits(self) -> DataFrame:
         orders = self.raw("orders").select("o_orderkey", "o_custkey")
-        return self._visits(orders, F.col("l_shipdate"), "VisitDate")
+        return self._visits(orders, "l_shipdate", "VisitDate")
 
-    def _visits(self, orders: DataFrame, day: Column, name: str) -> DataFrame:
+    def _visits(self, orders: DataFrame, day: str, name: str) -> DataFrame:
         lines = self.raw("lineitem").select("l_orderkey", "l_suppkey", "l_shipdate")
         branch = self.raw("supplier").select("s_suppkey", "s_nationkey")
-        return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
-            branch, F.col("l_suppkey") == F.col("s_suppkey")
-        ).select(
-            _text("s_nationkey").alias("Branch"), _text("l_suppkey").alias("Route"),
-            _text(F.col("l_suppkey") % 7).alias("Salesman"), _text("o_custkey").alias("Customer"),
-            day.alias(name), day.alias("ETLLoadData"),
+        return lines.join(orders, F.expr("l_orderkey = o_orderkey")).join(
+            branch, F.expr("l_suppkey = s_suppkey")
+        ).selectExpr(
+            "CAST(s_nationkey AS STRING) AS Branch", "CAST(l_suppkey AS STRING) AS Route",
+            "CAST(l_suppkey % 7 AS STRING) AS Salesman", "CAST(o_custkey AS STRING) AS Customer",
+            f"{day} AS {name}", f"{day} AS ETLLoadData",
         )
 
+    @once
     def stage_asset(self) -> DataFrame:
-        cooler = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
-        nothing = F.lit(None).cast("string")
-        return self.raw("orders").select(
-            ym(F.col("o_orderdate")).alias("YM"), _text(F.col("o_custkey") % 25).alias("BranchByAsset"),
-            _text("o_custkey").alias("Customer"), F.when(cooler, "cooler").otherwise("rack").alias("AssetType"),
-            F.col("o_orderpriority").alias("AssetSubType"), F.col("o_orderstatus").alias("AssetStatus"),
-            _text(F.col("o_custkey") % 2).alias("ActiveStatus"), nothing.alias("AssetQRCode"),
-            _text("o_orderkey").alias("AssetCode"), nothing.alias("AssetDesc"), nothing.alias("AssetEquipmentNo"),
-            nothing.alias("AssetSerialNo"), F.col("o_orderdate").alias("ETLLoadData"),
+        return self.raw("orders").selectExpr(
+            f"{_YM} AS YM", "CAST(o_custkey % 25 AS STRING) AS BranchByAsset", "CAST(o_custkey AS STRING) AS Customer",
+            "IF(o_orderpriority IN ('1-URGENT', '2-HIGH'), 'cooler', 'rack') AS AssetType",
+            "o_orderpriority AS AssetSubType", "o_orderstatus AS AssetStatus",
+            "CAST(o_custkey % 2 AS STRING) AS ActiveStatus", "CAST(NULL AS STRING) AS AssetQRCode",
+            "CAST(o_orderkey AS STRING) AS AssetCode", "CAST(NULL AS STRING) AS AssetDesc",
+            "CAST(NULL AS STRING) AS AssetEquipmentNo", "CAST(NULL AS STRING) AS AssetSerialNo",
+            "o_orderdate AS ETLLoadData",
         )
 
     # -- landings and dimension stages ---------------------------------------------

@@ -64,9 +64,11 @@ def scorecard(
     placed = shops.filter(F.col("ShopType").isin(*rules.cooler_shops)).select(
         F.col("Customer").alias("CustomerCode")
     ).distinct()
-    cooler_keys = coolers.join(placed, "CustomerCode", "left_semi").select(
-        "DateKey", "BranchCode", F.coalesce("RouteCode", F.lit("")).alias("RouteCode"), F.lit(1).alias("_spine")
-    )
+    # Distinct first: only the keys of the cooler table are used, so when it is computed in
+    # the same plan Spark can drop the sales and sub-type lookups behind it.
+    cooler_keys = coolers.select(
+        "DateKey", "BranchCode", F.coalesce("RouteCode", F.lit("")).alias("RouteCode"), "CustomerCode"
+    ).distinct().join(placed, "CustomerCode", "left_semi").select(*KEYS, F.lit(1).alias("_spine"))
     sources = [
         per_brand.withColumn("_spine", F.lit(1)),
         sold_bills,

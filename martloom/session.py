@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Month and day keys are text; a partition directory must not turn them into numbers.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # Recording the Python call site of every expression costs more than building the plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
 }
