@@ -88,9 +88,12 @@ VIEWS = {
 }
 
 
-def with_views(body: str, extra: dict[str, str] | None = None) -> str:
-    """Prefix a statement with the views it uses, directly or through other views."""
-    views = VIEWS | (extra or {})
+def with_views(body: str, extra: dict[str, str] | None = None, base: dict[str, str] | None = None) -> str:
+    """Prefix a statement with the views it uses, directly or through other views.
+
+    ``base={}`` leaves the role views out, for a database that holds them as tables.
+    """
+    views = (VIEWS if base is None else base) | (extra or {})
     needed: list[str] = []
 
     def visit(sql: str) -> None:
@@ -305,7 +308,7 @@ _TO_OUTLETS = """
       AND CustGrp NOT IN (-2, 131) AND CustType = 'Customer store'"""
 
 
-def scorecard_sql(parity: bool) -> str:
+def scorecard_sql(parity: bool, base: dict[str, str] | None = None) -> str:
     mix = "CASE WHEN PostMixFlag = 'Post-Mix' THEN 1 ELSE 0 END"
     flag = f"{mix} AS PostMixFlag" if parity else f"max({mix}) AS PostMixFlag"
     group = f"GROUP BY DateKey, BranchCode, RouteCode{', ' + mix if parity else ''}"
@@ -337,7 +340,7 @@ def scorecard_sql(parity: bool) -> str:
     FROM s_keys k LEFT JOIN s_volume v ON {on.format('v')} LEFT JOIN s_visits c ON {on.format('c')}
     LEFT JOIN s_bills b ON {on.format('b')} LEFT JOIN s_outlets o ON {on.format('o')}
     GROUP BY k.DateKey, k.BranchCode, k.RouteCode"""
-    return with_views(body, views)
+    return with_views(body, views, base)
 
 
 # -- facts, targets, dimensions ----------------------------------------------------------
