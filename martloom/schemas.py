@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-from martloom.functions.numbers import AMOUNT
-
 _TYPES = {
-    "s": "string", "i": "int", "l": "bigint", "d": AMOUNT, "f": "double", "D": "date", "T": "timestamp",
+    "s": T.StringType(), "i": T.IntegerType(), "l": T.LongType(), "d": T.DecimalType(18, 4), "f": T.DoubleType(),
+    "D": T.DateType(), "T": T.TimestampType(),
 }
 
 # Column names and order of the mart tables.
@@ -93,6 +92,4 @@ def columns(table: str) -> list[str]:
 def schema(table: str, text_only: bool = False) -> T.StructType:
     """Declared schema; ``text_only`` reads every cell as text, for landings."""
     pairs = [item.split() for item in TABLES[table].split(",")]
-    return T.StructType.fromDDL(
-        ", ".join(f"`{name}` {'string' if text_only else _TYPES[kind]}" for name, kind in pairs)
-    )
+    return T.StructType([T.StructField(name, T.StringType() if text_only else _TYPES[kind]) for name, kind in pairs])
