@@ -1,9 +1,9 @@
 from martloom.operators.geo import assign_region, boundary_cells
-from martloom.operators.joins import matched_flag, month_latest, or_join
+from martloom.operators.joins import matched_flag, month_latest, or_join, small_side
 from martloom.operators.replace import replace_keys, replace_window
 from martloom.operators.recon import recon
 
 __all__ = [
     "assign_region", "boundary_cells", "matched_flag", "month_latest", "or_join", "recon",
-    "replace_keys", "replace_window",
+    "replace_keys", "replace_window", "small_side",
 ]

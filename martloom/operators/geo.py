@@ -90,8 +90,9 @@ def assign_region(
     """Left join every point to the region that contains it.
 
     ``edges="closed"`` also matches a point lying on a border to each region that shares
-    it. Spark broadcasts the cell index when its measured size allows; otherwise the join
-    shuffles by cell, and ``salts`` spreads a crowded cell over that many tasks.
+    it. The cell index is shuffled once, so adaptive execution knows its real size before it
+    chooses: a small index is broadcast, a large one joins by cell. Then ``salts`` spreads a
+    crowded cell over that many tasks.
     """
     index = boundary_cells(boundary, cell, key).withColumnRenamed(key, "_region")
     px, py = F.col(x), F.col(y)
@@ -103,7 +104,7 @@ def assign_region(
         (spread if salts > 1 else F.lit(0)).alias("_salt"),
     )
     slots = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))) if salts > 1 else F.lit(0)
-    index = index.withColumn("_slot", slots)
+    index = index.withColumn("_slot", slots).repartition("cx", "cy", "_slot")
     hit = _inside(px, py, F.col("edges"))
     if edges == "closed":
         hit = hit | _on_edge(px, py, F.col("edges"))

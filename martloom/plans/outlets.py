@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions import concat_blank, month_window, next_month
+from martloom.operators.joins import small_side
 from martloom.plans.common import channel_flags, customer_shops, outlet_customers, sold_materials
 from martloom.rules import DEFAULT_RULES, Rules
 
@@ -40,7 +41,7 @@ def _sold(
     sales = (
         invoice.filter(F.col("BType") == rules.tax_bill)
         .join(reason.filter(F.col("ReasonCode") == rules.sale_reason).select("ReasonCode"), "ReasonCode")
-        .join(flags.select("ChannelMarge", "PostMixFlag").distinct(), "ChannelMarge")
+        .join(small_side(flags.select("ChannelMarge", "PostMixFlag").distinct()), "ChannelMarge")
         .join(sold_materials(material, rules).select("Material", "BrandDesc", "PackagingType"), "Material")
         .select(
             "YM", "HANAFlag", "Customer", "Branch", "VL", "BrandDesc", "PackagingType",

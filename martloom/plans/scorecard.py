@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martloom.operators.joins import small_side
 from martloom.plans.common import channel_flags, customer_shops, outlet_customers
 from martloom.rules import DEFAULT_RULES, Rules
 
@@ -54,7 +55,7 @@ def scorecard(
     repeats the visits, bills and outlets once per volume row, as a join to the
     uncollapsed volume does; the default counts them once.
     """
-    flags = channel_flags(channel, config)
+    flags = small_side(channel_flags(channel, config))
     per_brand = _brand_volume(volume, flags, customer, group, rules)
     sold_bills = _sold_to_outlets(bills, flags, customer, group, rules).select(
         *KEYS, (F.col("NoOfBill") - F.col("NoOfBillCN")).alias("NoOfBill"),

@@ -40,7 +40,9 @@ def volume_by_brand(
     days = last_billing_days(invoice) if last_days is None else last_days
     lines = sale_lines(
         invoice, reason, material, as_of, months, rules, ["BasicMaterial", "BrandDesc", "MatType1"]
-    ).join(days, F.col("DateKey") == F.col("LastDay"), "left")
+    # One row per month of history, whatever the size of the fact: safe to broadcast. Spark
+    # would estimate it as large as the fact and shuffle the lines by day instead.
+    ).join(F.broadcast(days), F.col("DateKey") == F.col("LastDay"), "left")
 
     def on_last_day(measure: str):
         return F.when(F.col("LastDay").isNotNull(), F.col(measure)).otherwise(F.lit(0))
