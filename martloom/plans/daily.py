@@ -1,20 +1,94 @@
-"""The aggregate refresh in dependency order, each table with its replace scope."""
+"""The nightly loads in dependency order, each table with its replace scope.
+
+``stage`` and ``sheet`` are functions from a table name to its staged or landed frame.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 
-from martloom.plans import assets, outlets, scorecard, visits, volume
+from martloom.plans import assets, dims, facts, outlets, scorecard, visits, volume
 from martloom.rules import DEFAULT_RULES, Rules
-from martloom.sinks.store import Mart, window_month, with_month
+from martloom.sinks.store import Mart, window_month, with_load_day, with_month
+from martloom.sources.landing import has_rows
 
 Tables = Callable[[str], DataFrame]
 
 
+COPIED = [
+    "DimChannel", "DimCustGrp1", "DimCustGrpSap", "DimPromotion", "DimReason", "DimMaterial", "DimMaterialOld",
+    "DimCustomerOld",
+]
+# fact -> days of load stamps replaced every night
+FACT_DAYS = {"FactAllDataInvoice": 5, "FactVisitList": 1, "FactActualVisit": 1, "FactDataAsset": 1}
+BRANCH_TARGETS = ["FactAOP", "FactAOPDM", "FactAOPNDDM", "FactAOPRoute", "FactAOPNDRoute"]
+MANAGER_TARGETS = ["FactAOPTDM", "FactAOPNDTDM"]
+
+
+def load_dimensions(mart: Mart, stage: Tables, sheet: Tables, boundary: DataFrame, *, cell: float = 0.25) -> dict[str, int]:
+    """Full refresh of the dimensions, and of route staff for the months of the route sheet."""
+    built = {name: dims.copy_table(stage(name), name) for name in COPIED}
+    built |= {
+        "DimCustomer": dims.customers(stage("DimCustomerOld"), stage("DimCustomer"), boundary, cell=cell),
+        "DimLocation": dims.locations(stage("DimLocation"), sheet("DimLocation"), boundary, cell=cell),
+        "DimRoute": dims.routes(sheet("DimRoute"), stage("DimRoute")),
+        "DimSalesman": dims.salesmen(sheet("DimSalesman"), stage("DimSalesman")),
+        "DimBillingDate": dims.billing_calendar(stage("DimBillingDate"), sheet("DimBillingDate")),
+    }
+    written = {name: mart.overwrite(name, dims.stamped(df)) for name, df in built.items()}
+    people = dims.route_salesmen(sheet("DimRoute"), stage("DimRoute"))
+    written["FactRouteSalesman"] = mart.replace_partitions("FactRouteSalesman", dims.stamped(people), "YM")
+    return written
+
+
+def load_facts(
+    mart: Mart, stage: Tables, as_of: date, *, full: bool = False, visits_since: str = "202110"
+) -> dict[str, int]:
+    """Replace the last load days of every fact; ``full`` loads all history once.
+
+    Facts are partitioned by load day, the scope of their replace. Rows are sorted by month
+    inside a file, so a month window skips row groups.
+    """
+    def days(table: str) -> int | None:
+        return None if full else FACT_DAYS[table]
+
+    plan = facts.customer_plan(stage("FactCustPerMonPlan"))
+    built = {
+        "FactAllDataInvoice": facts.invoices(
+            stage("FactAllDataInvoice"), mart.read("DimMaterial"), as_of=as_of, days=days("FactAllDataInvoice")),
+        "FactVisitList": facts.visit_list(stage("FactVisitList"), as_of=as_of, days=days("FactVisitList")),
+        "FactActualVisit": (
+            facts.actual_visits_full(stage("FactActualVisit"), since=visits_since) if full
+            else facts.actual_visits(stage("FactActualVisit"), as_of=as_of)),
+        "FactDataAsset": facts.assets(stage("FactDataAsset"), plan, as_of=as_of, days=days("FactDataAsset")),
+    }
+    written = {"FactCustPerMonPlan": mart.overwrite("FactCustPerMonPlan", dims.stamped(plan))}
+    for table, df in built.items():
+        rows = with_load_day(dims.stamped(df))
+        sort = ("YM",) if "YM" in df.columns else ()
+        if full:
+            written[table] = mart.overwrite(table, rows, "etl_date", sort)
+        else:
+            since = (as_of - timedelta(days=FACT_DAYS[table])).isoformat()
+            written[table] = mart.replace_window(table, rows, "etl_date", since, sort)
+    return written
+
+
+def load_targets(mart: Mart, sheet: Tables) -> dict[str, int]:
+    """Targets: months in a landing replace the stored months. Empty landings change nothing."""
+    written = {}
+    for table in BRANCH_TARGETS + MANAGER_TARGETS:
+        landing = sheet(table)
+        if has_rows(landing):
+            rows = facts.manager_targets(landing, table) if table in MANAGER_TARGETS else facts.targets(landing, table)
+            written[table] = mart.replace_partitions(table, dims.stamped(rows), "YM")
+    return written
+
+
 @dataclass(frozen=True)
 class Step:
     table: str
@@ -58,10 +132,10 @@ def refresh_aggregates(
         if only is not None and step.table not in only:
             continue
         rows = with_month(step.build(mart.read, as_of, rules))
+        sort = ("BranchCode", "RouteCode")
         if step.months is None:
-            written[step.table] = mart.overwrite(step.table, rows, "ym")
+            written[step.table] = mart.overwrite(step.table, rows, "ym", sort)
         else:
-            written[step.table] = mart.replace_window(
-                step.table, rows, "ym", window_month(as_of, step.months)
-            )
+            since = window_month(as_of, step.months)
+            written[step.table] = mart.replace_window(step.table, rows, "ym", since, sort)
     return written

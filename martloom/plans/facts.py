@@ -35,8 +35,9 @@ def invoices(
     ])
 
 
-def visit_list(stage: DataFrame, *, as_of: date | None = None, days: int = 1) -> DataFrame:
-    return stage.filter(day_window(F.col("ETLLoadData"), as_of, days)).select(*schemas.columns("FactVisitList"))
+def visit_list(stage: DataFrame, *, as_of: date | None = None, days: int | None = 1) -> DataFrame:
+    fresh = stage if days is None else stage.filter(day_window(F.col("ETLLoadData"), as_of, days))
+    return fresh.select(*schemas.columns("FactVisitList"))
 
 
 def actual_visits(stage: DataFrame, *, as_of: date | None = None, days: int = 1) -> DataFrame:
@@ -60,9 +61,14 @@ def customer_plan(stage: DataFrame) -> DataFrame:
     return stage.select(*schemas.columns("FactCustPerMonPlan"))
 
 
-def targets(landing: DataFrame, table: str) -> DataFrame:
-    """Branch or route targets of a landing, with declared types."""
-    return enforce_schema(landing, schemas.schema(table))
+def targets(landing: DataFrame, table: str, keep_stamp: bool = False) -> DataFrame:
+    """Branch or route targets of a landing, with declared types.
+
+    ``keep_stamp`` carries the landing's load time over to the target.
+    """
+    if not keep_stamp:
+        return enforce_schema(landing, schemas.schema(table))
+    return enforce_schema(landing, schemas.schema(table).add("PYLoadDate", "timestamp"))
 
 
 def manager_targets(sheets: DataFrame | list[DataFrame], table: str = "FactAOPTDM") -> DataFrame:

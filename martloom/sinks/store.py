@@ -50,21 +50,29 @@ class Mart:
         (writer.partitionBy(partition) if partition else writer).parquet(path)
         return seen.get["rows"]
 
-    def _clustered(self, df: DataFrame, partition: str | None) -> DataFrame:
-        """Few files per partition: rebalance by it, letting Spark split the large ones."""
-        return df.hint("rebalance", F.col(partition)) if partition else df
+    def _clustered(self, df: DataFrame, partition: str | None, sort: tuple[str, ...] = ()) -> DataFrame:
+        """Few files per partition: rebalance by it, letting Spark split the large ones.
 
-    def append(self, table: str, df: DataFrame, partition: str | None = None) -> int:
-        return self._write(self._clustered(df, partition), self.path(table), "append", partition)
+        ``sort`` orders rows inside each file, so that scans skip row groups by those columns.
+        """
+        laid = df.hint("rebalance", F.col(partition)) if partition else df
+        return laid.sortWithinPartitions(*filter(None, [partition]), *sort) if sort else laid
+
+    def append(
+        self, table: str, df: DataFrame, partition: str | None = None, sort: tuple[str, ...] = ()
+    ) -> int:
+        return self._write(self._clustered(df, partition, sort), self.path(table), "append", partition)
 
-    def overwrite(self, table: str, df: DataFrame, partition: str | None = None) -> int:
+    def overwrite(
+        self, table: str, df: DataFrame, partition: str | None = None, sort: tuple[str, ...] = ()
+    ) -> int:
         """Full refresh; the old rows stay in place until the new ones are complete.
 
         ``df`` may read the table itself. One writer per table is assumed.
         """
         fs, path = self._file_system()
         fresh = f"{self.root}/_{table}.{uuid.uuid4().hex}"
-        rows = self._write(self._clustered(df, partition), fresh, "errorifexists", partition)
+        rows = self._write(self._clustered(df, partition, sort), fresh, "errorifexists", partition)
         live, old = path(self.path(table)), path(self._old(table))
         self._finish_swap(table)
         if fs.exists(live):
@@ -96,7 +104,9 @@ class Mart:
         """Key-set replace: every key in ``df`` takes the place of the rows the table had for it."""
         return self._write(self._clustered(df, partition), self.path(table), "overwrite", partition)
 
-    def replace_window(self, table: str, df: DataFrame, partition: str, since: str) -> int:
+    def replace_window(
+        self, table: str, df: DataFrame, partition: str, since: str, sort: tuple[str, ...] = ()
+    ) -> int:
         """Trailing-window replace: partitions from ``since`` on hold exactly the rows of ``df``.
 
         Months (or days) of the window that became empty are dropped once the new ones are
@@ -110,7 +120,7 @@ class Mart:
             seen, F.count(F.lit(1)).alias("rows"),
             *[F.count_if(key == v).alias(f"p{i}") for i, v in enumerate(stored)],
         )
-        self._clustered(inside, partition).write.mode("overwrite").option(
+        self._clustered(inside, partition, sort).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).partitionBy(partition).parquet(self.path(table))
         found = seen.get
@@ -131,10 +141,15 @@ def with_month(df: DataFrame, key: str = "DateKey", name: str = "ym") -> DataFra
     return df.withColumn(name, F.left(F.col(key), F.lit(6)))
 
 
+def with_load_day(df: DataFrame, stamp: str = "ETLLoadData", name: str = "etl_date") -> DataFrame:
+    """Partition column of a fact replaced by load day."""
+    return df.withColumn(name, F.date_format(stamp, "yyyy-MM-dd"))
+
+
 def window_month(as_of: date, back: int) -> str:
     """``yyyyMM`` of the month ``back`` months before ``as_of``, as plain text."""
     months = as_of.year * 12 + as_of.month - 1 - back
     return f"{months // 12:04d}{months % 12 + 1:02d}"
 
 
-__all__ = ["Mart", "window_month", "with_month"]
+__all__ = ["Mart", "window_month", "with_load_day", "with_month"]

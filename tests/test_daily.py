@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from checks.roles import AS_OF, TEST_RULES, Roles
 from martloom.plans import facts
-from martloom.plans.daily import STEPS, refresh_aggregates
+from checks.registry import filled_table
+from martloom.plans.daily import (
+    BRANCH_TARGETS, COPIED, FACT_DAYS, STEPS, load_dimensions, load_facts, load_targets, refresh_aggregates,
+)
 from martloom.sinks import Mart
 
 
@@ -66,3 +69,43 @@ def test_late_line_inside_the_window_appears(mart):
     mart.overwrite("FactAllDataInvoice", invoice.unionByName(late).unionByName(out_of_window), "YM")
     refresh_aggregates(mart, AS_OF, rules=TEST_RULES, only={"AggInvVolByBrandYM"})
     assert mart.read("AggInvVolByBrandYM").agg(F.sum("SoldBaseQty")).first()[0] == before + added
+
+
+@pytest.fixture(scope="module")
+def loads(spark, sf_dir, tmp_path_factory):
+    """An empty mart with its stages and sheets."""
+    r = Roles(spark, sf_dir)
+    stages = {name: (lambda n=name: filled_table(r, n)) for name in COPIED} | {
+        "DimCustomerOld": lambda: filled_table(r, "DimCustomerOld").withColumns(
+            {"LONGITUDE": F.lit("10.5"), "LATITUDE": F.lit("20.5")}),
+        "DimMaterial": lambda: filled_table(r, "DimMaterial").withColumn("Material", F.split("Material", "-")[1]),
+        "DimCustomer": r.new_customers, "DimLocation": r.stage_location, "DimRoute": r.route_stage,
+        "DimSalesman": r.salesman_stage, "DimBillingDate": r.calendar, "FactAllDataInvoice": r.stage_invoice,
+        "FactVisitList": r.planned_visits, "FactActualVisit": r.actual_visits, "FactDataAsset": r.stage_asset,
+        "FactCustPerMonPlan": r.plan,
+    }
+    sheets = {"DimLocation": r.location_sheet, "DimRoute": r.route_sheet, "DimSalesman": r.salesman_sheet,
+              "DimBillingDate": r.workdays, "FactAOPTDM": r.manager_sheet, "FactAOPNDTDM": r.manager_sheet}
+    sheets |= {t: (r.route_targets if "Route" in t else r.branch_targets) for t in BRANCH_TARGETS}
+    mart = Mart(spark, str(tmp_path_factory.mktemp("loads")))
+    return mart, lambda n: stages[n](), lambda n: sheets[n](), r.boundary()
+
+
+def test_nightly_loads_repeat_without_duplicates(loads):
+    mart, stage, sheet, boundary = loads
+    assert all(load_dimensions(mart, stage, sheet, boundary, cell=5.0).values())
+    full = load_facts(mart, stage, AS_OF, full=True, visits_since="199501")
+    sizes = {t: mart.read(t).count() for t in full}
+    assert sizes == full and sizes["FactAllDataInvoice"] == stage("FactAllDataInvoice").count()
+    for _ in range(2):
+        nightly = load_facts(mart, stage, AS_OF)
+        assert all(0 < nightly[t] < full[t] for t in FACT_DAYS)
+        assert {t: mart.read(t).count() for t in sizes} == sizes
+
+
+def test_targets_repeat_without_duplicates(loads):
+    mart, _, sheet, _ = loads
+    first = load_targets(mart, sheet)
+    assert len(first) == 7 and load_targets(mart, sheet) == first
+    assert {t: mart.read(t).count() for t in first} == first
+    assert load_targets(mart, lambda n: sheet(n).filter("false")) == {}
