@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.llm import token_counts
+from martloom.llm import language_id, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op1_language_id": language_id.op1_language_id,
     "op9_token_counts": token_counts.op9_token_counts,
 }
 SQL: dict[str, str] = {}
