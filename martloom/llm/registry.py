@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.llm import language_id, quality, token_counts
+from martloom.llm import language_id, quality, reply_trees, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op1_language_id": language_id.op1_language_id,
     "op3_quality": quality.op3_quality,
+    "op4_chat_format": reply_trees.op4_chat_format,
     "op9_token_counts": token_counts.op9_token_counts,
 }
 SQL: dict[str, str] = {}
