@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.llm import language_id, quality, reply_trees, token_counts
+from martloom.llm import language_id, metric_search, quality, reply_trees, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,9 +14,12 @@ QUERIES: dict[str, Query] = {
     "op1_language_id": language_id.op1_language_id,
     "op3_quality": quality.op3_quality,
     "op4_chat_format": reply_trees.op4_chat_format,
+    "op8_metric_search": metric_search.op8_metric_search,
     "op9_token_counts": token_counts.op9_token_counts,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op8_metric_search": metric_search.SQL,
+}
 
 
 def queries() -> dict[str, Query]:
