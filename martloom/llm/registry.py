@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.llm import language_id, metric_search, quality, reply_trees, token_counts
+from martloom.llm import language_id, metric_search, near_dedup, quality, reply_trees, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op10_near_dedup": near_dedup.op10_near_dedup,
     "op1_language_id": language_id.op1_language_id,
     "op3_quality": quality.op3_quality,
     "op4_chat_format": reply_trees.op4_chat_format,
