@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.llm import language_id, metric_search, near_dedup, quality, reply_trees, token_counts
+from martloom.llm import language_id, metric_search, near_dedup, passages, quality, reply_trees, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,7 @@ QUERIES: dict[str, Query] = {
     "op1_language_id": language_id.op1_language_id,
     "op3_quality": quality.op3_quality,
     "op4_chat_format": reply_trees.op4_chat_format,
+    "op5_repeated_passages": passages.op5_repeated_passages,
     "op8_metric_search": metric_search.op8_metric_search,
     "op9_token_counts": token_counts.op9_token_counts,
 }
