@@ -97,9 +97,10 @@ def best_paths(messages: DataFrame, branches: int | None = 1) -> DataFrame:
     leaves = leaves.withColumn("rank", F.row_number().over(order))
     if branches is not None:
         leaves = leaves.filter(F.col("rank") <= branches)
-    paths = leaves.select("tree", F.col("id").alias("leaf"), "rank", "score", "id")
+    paths = stored(leaves.select("tree", F.col("id").alias("leaf"), "rank", "score", "id"), "paths")
     for jump in jumps:  # ancestors 0 .. 2**k - 1 are there; these add the next 2**k
-        paths = paths.unionByName(paths.join(jump, "id").select("tree", "leaf", "rank", "score", F.col("up").alias("id")))
+        above = paths.join(jump, "id").select("tree", "leaf", "rank", "score", F.col("up").alias("id"))
+        paths = stored(paths.unionByName(above), "paths")
     return paths.join(walked.select("id", "depth"), "id")
 
 
