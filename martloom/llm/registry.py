@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.llm import language_id, metric_search, near_dedup, passages, quality, reply_trees, token_counts
+from martloom.llm import language_id, metric_search, mixing, near_dedup, passages, quality, reply_trees, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,10 +16,12 @@ QUERIES: dict[str, Query] = {
     "op3_quality": quality.op3_quality,
     "op4_chat_format": reply_trees.op4_chat_format,
     "op5_repeated_passages": passages.op5_repeated_passages,
+    "op6_mixing": mixing.op6_mixing,
     "op8_metric_search": metric_search.op8_metric_search,
     "op9_token_counts": token_counts.op9_token_counts,
 }
 SQL: dict[str, str] = {
+    "op6_mixing": mixing.SQL,
     "op8_metric_search": metric_search.SQL,
 }
 
