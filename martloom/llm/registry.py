@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.llm import language_id, metric_search, mixing, near_dedup, passages, quality, reply_trees, token_counts
+from martloom.llm import decontaminate, language_id, metric_search, mixing, near_dedup, passages, quality, reply_trees, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op10_near_dedup": near_dedup.op10_near_dedup,
     "op1_language_id": language_id.op1_language_id,
+    "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_quality": quality.op3_quality,
     "op4_chat_format": reply_trees.op4_chat_format,
     "op5_repeated_passages": passages.op5_repeated_passages,
