@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.llm import decontaminate, language_id, metric_search, mixing, near_dedup, passages, quality, reply_trees, token_counts
+from martloom.llm import decontaminate, language_id, metric_search, mixing, near_dedup, passages, quality, reply_trees, substrings, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,7 @@ QUERIES: dict[str, Query] = {
     "op4_chat_format": reply_trees.op4_chat_format,
     "op5_repeated_passages": passages.op5_repeated_passages,
     "op6_mixing": mixing.op6_mixing,
+    "op7_repeated_substrings": substrings.op7_repeated_substrings,
     "op8_metric_search": metric_search.op8_metric_search,
     "op9_token_counts": token_counts.op9_token_counts,
 }
