@@ -29,10 +29,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.llm.common import (U64, WORD_BASE, mix, pieces, prefix_sums, stretch, table, text_bytes, word_hashes, words)
-from martloom.llm.places import (NO_ID, QUESTION, answered, covered, keyed, marked_spans, question_rows, with_spans)
+from martloom.llm.places import (NO_ID, QUESTION, answered, covered, inflate, keyed, marked_spans, question_rows,
+                                 with_spans)
 
 GROUP_SUFFIXES = 2_000_000
-CHUNK_WORDS = 4_000_000
+CHUNK_WORDS = 2_000_000
+PIECE_BYTES = 2 << 20
 
 
 def levels(depth: int) -> list[int]:
@@ -61,7 +63,7 @@ def full_slots(texts: DataFrame, depth: int, slots: int) -> list[np.ndarray]:
     """For every prefix length, the slots whose prefixes open more suffixes than a group may hold."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(levels(depth)), slots), np.int64)
-        for part in pieces(batches, "text"):
+        for part in pieces(batches, "text", PIECE_BYTES):
             sums, _, at = suffixes(part.column("text"), depth)
             for i, p in enumerate(levels(depth)[:-1]):
                 total[i] += np.bincount((prefix(sums, at, p) % U64(slots)).astype(np.int64), minlength=slots)
@@ -100,7 +102,7 @@ def repeats(texts: DataFrame, depth: int) -> DataFrame:
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         full, held, n_words = shared.value, [], 0
-        for part in pieces(batches, "text"):
+        for part in pieces(batches, "text", PIECE_BYTES):
             sums, first, at = suffixes(part.column("text"), depth)
             ids = part.column("id").fill_null(NO_ID).to_numpy(zero_copy_only=False)
             held.append((prefix(sums, at, depth), bins_of(sums, at, depth, full, bins).astype(np.uint32), at + n_words,
@@ -114,9 +116,9 @@ def repeats(texts: DataFrame, depth: int) -> DataFrame:
 
     def settle(held: list) -> Iterator[pa.RecordBatch]:
         hashes, bin_no, at, starts, ids, keys = (np.concatenate(x) for x in zip(*held))
-        marked, ask_of = judge_local(hashes, starts, ids, at)
+        marked = smaller_elsewhere(hashes, ids[np.searchsorted(starts, at, "right") - 1])
         at_sure = np.sort(at[marked])
-        hashes, bin_no, at = hashes[ask_of], bin_no[ask_of], at[ask_of]
+        hashes, bin_no, at = hashes[~marked], bin_no[~marked], at[~marked]
         order = np.lexsort((hashes, bin_no))
         filled = np.flatnonzero(np.append(starts[1:] > starts[:-1], True))  # of empty texts at one place, the last
         rows = list(question_rows(bin_no[order].astype(np.int64), at[order], hashes[order], ids[filled], keys[filled],
@@ -126,11 +128,6 @@ def repeats(texts: DataFrame, depth: int) -> DataFrame:
                 ("bin", pa.int32()), ("chunk", pa.string()), ("hashes", pa.binary()), ("at", pa.binary()),
                 ("ids", pa.binary()), ("keys", pa.binary()), ("starts", pa.binary()), ("sure", pa.bool_())]))
 
-    def judge_local(hashes, starts, ids, at):
-        """Places with a smaller document in this chunk, and the places of each smallest document, to ask about."""
-        doc = ids[np.searchsorted(starts, at, "right") - 1]
-        marked = smaller_elsewhere(hashes, doc)
-        return marked, ~marked
     return marked_spans(answered(texts.mapInArrow(ask, QUESTION), smaller_elsewhere), depth)
 
 
@@ -146,19 +143,15 @@ def smaller_elsewhere(hashes: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return out
 
 
-def words_of(text: str) -> list[bytes]:
-    return text.encode().split()  # bytes split at just the blanks meant here
-
-
 def dedup_digests(docs: DataFrame, depth: int = 13, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """id, n_words, n_removed, kept_sha256 and the spans removed, of every row."""
     texts = keyed(docs, key, text)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in pieces(batches, "text"):
+        for part in batches:
             n, gone, digest = [], [], []
-            for said, spans in zip(part.column("text").to_pylist(), part.column("spans").to_pylist()):
-                found = words_of(said)
+            for blob, spans in zip(part.column("blob"), part.column("spans")):
+                found, spans = inflate(blob.as_py()).split(), spans.as_py()  # bytes split at just the blanks meant here
                 drop = covered(len(found), spans)
                 kept = found if not spans else itertools.compress(found, ~drop)
                 n.append(len(found))
