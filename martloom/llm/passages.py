@@ -176,6 +176,7 @@ def without_repeats(docs: DataFrame, depth: int = 13, *, key: str = "doc_id", te
     same = F.col("_span_id").eqNullSafe(F.col("_id")) & (F.col("_span_key") == F.col("_key"))
     joined = hashed.join(lists, same, "left").select(*[F.col(f"`{c}`") for c in docs.columns], "_spans")
     schema = T.StructType([*docs.schema.fields, T.StructField("_emptied", T.BooleanType())])
+    names = docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in pieces(batches, text):
@@ -184,8 +185,8 @@ def without_repeats(docs: DataFrame, depth: int = 13, *, key: str = "doc_id", te
                 new = cut_words(whole, spans_) if spans_ else whole
                 said.append(new)
                 emptied.append(bool(spans_) and not new.strip())
-            columns = [pa.array(said, pa.string()) if c == text else part.column(c) for c in docs.columns]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(emptied)], [*docs.columns, "_emptied"])
+            columns = [pa.array(said, pa.string()) if c == text else part.column(c) for c in names]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(emptied)], [*names, "_emptied"])
     return joined.mapInArrow(cut, schema).filter(~F.col("_emptied")).drop("_emptied")
 
 
