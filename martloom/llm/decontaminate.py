@@ -74,10 +74,11 @@ def filled(text: Column) -> Column:
 
 
 def read_items(benchmark: DataFrame, key: str, text: str) -> DataFrame:
-    """item, o (words), t (template words), n."""
-    told = benchmark.filter(F.col(text).isNotNull()).select(
-        F.col(key).alias("item"), split_words(F.lower(F.col(text))).alias("o"), split_words(template(F.col(text))).alias("t"))
-    return told.withColumn("n", F.size("t")).filter(F.col("n") > 0).dropDuplicates(["item", "t", "o"])
+    """item (a hash of the text), item_id (smallest), o (words), t (template words), n."""
+    told = benchmark.filter(F.col(text).isNotNull()).groupBy(F.col(text).alias("_text")).agg(F.min(key).alias("item_id"))
+    told = told.select(F.xxhash64("_text").alias("item"), "item_id", split_words(F.lower(F.col("_text"))).alias("o"),
+                       split_words(template(F.col("_text"))).alias("t"))
+    return told.withColumn("n", F.size("t")).filter(F.col("n") > 0)
 
 
 def item_windows(items: DataFrame, rule: Rule) -> DataFrame:
@@ -113,8 +114,8 @@ def hits(docs: DataFrame, benchmark: DataFrame, rule: Rule, *, key: str = "item_
     enough = F.size("places") >= F.least(F.lit(rule.run), F.greatest(F.col("total") - 1, F.lit(1)))
     placed = stored(placed.filter(enough), "placements")
     fitting = consistent(docs, items, placed, rule, text)
-    return fitting.groupBy("text_key").agg(
-        F.count_distinct("item").alias("items"), F.min("item").alias("item_id"), F.max("n_windows").alias("n_windows"))
+    return fitting.join(items.select("item", "item_id"), "item").groupBy("text_key").agg(
+        F.count_distinct("item").alias("items"), F.min("item_id").alias("item_id"), F.max("n_windows").alias("n_windows"))
 
 
 def consistent(docs: DataFrame, items: DataFrame, placed: DataFrame, rule: Rule, text: str) -> DataFrame:
