@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import hashlib
 import itertools
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,12 +28,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.llm.common import (U64, WORD_BASE, mix, pieces, prefix_sums, stretch, table, text_bytes, word_hashes, words)
-from martloom.llm.places import (NO_ID, QUESTION, answered, covered, inflate, keyed, marked_spans, question_rows,
-                                 with_spans)
+from martloom.llm.places import (NO_ID, QUESTION, answered, chunk_name, covered, inflate, keyed, marked_spans,
+                                 question_batch, question_rows, with_spans)
 
-GROUP_SUFFIXES = 2_000_000
+GROUP_SUFFIXES = 1_200_000
 CHUNK_WORDS = 2_000_000
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 
 
 def levels(depth: int) -> list[int]:
@@ -101,33 +100,30 @@ def repeats(texts: DataFrame, depth: int) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(full_slots(texts, depth, slots))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        full, held, n_words = shared.value, [], 0
+        full, held, n_words, n = shared.value, [], 0, 0
         for part in pieces(batches, "text", PIECE_BYTES):
             sums, first, at = suffixes(part.column("text"), depth)
             ids = part.column("id").fill_null(NO_ID).to_numpy(zero_copy_only=False)
-            held.append((prefix(sums, at, depth), bins_of(sums, at, depth, full, bins).astype(np.uint32), at + n_words,
-                         first[:-1] + n_words, ids, part.column("key").to_numpy()))
+            held.append((prefix(sums, at, depth), bins_of(sums, at, depth, full, bins).astype(np.uint32),
+                         (at + n_words).astype(np.uint32), first[:-1] + n_words, ids, part.column("key").to_numpy()))
             n_words += len(sums) - 1
             if n_words >= CHUNK_WORDS:
-                yield from settle(held)
-                held, n_words = [], 0
+                yield settle(held, n)
+                n_words, n = 0, n + 1
         if held:
-            yield from settle(held)
+            yield settle(held, n)
 
-    def settle(held: list) -> Iterator[pa.RecordBatch]:
+    def settle(held: list, n: int) -> pa.RecordBatch:
         hashes, bin_no, at, starts, ids, keys = (np.concatenate(x) for x in zip(*held))
+        held.clear()
+        filled = np.flatnonzero(np.append(starts[1:] > starts[:-1], True))  # of empty texts at one place, the last
+        starts, ids, keys = starts[filled], ids[filled], keys[filled]
         marked = smaller_elsewhere(hashes, ids[np.searchsorted(starts, at, "right") - 1])
-        at_sure = np.sort(at[marked])
+        sure = np.sort(at[marked])
         hashes, bin_no, at = hashes[~marked], bin_no[~marked], at[~marked]
         order = np.lexsort((hashes, bin_no))
-        filled = np.flatnonzero(np.append(starts[1:] > starts[:-1], True))  # of empty texts at one place, the last
-        rows = list(question_rows(bin_no[order].astype(np.int64), at[order], hashes[order], ids[filled], keys[filled],
-                                  starts[filled], uuid.uuid4().hex, at_sure))
-        if rows:
-            yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([
-                ("bin", pa.int32()), ("chunk", pa.string()), ("hashes", pa.binary()), ("at", pa.binary()),
-                ("ids", pa.binary()), ("keys", pa.binary()), ("starts", pa.binary()), ("sure", pa.bool_())]))
-
+        return question_batch(question_rows(bin_no[order].astype(np.int64), at[order], hashes[order], ids, keys, starts,
+                                            chunk_name(n, ids, keys), sure))
     return marked_spans(answered(texts.mapInArrow(ask, QUESTION), smaller_elsewhere), depth)
 
 

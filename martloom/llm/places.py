@@ -2,25 +2,28 @@
 
 A task hashes the strings of its texts, asks about each distinct hash once per group, and gets back the places to mark.
 Questions and answers travel as sorted arrays in a few rows, so a shuffle moves little more than the hashes. A string
-that a third of all texts share is one question per task. Answers are keyed by text, whichever attempt of a
-task asked, so a task that runs again after a loss changes nothing.
+that a third of all texts share is one question per task. Chunks are named by what they hold, so a task that runs
+again after a loss asks the same questions; the texts must come from a stored table, whose tasks read the same rows
+each time.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm.common import U64
 
 NO_ID = np.iinfo(np.int64).max
-QUESTION = "bin INT, chunk STRING, hashes BINARY, at BINARY, ids BINARY, keys BINARY, starts BINARY, sure BOOLEAN"
+QUESTION = "bin INT, chunk STRING, hashes BINARY, at BINARY, ids BINARY, keys BINARY, starts BINARY"
 ANSWER = "chunk STRING, at BINARY, ids BINARY, keys BINARY, starts BINARY"
 SPANS = "id BIGINT, key BIGINT, spans ARRAY<INT>"
 
@@ -50,72 +53,85 @@ def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).cast("long").alias("id"), F.xxhash64(content).alias("key"), content.alias("text"))
 
 
-def question_rows(bins, order, hashes, ids, keys, starts, chunk: str, sure: np.ndarray) -> Iterator[dict]:
-    """Rows of one chunk. order: places sorted by bin, then hash; bins, hashes: in that order; sure: places marked already."""
-    def texts(at: np.ndarray) -> dict:
-        which = np.unique(np.searchsorted(starts, at, "right") - 1)
-        return {"ids": pack(ids[which]), "keys": pack(keys[which]), "starts": pack(starts[which].astype(np.int64))}
+def chunk_name(n: int, ids: np.ndarray, keys: np.ndarray) -> str:
+    """The same name for the same texts, so that a task that runs again asks under the names it had."""
+    part = TaskContext.get().partitionId()
+    return f"{part}-{n}-{hashlib.blake2b(ids.tobytes() + keys.tobytes(), digest_size=8).hexdigest()}"
+
+
+def own_bin(chunk: str) -> int:
+    """A bin for the row of a chunk that is no question."""
+    return -1 - int(chunk[-6:], 16)
+
+
+def question_rows(bins, at, hashes, ids, keys, starts, chunk: str, sure: np.ndarray) -> Iterator[dict]:
+    """Rows of one chunk. bins, at, hashes: questions in order of bin and hash; sure: places marked already.
+
+    Questions name the ids of their texts; the row that is no question holds the table of texts.
+    """
+    yield {"bin": own_bin(chunk), "chunk": chunk, "hashes": None, "at": pack(sure.astype(np.uint32)),
+           "ids": pack(ids), "keys": pack(keys), "starts": pack(starts.astype(np.int64))}
     cuts = np.flatnonzero(np.diff(bins, prepend=-1)).tolist() + [len(bins)]
     for a, b in zip(cuts[:-1], cuts[1:]):
-        at = order[a:b]
-        yield {"bin": int(bins[a]), "chunk": chunk, "hashes": pack(hashes[a:b]), "at": pack(at.astype(np.uint32)),
-               "sure": False, **texts(at)}
-    if len(sure):
-        yield {"bin": -1 - int(chunk[:6], 16), "chunk": chunk, "hashes": b"", "at": pack(sure.astype(np.uint32)),
-               "sure": True, **texts(sure)}
+        places = at[a:b]
+        which = np.unique(np.searchsorted(starts, places, "right") - 1)
+        yield {"bin": int(bins[a]), "chunk": chunk, "hashes": pack(hashes[a:b]), "at": pack(places.astype(np.uint32)),
+               "ids": pack(ids[which]), "keys": None, "starts": pack(starts[which].astype(np.int64))}
 
 
-def as_answer(row, at: np.ndarray) -> tuple:
-    return row.chunk, pack(at.astype(np.uint32)), row.ids, row.keys, row.starts
+def question_batch(rows: Iterator[dict]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist(list(rows), schema=pa.schema(
+        [("bin", pa.int32()), ("chunk", pa.string())]
+        + [(c, pa.binary()) for c in ("hashes", "at", "ids", "keys", "starts")]))
 
 
 def answered(questions: DataFrame, judge) -> DataFrame:
-    """Answers of all groups. judge(rows, hashes, row number of each, place of each, id of each) -> marked."""
+    """Answers of all groups. judge(hashes, ids) -> which are marked."""
     def run(part: pd.DataFrame) -> pd.DataFrame:
-        out, rows, found = [], [], []
-        for row in part.itertuples():
-            if row.sure:
-                out.append((row.chunk, row.at, row.ids, row.keys, row.starts))
-                continue
-            at = unpack(row.at, np.uint32).astype(np.int64)
-            ids, starts = unpack(row.ids, np.int64), unpack(row.starts, np.int64)
-            text = np.searchsorted(starts, at, "right") - 1
-            found.append((unpack(row.hashes, U64), np.full(len(at), len(rows)), at, ids[text]))
-            rows.append(row)
-        if found:
-            hashes, of, at, ids = (np.concatenate(x) for x in zip(*found))
-            marked = judge(hashes, ids)
-            for n, row in enumerate(rows):
-                mine = at[marked & (of == n)] if marked.any() else at[:0]
-                if len(mine):
-                    out.append(as_answer(row, mine))
-        return pd.DataFrame(out, columns=["chunk", "at", "ids", "keys", "starts"])
+        told = part[part["hashes"].isna()][["chunk", "at", "ids", "keys", "starts"]]
+        asked = part[part["hashes"].notna()]
+        if not len(asked):
+            return told
+        hashes, ids, at = [], [], []
+        for row in asked.itertuples():
+            places = unpack(row.at, np.uint32)
+            text = np.searchsorted(unpack(row.starts, np.int64), places, "right") - 1
+            hashes.append(unpack(row.hashes, U64))
+            ids.append(unpack(row.ids, np.int64)[text])
+            at.append(places)
+        ends = np.cumsum([len(x) for x in at])
+        marked = np.split(judge(np.concatenate(hashes), np.concatenate(ids)), ends[:-1])
+        out = [(c, pack(x[m]), None, None, None) for c, x, m in zip(asked["chunk"], at, marked) if m.any()]
+        return pd.concat([told, pd.DataFrame(out, columns=told.columns)])
     return questions.groupBy("bin").applyInPandas(run, ANSWER)
 
 
+def text_table(part: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """ids, keys and starts of the texts of a chunk."""
+    have = part[part["keys"].notna()]
+    if not len(have):
+        raise RuntimeError("answers without their texts: the input changed between two runs of a task")
+    row = have.iloc[0]
+    return unpack(row["ids"], np.int64), unpack(row["keys"], np.int64), unpack(row["starts"], np.int64)
+
+
 def marked_spans(answers: DataFrame, width: int) -> DataFrame:
     """id, key, spans (start, end, start, end, ...) of every text with marked places; a place covers `width` units."""
     def run(part: pd.DataFrame) -> pd.DataFrame:
-        seen: dict[tuple, list] = {}
-        whole: dict[int, tuple] = {}
-        places = []
-        for row in part.itertuples():
-            starts = unpack(row.starts, np.int64)
-            for s, i, k in zip(starts.tolist(), unpack(row.ids, np.int64).tolist(), unpack(row.keys, np.int64).tolist()):
-                whole[s] = (i, k)
-            places.append(unpack(row.at, np.uint32).astype(np.int64))
-        at = np.unique(np.concatenate(places))
-        starts = np.array(sorted(whole))
+        ids, keys, starts = text_table(part)
+        at = np.unique(np.concatenate([unpack(x, np.uint32) for x in part["at"]])).astype(np.int64)
         text = np.searchsorted(starts, at, "right") - 1
         # Places nearer than the width make one run; runs end at a change of text.
         new = np.ones(len(at), bool)
         new[1:] = (at[1:] - at[:-1] > width) | (text[1:] != text[:-1])
         first = np.flatnonzero(new)
         last = np.append(first[1:], len(at)) - 1
-        for f, t in zip(first.tolist(), last.tolist()):
-            s = int(starts[text[f]])
-            seen.setdefault(whole[s], []).extend((int(at[f]) - s, int(at[t]) - s + width))
-        return pd.DataFrame([(None if i == NO_ID else i, k, v) for (i, k), v in seen.items()], columns=["id", "key", "spans"])
+        spans: dict[int, list] = {}
+        for t, a, b in zip(text[first].tolist(), at[first].tolist(), at[last].tolist() if len(at) else []):
+            s = int(starts[t])
+            spans.setdefault(t, []).extend((a - s, b - s + width))
+        return pd.DataFrame([(None if ids[t] == NO_ID else int(ids[t]), int(keys[t]), x) for t, x in spans.items()],
+                            columns=["id", "key", "spans"])
     return answers.groupBy("chunk").applyInPandas(run, SPANS)
 
 
