@@ -22,7 +22,6 @@ empty table gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,8 +31,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.llm.common import TEXT_BASE, U64, mix, pieces, prefix_sums, stored, stretch, table, text_bytes
-from martloom.llm.places import (NO_ID, QUESTION, answered, covered, inflate, keyed, marked_spans, pack, packed,
-                                 question_rows, unpack, with_spans)
+from martloom.llm.places import (NO_ID, QUESTION, answered, chunk_name, covered, inflate, keyed, marked_spans, own_bin,
+                                 pack, packed, question_batch, question_rows, text_table, unpack, with_spans)
 
 Q = 32
 CHUNK_BYTES = 8 << 20
@@ -121,7 +120,7 @@ def ask_stretches(texts: DataFrame, length: int, bins: int) -> DataFrame:
         (c, pa.binary()) for c in ("contexts", "wholes", "lows", "highs", "codes", "ids", "keys", "starts")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n_bytes = [], 0
+        held, n_bytes, n = [], 0, 0
         for part in pieces(batches, "text", PIECE_BYTES):
             data, offsets = text_bytes(part.column("text"))
             context, whole, low, high = stretches(data, offsets, length)
@@ -130,37 +129,33 @@ def ask_stretches(texts: DataFrame, length: int, bins: int) -> DataFrame:
                          part.column("key").to_numpy()))
             n_bytes += len(data)
             if n_bytes >= CHUNK_BYTES:
-                yield from settle(held)
-                held, n_bytes = [], 0
+                yield settle(held, n)
+                held, n_bytes, n = [], 0, n + 1
         if held:
-            yield from settle(held)
+            yield settle(held, n)
 
-    def settle(held: list) -> Iterator[pa.RecordBatch]:
+    def settle(held: list, n: int) -> pa.RecordBatch:
         context, whole, low, high, starts, ids, keys = (np.concatenate(x) for x in zip(*held))
         filled = np.flatnonzero(np.append(starts[1:] > starts[:-1], True))
         starts, ids, keys = starts[filled], ids[filled], keys[filled]
         order, first, count, place = told_apart(context, whole)
         context, whole, low, high = context[order], whole[order], low[order], high[order]
         code = np.where(count > 1, MARK, 0) | np.where(several(context, place) & first, ASK, 0)
-        chunk, rows = uuid.uuid4().hex, []
+        chunk, rows = chunk_name(n, ids, keys), []
 
-        def row(bin_no: int, pick: np.ndarray, codes: np.ndarray) -> None:
-            which = np.unique(np.searchsorted(starts, low[pick], "right") - 1)
+        def row(bin_no: int, pick: np.ndarray, codes: np.ndarray, **more: bytes) -> None:
             rows.append({"bin": bin_no, "chunk": chunk, "contexts": pack(context[pick]), "wholes": pack(whole[pick]),
                          "lows": pack(low[pick].astype(np.uint32)), "highs": pack(high[pick].astype(np.uint32)),
-                         "codes": pack(codes.astype(np.uint8)), "ids": pack(ids[which]), "keys": pack(keys[which]),
-                         "starts": pack(starts[which].astype(np.int64))})
+                         "codes": pack(codes.astype(np.uint8)), **more})
         settled = np.flatnonzero(code)
-        if len(settled):
-            row(-1 - int(chunk[:6], 16), settled, code[settled])
+        row(own_bin(chunk), settled, code[settled], ids=pack(ids), keys=pack(keys), starts=pack(starts.astype(np.int64)))
         sent = np.flatnonzero(first & (place < 2))
         to = (mix(context[sent]) % U64(bins)).astype(np.int64)
         by = np.argsort(to, kind="stable")
         cuts = np.flatnonzero(np.diff(to[by], prepend=-1)).tolist() + [len(by)]
         for a, b in zip(cuts[:-1], cuts[1:]):
             row(int(to[by[a]]), sent[by[a:b]], np.zeros(b - a))
-        if rows:
-            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+        return pa.RecordBatch.from_pylist(rows, schema=schema)
     return texts.mapInArrow(run, STRETCH)
 
 
@@ -180,34 +175,30 @@ def answer_stretches(questions: DataFrame) -> DataFrame:
 def ranges(answers: DataFrame, length: int) -> DataFrame:
     """Per text: bytes marked and string starts to be told apart, both as start, end, ..."""
     def run(part: pd.DataFrame) -> pd.DataFrame:
-        out: dict[tuple, tuple[list, list]] = {}
+        ids, keys, starts = text_table(part)
+        out: dict[int, tuple[list, list]] = {}
         for row in part.itertuples():
             code = unpack(row.codes, np.uint8)
             some = np.flatnonzero(code)
             low = unpack(row.lows, np.uint32).astype(np.int64)[some]
             high = unpack(row.highs, np.uint32).astype(np.int64)[some]
-            starts = unpack(row.starts, np.int64)
-            ids, keys = unpack(row.ids, np.int64), unpack(row.keys, np.int64)
             text = np.searchsorted(starts, low, "right") - 1
             low, high = low - starts[text], high - starts[text]
             for t, a, b, c in zip(text.tolist(), low.tolist(), high.tolist(), code[some].tolist()):
-                marks, asks = out.setdefault((int(ids[t]), int(keys[t])), ([], []))
+                marks, asks = out.setdefault(t, ([], []))
                 if c & MARK:
                     marks += (a, b + length)
                 if c & ASK:
                     asks += (a, b + 1)
-        return pd.DataFrame([(None if i == NO_ID else i, k, m, a) for (i, k), (m, a) in out.items()],
+        return pd.DataFrame([(None if ids[t] == NO_ID else int(ids[t]), int(keys[t]), m, a) for t, (m, a) in out.items()],
                             columns=["id", "key", "marks", "asks"])
     return answers.groupBy("chunk").applyInPandas(run, RANGES)
 
 
 def ask_strings(texts: DataFrame, length: int, bins: int) -> DataFrame:
     """Questions about single strings. texts: id, key, blob, asks."""
-    schema = pa.schema([("bin", pa.int32()), ("chunk", pa.string()), ("hashes", pa.binary()), ("at", pa.binary()),
-                        ("ids", pa.binary()), ("keys", pa.binary()), ("starts", pa.binary()), ("sure", pa.bool_())])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n_bytes = [], 0
+        held, n_bytes, n = [], 0, 0
         for batch in batches:
             for i, key, blob, asks in zip(*(batch.column(c) for c in ("id", "key", "blob", "asks"))):
                 data = np.frombuffer(inflate(blob.as_py()), np.uint8)
@@ -217,12 +208,12 @@ def ask_strings(texts: DataFrame, length: int, bins: int) -> DataFrame:
                              np.array([NO_ID if i.as_py() is None else i.as_py()]), np.array([key.as_py()])))
                 n_bytes += len(data)
                 if n_bytes >= CHUNK_BYTES:
-                    yield from settle(held)
-                    held, n_bytes = [], 0
+                    yield settle(held, n)
+                    held, n_bytes, n = [], 0, n + 1
         if held:
-            yield from settle(held)
+            yield settle(held, n)
 
-    def settle(held: list) -> Iterator[pa.RecordBatch]:
+    def settle(held: list, n: int) -> pa.RecordBatch:
         hashes, at, starts, ids, keys = (np.concatenate(x) for x in zip(*held))
         order = np.argsort(hashes, kind="stable")
         h, at = hashes[order], at[order]
@@ -234,9 +225,7 @@ def ask_strings(texts: DataFrame, length: int, bins: int) -> DataFrame:
         h, at = h[first], at[first]
         to = (mix(h) % U64(bins)).astype(np.int64)
         by = np.argsort(to, kind="stable")
-        rows = list(question_rows(to[by], at[by], h[by], ids, keys, starts, uuid.uuid4().hex, sure))
-        if rows:
-            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+        return question_batch(question_rows(to[by], at[by], h[by], ids, keys, starts, chunk_name(n, ids, keys), sure))
     return texts.mapInArrow(run, QUESTION)
 
 
