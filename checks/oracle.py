@@ -181,78 +181,86 @@ _KEYS = """HANAFlag, DateKey, BranchCode, RouteCode, Salesman, ChannelSalesOffic
 
 
 def visits_view(months_from: str | None) -> str:
-    def side(day: str) -> str:
-        month = f"strftime(CASE WHEN SalesType1 = 'PS' THEN {day} + INTERVAL 1 DAY ELSE {day} END, '%Y%m')"
-        keep = f"WHERE {month} >= '{months_from}'" if months_from else ""
-        return f"""SELECT {month} AS M, Branch, v.Route, v.Salesman, Customer, count(*) AS N
-            FROM f_visit v LEFT JOIN d_route r ON v.Route = r.Route {keep} GROUP BY ALL"""
-    on = " AND ".join(f"a.{k} = {{0}}.{k}" for k in ("M", "Branch", "Route", "Salesman", "Customer"))
+    """Plan and actual as one list of marked visits, counted per customer first."""
+    def side(day: str, plan: int) -> str:
+        shift = "CASE SalesType1 WHEN 'PS' THEN 1 ELSE 0 END"
+        return f"""SELECT v.Branch, v.Route, v.Salesman, Customer, {plan} AS planned, {1 - plan} AS made,
+            strftime({day} + to_days({shift}), '%Y%m') AS M FROM f_visit v LEFT JOIN d_route r USING (Route)"""
+    keep = f"WHERE M >= '{months_from}'" if months_from else ""
+    # A key with a NULL stays, but is met by no visit.
+    met = "CASE WHEN (M || Branch || Route || Salesman || Customer) IS NOT NULL THEN "
     return f"""
-    SELECT a.Branch AS BranchCode, a.Route AS RouteCode, a.Salesman, a.M || '01' AS DateKey,
-        count(DISTINCT p.Customer) AS CustomerPlanVisit, count(DISTINCT v.Customer) AS CustomerActualVisit,
-        count(DISTINCT CASE WHEN p.Customer IS NOT NULL AND v.Customer IS NOT NULL THEN a.Customer END)
-            AS CustomerVisitOnPlan,
-        CAST(sum(coalesce(p.N, 0)) AS BIGINT) AS NoOfPlanVisit,
-        CAST(sum(coalesce(v.N, 0)) AS BIGINT) AS NoOfActualVisit
-    FROM (SELECT M, Branch, Route, Salesman, Customer FROM ({side('AssignedDate')})
-          UNION SELECT M, Branch, Route, Salesman, Customer FROM ({side('VisitDate')})) a
-    LEFT JOIN ({side('AssignedDate')}) p ON {on.format('p')}
-    LEFT JOIN ({side('VisitDate')}) v ON {on.format('v')}
-    GROUP BY a.Branch, a.Route, a.Salesman, a.M"""
+    SELECT Branch AS BranchCode, Route AS RouteCode, Salesman, concat(M, '01') AS DateKey,
+        count_if(p > 0) AS CustomerPlanVisit, count_if(a > 0) AS CustomerActualVisit,
+        count_if(least(p, a) > 0) AS CustomerVisitOnPlan,
+        CAST(sum(p) AS BIGINT) AS NoOfPlanVisit, CAST(sum(a) AS BIGINT) AS NoOfActualVisit
+    FROM (SELECT M, Branch, Route, Salesman, Customer, {met}sum(planned) ELSE 0 END AS p, {met}sum(made) ELSE 0 END AS a
+          FROM ({side('AssignedDate', 1)} UNION ALL {side('VisitDate', 0)}) {keep}
+          GROUP BY M, Branch, Route, Salesman, Customer)
+    GROUP BY ALL"""
 
 
 # -- outlets ----------------------------------------------------------------------------
 
-_OUTLET_SALES = f"""
-    FROM f_invoice i
-    JOIN d_reason r ON i.ReasonCode = r.ReasonCode AND r.ReasonCode = ''
-    JOIN (SELECT ChannelMarge, Value2 AS PostMixFlag FROM d_channel c JOIN d_config f ON c.SalesOfficeDesc = f.Value1
-          WHERE SalesOfficeDesc IN ('Direct Sales', 'Presales', 'Online', 'Post-Mix', 'Vending')) h
-      ON i.ChannelMarge = h.ChannelMarge
-    LEFT JOIN d_material m ON i.Material = m.Material
-    LEFT JOIN d_customer c ON i.HANAFlag = c.HANAFlag AND i.Customer = c.Customer
-    LEFT JOIN d_group g ON c.CustGrp1 = g.CustGrp"""
-_OUTLET_WHERE = f"""BType = 'TaxInv' AND {_SOLD} AND ShopType NOT IN ('CVM', 'Employee')
-      AND SpecialGrp1 IN ('', 'Other') AND left(i.Customer, 1) <> 'E' AND CustGrp NOT IN {_EXCLUDED}
-      AND NOT (coalesce(l.PxIncludeFlag, 0) = 0 AND PostMixFlag = 'Post-Mix')"""
-
-
-def _customers_with(test: str, name: str) -> str:
-    return f"count(DISTINCT CASE WHEN {test} THEN i.Customer END) AS {name}"
-
-
 _B = TEST_RULES.brands
+_FAMILY = f"starts_with(BrandDesc, '{TEST_RULES.brand_family}')"
+# Marks of a buyer, by output column: what at least one sale must be.
+_MARKS = {
+    "EstActiveOutletVL": f"BrandDesc = '{_B['Est']}'", "CrystalActiveOutletVL": f"BrandDesc = '{_B['Crystal']}'",
+    "OishiActiveOutletVL": _FAMILY, "OishiGreenTeaActiveOutletVL": f"BrandDesc = '{_B['OishiGreenTea']}'",
+    "OishiChakulzaActiveOutletVL": f"BrandDesc = '{_B['OishiChakulza']}'",
+    "WrangyerActiveOutletVL": f"BrandDesc = '{_B['Wrangyer']}'",
+    "FSRRBActiveOutletVL": "ShopType = 'FSR' AND PackagingType = 'RB'", "ActiveBrandOutletVLExOishi": f"NOT {_FAMILY}",
+}
 OUTLET_VIEWS = {
+    # Customers that count as outlets, and what they are.
+    "o_shop": "SELECT HANAFlag, Customer, CustGrp, ShopType, SpecialGrp1 FROM d_customer LEFT JOIN d_group ON CustGrp1 = CustGrp",
+    # The distinct sales of counting goods to outlets; post-mix sales are marked.
+    "o_sale": f"""
+        SELECT DISTINCT i.YM, i.Customer, s.ShopType, m.BrandDesc, m.PackagingType, i.Branch, i.VL, h.mixed
+        FROM f_invoice i SEMI JOIN d_reason r ON r.ReasonCode = i.ReasonCode AND r.ReasonCode = ''
+        JOIN d_material m USING (Material) JOIN o_shop s USING (HANAFlag, Customer)
+        JOIN (SELECT ChannelMarge, Value2 = 'Post-Mix' AS mixed FROM d_channel, d_config WHERE SalesOfficeDesc = Value1
+              AND Value1 IN ('Direct Sales', 'Presales', 'Online', 'Post-Mix', 'Vending')) h USING (ChannelMarge)
+        WHERE i.BType = 'TaxInv' AND {_SOLD} AND ShopType NOT IN ('CVM', 'Employee') AND SpecialGrp1 IN ('', 'Other')
+          AND NOT starts_with(i.Customer, 'E') AND CustGrp NOT IN {_EXCLUDED}""",
+    # Sales that stay at their branch: post-mix only where the branch includes it.
+    "o_bought": """
+        SELECT DISTINCT YM, Customer, ShopType, Branch FROM o_sale
+        WHERE NOT mixed OR Branch IN (SELECT BranchCode FROM d_location WHERE PxIncludeFlag <> 0)""",
     "o_total": """
-        SELECT strftime(strptime(YM || '01', '%Y%m%d') + INTERVAL 1 MONTH, '%Y%m') AS YM, Branch, Route, ShopType,
-               count(DISTINCT p.Customer) AS TotalOutlet
-        FROM f_plan p LEFT JOIN d_customer c ON c.HANAFlag = 1 AND p.Customer = c.Customer
-        LEFT JOIN d_group g ON c.CustGrp1 = g.CustGrp GROUP BY ALL""",
-    "o_buyer": f"""
-        SELECT DISTINCT YM, i.Customer, ShopType, PackagingType, Branch, {_BUCKET} AS Brand
-        {_OUTLET_SALES} LEFT JOIN d_location l ON i.Branch = l.BranchCode WHERE {_OUTLET_WHERE}""",
-    "o_brand": f"""
-        SELECT YM || '01' AS DateKey, coalesce(t.BranchVL, '') AS BranchCode, coalesce(i.VL, '') AS RouteCode, ShopType,
-            {_customers_with(f"BrandDesc = '{_B['Est']}'", 'EstActiveOutletVL')},
-            {_customers_with(f"BrandDesc = '{_B['Crystal']}'", 'CrystalActiveOutletVL')},
-            {_customers_with(f"BrandDesc LIKE '{TEST_RULES.brand_family}%'", 'OishiActiveOutletVL')},
-            {_customers_with(f"BrandDesc = '{_B['OishiGreenTea']}'", 'OishiGreenTeaActiveOutletVL')},
-            {_customers_with(f"BrandDesc = '{_B['OishiChakulza']}'", 'OishiChakulzaActiveOutletVL')},
-            {_customers_with(f"BrandDesc = '{_B['Wrangyer']}'", 'WrangyerActiveOutletVL')},
-            {_customers_with("ShopType = 'FSR' AND PackagingType = 'RB'", 'FSRRBActiveOutletVL')},
-            count(DISTINCT i.Customer) AS ActiveBrandOutletVL,
-            count(DISTINCT concat(i.Customer, BrandDesc)) AS NoOfBrandOutletVL,
-            {_customers_with(f"left(BrandDesc, 7) <> '{TEST_RULES.brand_family}'", 'ActiveBrandOutletVLExOishi')}
-        {_OUTLET_SALES} LEFT JOIN d_route t ON i.VL = t.Route LEFT JOIN d_location l ON t.BranchVL = l.BranchCode
-        WHERE {_OUTLET_WHERE} GROUP BY ALL""",
+        SELECT YM, Branch, Route, ShopType, count(Customer) AS TotalOutlet FROM (
+            SELECT DISTINCT strftime(last_day(strptime(YM, '%Y%m')) + 1, '%Y%m') AS YM, Branch, Route, ShopType, p.Customer
+            FROM f_plan p LEFT JOIN o_shop s ON s.Customer = p.Customer AND s.HANAFlag = 1) GROUP BY ALL""",
+    "o_onplan": """
+        SELECT DISTINCT b.YM, coalesce(p.Branch, b.Branch) AS BranchCode, p.Route AS RouteCode, b.ShopType, b.Customer,
+            p.Branch AS planned
+        FROM o_bought b JOIN f_plan p USING (YM, Customer)""",
+    # Buyers on their planned route with its total, buyers without a plan, totals nobody met.
     "o_active": """
-        SELECT concat(coalesce(p.YM, o.YM, i.YM), '01') AS DateKey,
-               coalesce(p.Branch, o.Branch, i.Branch) AS BranchCode,
-               CASE WHEN p.Customer IS NOT NULL THEN coalesce(p.Route, o.Route) ELSE '' END AS RouteCode,
-               i.ShopType AS ShopType, max(TotalOutlet) AS TotalOutletVP, count(DISTINCT i.Customer) AS ActiveOutletVP
-        FROM f_plan p FULL JOIN o_buyer i ON p.YM = i.YM AND p.Customer = i.Customer
-        FULL JOIN o_total o ON p.YM = o.YM AND p.Branch = o.Branch AND p.Route = o.Route AND i.ShopType = o.ShopType
-        WHERE i.ShopType IS NOT NULL OR o.ShopType IS NOT NULL GROUP BY 1, 2, 3, 4""",
+        SELECT YM || '01' AS DateKey, BranchCode, RouteCode, ShopType, max(TotalOutlet) AS TotalOutletVP,
+            count(DISTINCT Customer) AS ActiveOutletVP
+        FROM (
+            SELECT n.* EXCLUDE planned, TotalOutlet FROM o_onplan n LEFT JOIN o_total t
+              ON t.YM = n.YM AND t.Branch = n.planned AND t.Route = n.RouteCode AND t.ShopType = n.ShopType
+            UNION ALL
+            SELECT YM, Branch, '', ShopType, Customer, NULL FROM o_bought b ANTI JOIN f_plan p USING (YM, Customer)
+            UNION ALL
+            SELECT YM, Branch, '', NULL, NULL, TotalOutlet FROM o_total t ANTI JOIN o_onplan n
+              ON t.YM = n.YM AND t.Branch = n.planned AND t.Route = n.RouteCode AND t.ShopType = n.ShopType
+            WHERE ShopType IS NOT NULL)
+        GROUP BY ALL""",
+    # One row per key and buyer, with marks and number of brands; then counted.
+    "o_marked": f"""
+        SELECT YM || '01' AS DateKey, coalesce(BranchVL, '') AS BranchCode, coalesce(VL, '') AS RouteCode, ShopType, Customer,
+            count(DISTINCT coalesce(BrandDesc, '')) AS brands,
+            {", ".join(f"bool_or(coalesce({test}, false)) AS {name}" for name, test in _MARKS.items())}
+        FROM o_sale LEFT JOIN d_route ON Route = VL
+        WHERE NOT mixed OR BranchVL IN (SELECT BranchCode FROM d_location WHERE PxIncludeFlag <> 0) GROUP BY ALL""",
+    "o_brand": f"""
+        SELECT DateKey, BranchCode, RouteCode, ShopType, {", ".join(f"count_if({name}) AS {name}" for name in _MARKS)},
+            count(*) AS ActiveBrandOutletVL, sum(brands) AS NoOfBrandOutletVL
+        FROM o_marked GROUP BY ALL""",
 }
 _OUTLET_COUNTS = ["TotalOutletVP", "ActiveOutletVP", "EstActiveOutletVL", "CrystalActiveOutletVL",
                   "OishiActiveOutletVL", "OishiGreenTeaActiveOutletVL", "OishiChakulzaActiveOutletVL",
@@ -261,31 +269,26 @@ _OUTLET_COUNTS = ["TotalOutletVP", "ActiveOutletVP", "EstActiveOutletVL", "Cryst
 
 
 def outlets_view(months_from: str | None) -> str:
-    keys = ("DateKey", "BranchCode", "RouteCode", "ShopType")
-    on = " AND ".join(f"k.{c} = {{0}}.{c}" for c in keys)
-    keep = f"WHERE k.DateKey >= '{months_from}01'" if months_from else ""
-    sums = ", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in _OUTLET_COUNTS)
+    keep = f"WHERE DateKey >= '{months_from}01'" if months_from else ""
+    whole = "DateKey IS NOT NULL AND BranchCode IS NOT NULL AND RouteCode IS NOT NULL AND ShopType IS NOT NULL"
+    sums = ", ".join(f"CAST(sum({c}) FILTER ({whole}) AS BIGINT) AS {c}" for c in _OUTLET_COUNTS)
     return f"""
-    SELECT k.DateKey, k.BranchCode, k.RouteCode, k.ShopType, {sums}
-    FROM (SELECT DateKey, BranchCode, RouteCode, ShopType FROM o_active
-          UNION SELECT DateKey, BranchCode, RouteCode, ShopType FROM o_brand ) k
-    LEFT JOIN o_active a ON {on.format('a')} LEFT JOIN o_brand b ON {on.format('b')} {keep} GROUP BY ALL"""
+    SELECT DateKey, BranchCode, RouteCode, ShopType, {sums}
+    FROM (SELECT * FROM o_active UNION ALL BY NAME SELECT * FROM o_brand) {keep} GROUP BY ALL"""
 
 
 # -- assets and scorecard ---------------------------------------------------------------
 
 COOLER = f"""
-    SELECT t.YM || '01' AS DateKey, BranchCode, coalesce(RouteCode, '') AS RouteCode, CustomerCode, AssetSubType,
-           NoOfCooler, AmountPerCooler * NoOfCooler AS AmountByAsset
-    FROM (SELECT a.YM, coalesce(BranchByVP, BranchByAsset) AS BranchCode, VPRoute AS RouteCode,
-                 a.Customer AS CustomerCode, CAST(max(v.TotalAmount) AS DOUBLE) / count(*) AS AmountPerCooler
-          FROM f_asset_plan a
-          LEFT JOIN (SELECT DateKey, CustomerCode, sum(TotalAmount) AS TotalAmount FROM g_volume
-                     WHERE coalesce(BrandDesc, '0') <> '{TEST_RULES.cooler_excluded_brand}' GROUP BY ALL) v
-            ON a.YM = left(v.DateKey, 6) AND a.Customer = v.CustomerCode
-          WHERE AssetType = 'cooler' GROUP BY 1, 2, 3, 4) t
-    LEFT JOIN (SELECT YM, Customer, AssetSubType, count(*) AS NoOfCooler FROM f_asset_plan
-               WHERE AssetType = 'cooler' GROUP BY ALL) s ON t.YM = s.YM AND t.CustomerCode = s.Customer"""
+    SELECT DISTINCT p.YM || '01' AS DateKey, p.BranchCode, coalesce(p.RouteCode, '') AS RouteCode,
+        p.Customer AS CustomerCode, k.AssetSubType, k.kind AS NoOfCooler, k.kind * (p.sold / p.here) AS AmountByAsset
+    FROM (SELECT a.YM, coalesce(BranchByVP, BranchByAsset) AS BranchCode, VPRoute AS RouteCode, a.Customer,
+            count(*) OVER (PARTITION BY a.YM, coalesce(BranchByVP, BranchByAsset), VPRoute, a.Customer) AS here,
+            (SELECT CAST(sum(TotalAmount) AS DOUBLE) FROM g_volume g WHERE g.CustomerCode = a.Customer
+              AND left(g.DateKey, 6) = a.YM AND BrandDesc IS DISTINCT FROM '{TEST_RULES.cooler_excluded_brand}') AS sold
+          FROM f_asset_plan a WHERE AssetType = 'cooler') p
+    LEFT JOIN (SELECT YM, Customer, AssetSubType, count(*) OVER (PARTITION BY YM, Customer, AssetSubType) AS kind
+               FROM f_asset_plan WHERE AssetType = 'cooler') k USING (YM, Customer)"""
 
 _LABELS = {
     "Est": f"Brand = '{_B['Est']}'", "Crystal": f"Brand = '{_B['Crystal']}'",
@@ -299,47 +302,42 @@ _WIDE = ", ".join(
     for label, test in _LABELS.items() for part, m in _PARTS.items()
 ) + ", " + ", ".join(f"sum({m}) AS TotalBrand{part}" for part, m in _PARTS.items())
 _WIDE_NAMES = [f"{label}{part}" for label in [*_LABELS, "TotalBrand"] for part in _PARTS]
-_TO_OUTLETS = """
-    JOIN (SELECT ChannelMarge, Value2 AS PostMixFlag FROM d_channel c JOIN d_config f ON c.SalesOfficeDesc = f.Value1) h
-      ON i.ChannelSalesOffice = h.ChannelMarge
-    LEFT JOIN d_customer c ON i.HANAFlag = c.HANAFlag AND i.CustomerCode = c.Customer
-    LEFT JOIN d_group g ON c.CustGrp1 = g.CustGrp
-    WHERE ShopType NOT IN ('CVM', 'Employee') AND SpecialGrp1 IN ('', 'Other') AND left(i.CustomerCode, 1) <> 'E'
-      AND CustGrp NOT IN (-2, 131) AND CustType = 'Customer store'"""
+_STORES = """(SELECT HANAFlag, Customer AS CustomerCode FROM d_customer LEFT JOIN d_group ON CustGrp1 = CustGrp
+    WHERE CustType = 'Customer store' AND ShopType NOT IN ('CVM', 'Employee') AND SpecialGrp1 IN ('', 'Other')
+      AND NOT starts_with(Customer, 'E') AND CustGrp NOT IN (-2, 131))"""
+_SOLD_THROUGH = """(SELECT ChannelMarge AS ChannelSalesOffice, CAST(coalesce(Value2 = 'Post-Mix', false) AS INTEGER) AS mix
+    FROM d_channel, d_config WHERE SalesOfficeDesc = Value1)"""
 
 
 def scorecard_sql(parity: bool, base: dict[str, str] | None = None) -> str:
-    mix = "CASE WHEN PostMixFlag = 'Post-Mix' THEN 1 ELSE 0 END"
-    flag = f"{mix} AS PostMixFlag" if parity else f"max({mix}) AS PostMixFlag"
-    group = f"GROUP BY DateKey, BranchCode, RouteCode{', ' + mix if parity else ''}"
+    """Every source adds rows of its measures under the three keys; the rows are summed once."""
     side = ["TotalOutletVP", "ActiveOutletVP", "ActiveBrandOutletVL", "NoOfBrandOutletVL", "NoOfPlanVisit",
             "NoOfActualVisit", "NoOfBill", "NoOfBrand"]
-    on = "k.DateKey = {0}.DateKey AND k.BranchCode = {0}.BranchCode AND k.RouteCode = {0}.RouteCode"
+    keys = "DateKey, BranchCode, RouteCode"
+    outlet_side, visit_side = ", ".join(side[:4]), ", ".join(side[4:6])
+    whole = "(DateKey || BranchCode || RouteCode) IS NOT NULL"
+    times = "greatest(count(DISTINCT mix), 1)" if parity else "1"
     views = {
         "g_volume": volume_view(None), "g_bills": bills_view(None), "g_visits": visits_view(None),
         "g_outlets": outlets_view(None), "g_coolers": COOLER, **OUTLET_VIEWS,
-        "s_volume": f"SELECT DateKey, BranchCode, RouteCode, {flag}, {_WIDE} FROM g_volume i {_TO_OUTLETS} {group}",
-        "s_bills": f"""SELECT DateKey, BranchCode, RouteCode, sum(NoOfBill - NoOfBillCN) AS NoOfBill,
-            sum(NoOfBrand - NoOfBrandCN) AS NoOfBrand FROM g_bills i {_TO_OUTLETS} GROUP BY 1, 2, 3""",
-        "s_visits": """SELECT DateKey, BranchCode, RouteCode, sum(NoOfPlanVisit) AS NoOfPlanVisit,
-            sum(NoOfActualVisit) AS NoOfActualVisit FROM g_visits GROUP BY 1, 2, 3""",
-        "s_outlets": """SELECT DateKey, BranchCode, RouteCode, sum(TotalOutletVP) AS TotalOutletVP,
-            sum(ActiveOutletVP) AS ActiveOutletVP, sum(ActiveBrandOutletVL) AS ActiveBrandOutletVL,
-            sum(NoOfBrandOutletVL) AS NoOfBrandOutletVL FROM g_outlets GROUP BY 1, 2, 3""",
-        "s_keys": """SELECT DateKey, BranchCode, RouteCode FROM s_volume
-            UNION SELECT DateKey, BranchCode, RouteCode FROM g_visits
-            UNION SELECT DateKey, BranchCode, RouteCode FROM g_outlets
-            UNION SELECT DateKey, BranchCode, coalesce(RouteCode, '') FROM g_coolers o
-                LEFT JOIN d_customer c ON o.CustomerCode = c.Customer AND c.HANAFlag = 1
-                LEFT JOIN d_group g ON c.CustGrp1 = g.CustGrp WHERE ShopType IN ('FSR', 'Provision', 'Other')""",
+        "s_rows": f"""
+            SELECT {keys}, true AS opens, mix, {_WIDE} FROM g_volume JOIN {_SOLD_THROUGH} USING (ChannelSalesOffice)
+                JOIN {_STORES} USING (HANAFlag, CustomerCode) GROUP BY {keys}, mix
+            UNION ALL BY NAME
+            SELECT {keys}, false AS opens, sum(NoOfBill - NoOfBillCN) AS NoOfBill, sum(NoOfBrand - NoOfBrandCN) AS NoOfBrand
+                FROM g_bills JOIN {_SOLD_THROUGH} USING (ChannelSalesOffice)
+                JOIN {_STORES} USING (HANAFlag, CustomerCode) GROUP BY {keys}
+            UNION ALL BY NAME SELECT {keys}, true AS opens, {visit_side} FROM g_visits
+            UNION ALL BY NAME SELECT {keys}, true AS opens, {outlet_side} FROM g_outlets
+            UNION ALL BY NAME
+            SELECT DISTINCT {keys}, true AS opens FROM g_coolers WHERE CustomerCode IN (
+                SELECT Customer FROM o_shop WHERE HANAFlag = 1 AND ShopType IN ('FSR', 'Provision', 'Other'))""",
     }
     body = f"""
-    SELECT k.DateKey, k.BranchCode, k.RouteCode, CAST(max(coalesce(PostMixFlag, 0)) AS INTEGER) AS PostMixFlag,
-        {", ".join(f"CAST(sum({n}) AS DOUBLE) AS {n}" for n in _WIDE_NAMES)},
-        {", ".join(f"CAST(sum({n}) AS BIGINT) AS {n}" for n in side)}
-    FROM s_keys k LEFT JOIN s_volume v ON {on.format('v')} LEFT JOIN s_visits c ON {on.format('c')}
-    LEFT JOIN s_bills b ON {on.format('b')} LEFT JOIN s_outlets o ON {on.format('o')}
-    GROUP BY k.DateKey, k.BranchCode, k.RouteCode"""
+    SELECT {keys}, coalesce(max(mix) FILTER ({whole}), 0) AS PostMixFlag,
+        {", ".join(f"CAST(sum({n}) FILTER ({whole}) AS DOUBLE) AS {n}" for n in _WIDE_NAMES)},
+        {", ".join(f"CAST(sum({n}) FILTER ({whole}) * {times} AS BIGINT) AS {n}" for n in side)}
+    FROM s_rows GROUP BY {keys} HAVING bool_or(opens)"""
     return with_views(body, views, base)
 
 

@@ -7,10 +7,10 @@ import inspect
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+from checks import oracle, registry
 from checks.compare import TABLES, canonical
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = registry.queries(), oracle.statements()
 
 
 @pytest.fixture(scope="module")
