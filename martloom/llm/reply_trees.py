@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -67,20 +68,21 @@ def pointers(messages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     known = messages.select(F.col("id").alias("up"), F.lit(True).alias("known"))
     walk = messages.select("id", F.col("parent").alias("up"), F.col("value").alias("total")).join(known, "up", "left") \
         .select("id", F.when(F.col("known"), F.col("up")).alias("up"), F.lit(1).cast("long").alias("depth"), "total")
-    walk, jumps, before = stored(walk, "walk"), [], None
+    walk, jumps, before, done = stored(walk, "walk"), [], None, []
     while True:
+        done.append(walk.filter(F.col("up").isNull()))
         left = walk.filter(F.col("up").isNotNull())
         n = left.count()
         if n == 0 or n == before:
             break
         jumps.append(left.select("id", "up"))
-        above = walk.select(F.col("id").alias("up"), F.col("up").alias("next"), F.col("depth").alias("d"),
-                            F.col("total").alias("t"))
-        walk = stored(walk.join(above, "up", "left").select(
-            "id", F.col("next").alias("up"), (F.col("depth") + F.coalesce("d", F.lit(0))).alias("depth"),
-            (F.col("total") + F.coalesce("t", F.lit(0))).alias("total")), "walk")
+        above = reduce(DataFrame.unionByName, done, left).select(
+            F.col("id").alias("up"), F.col("up").alias("next"), F.col("depth").alias("d"), F.col("total").alias("t"))
+        walk = stored(left.join(above, "up").select(
+            "id", F.col("next").alias("up"), (F.col("depth") + F.col("d")).alias("depth"),
+            (F.col("total") + F.col("t")).alias("total")), "walk")  # finished messages are not joined again
         before = n
-    return jumps, walk.filter(F.col("up").isNull()).select("id", "depth", "total")
+    return jumps, reduce(DataFrame.unionByName, done).select("id", "depth", "total")
 
 
 def best_paths(messages: DataFrame, branches: int | None = 1) -> DataFrame:
