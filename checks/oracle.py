@@ -369,8 +369,8 @@ def _visit_sql(day: str, where: str) -> str:
         CAST({day} AS VARCHAR) AS ETLLoadData FROM f_visit {where}""")
 
 
-def _targets_view(status: str | None = None) -> str:
-    keep = f"WHERE o_orderstatus = '{status}'" if status else ""
+def _targets_view(status: str | None = None, priority: str | None = None) -> str:
+    keep = f"WHERE o_orderstatus = '{status}'" if status else f"WHERE o_orderpriority = '{priority}'" if priority else ""
     return f"""SELECT strftime(o_orderdate, '%Y%m') AS YM, CAST(c_nationkey AS VARCHAR) AS Branch,
         o_orderpriority AS Brand, sum(CAST(o_totalprice AS DECIMAL(12,2))) AS AOP,
         sum(CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DECIMAL(12,1))) AS AOPLY
@@ -540,7 +540,8 @@ def statements() -> dict[str, str]:
             CAST(FirstDay AS VARCHAR) AS FirstActiveBillingDate, YM AS FirstBillingMonth, 1 AS FirstBillingMonthCount,
             Customer AS SellToCustomer, CAST(FirstDay AS VARCHAR) AS ETLLoadData FROM f_plan """),
         "target_tdm": f"SELECT {_MANAGER} FROM ({_MANAGER_VIEW})",
-        "target_ndtdm": f"SELECT {_MANAGER} FROM ({_MANAGER_VIEW})",
+        "target_ndtdm": f"""SELECT {_MANAGER} FROM ({_MANAGER_VIEW.replace(
+            "JOIN orders ON l_orderkey = o_orderkey", "JOIN orders ON l_orderkey = o_orderkey AND l_linestatus = 'O'")})""",
         "customer_union": _customer_sql(False),
         "customer_geo": _customer_sql(True),
         "location_geo": f"""WITH l AS ({_BRANCHES}), b AS ({_TERRITORY}), sh AS ({_SHEET})
@@ -574,7 +575,7 @@ def statements() -> dict[str, str]:
         "replace_month_window": _daily("DateKey >= '20010301'"),
         "replace_day_window": _daily("day >= DATE '2001-08-01' - INTERVAL 5 DAY"),
         "replace_keys_join": _replaced(_BRANCH, ["YM"]),
-        "replace_keys_exists": _replaced(_ROUTE, ["YM", "Branch", "Brand"]),
+        "replace_keys_exists": _replaced(_ROUTE, ["YM"]),
         "replace_keys_derived": f"""WITH m AS ({_MANAGER_VIEW}) SELECT {_MANAGER} FROM m WHERE Brand <> 'R'
             AND YM NOT IN (SELECT YM FROM m WHERE Brand = 'R') UNION ALL SELECT {_MANAGER} FROM m WHERE Brand = 'R'""",
         "recon_delta": with_views(f"""
@@ -588,10 +589,11 @@ def statements() -> dict[str, str]:
                OR {" OR ".join(f"coalesce(a.{m}, 0) <> coalesce(b.{m}, 0)" for m in deltas)}""",
             {"g_window": window, "g_brand": full}),
     }
-    for name in ("target_branch", "target_branch_dm", "target_branch_nddm"):
-        out[name] = f"SELECT {_BRANCH} FROM ({_targets_view()})"
-    for name in ("target_route", "target_route_nd"):
-        out[name] = f"SELECT {_ROUTE} FROM ({_targets_view()})"
+    for name, view in (("target_branch", _targets_view()), ("target_branch_dm", _targets_view(priority="1-URGENT")),
+                       ("target_branch_nddm", _targets_view(priority="5-LOW"))):
+        out[name] = f"SELECT {_BRANCH} FROM ({view})"
+    for name, view in (("target_route", _targets_view()), ("target_route_nd", _targets_view("F"))):
+        out[name] = f"SELECT {_ROUTE} FROM ({view})"
     for name, table in (COPIES | MIRRORED).items():
         out[name] = _filled_sql(table)
     return out

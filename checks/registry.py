@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +17,6 @@ from martloom.plans.mirror import mirror
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-WINDOW_5 = date(2001, 3, 1)
 LOADED = "2001-08-01"
 
 
@@ -76,9 +74,8 @@ def filled_table(r: Roles, table: str) -> DataFrame:
 
 def _sale_job(job, months: int | None = 5):
     def run(r: Roles) -> DataFrame:
-        since = None if months is None else WINDOW_5
         return job(
-            r.invoice(since), r.reason(), r.customer(), r.material(), as_of=AS_OF, months=months, rules=TEST_RULES
+            r.invoice(), r.reason(), r.customer(), r.material(), as_of=AS_OF, months=months, rules=TEST_RULES
         )
     return run
 
@@ -90,10 +87,8 @@ def visit_call(r: Roles, months: int | None = 2) -> DataFrame:
 
 
 def active_outlet(r: Roles, months: int | None = 0) -> DataFrame:
-    since = None if months is None else date(2001, 8, 1)
-    plan_since = None if months is None else date(2001, 7, 1)
     return outlets.active_outlets(
-        r.invoice(since), r.plan(plan_since), r.reason(), r.channel(), r.config(), r.material(), r.customer(),
+        r.invoice(), r.plan(), r.reason(), r.channel(), r.config(), r.material(), r.customer(),
         r.group(), r.route(), r.location(), as_of=AS_OF, months=months, rules=TEST_RULES,
     )
 
@@ -140,8 +135,8 @@ def replace_day_window(r: Roles) -> DataFrame:
     return replace_window(stored, new.filter(stale), stale)
 
 
-def _targets(r: Roles, table: str, status: str | None = None) -> DataFrame:
-    landing = r.route_targets(status) if "Route" in table else r.branch_targets(status)
+def _targets(r: Roles, table: str, status: str | None = None, priority: str | None = None) -> DataFrame:
+    landing = r.route_targets(status, priority) if "Route" in table else r.branch_targets(status, priority)
     return facts.targets(landing, table)
 
 
@@ -198,12 +193,12 @@ JOBS: dict[str, Callable[[Roles], DataFrame]] = {
     "asset_plan_slice": lambda r: asset_plan(r, 1),
     "cust_plan": lambda r: facts.customer_plan(r.plan()),
     "target_branch": lambda r: _targets(r, "FactAOP"),
-    "target_branch_dm": lambda r: _targets(r, "FactAOPDM"),
-    "target_branch_nddm": lambda r: _targets(r, "FactAOPNDDM"),
+    "target_branch_dm": lambda r: _targets(r, "FactAOPDM", priority="1-URGENT"),
+    "target_branch_nddm": lambda r: _targets(r, "FactAOPNDDM", priority="5-LOW"),
     "target_route": lambda r: _targets(r, "FactAOPRoute"),
-    "target_route_nd": lambda r: _targets(r, "FactAOPNDRoute"),
+    "target_route_nd": lambda r: _targets(r, "FactAOPNDRoute", "F"),
     "target_tdm": lambda r: facts.manager_targets(r.manager_sheet(), "FactAOPTDM"),
-    "target_ndtdm": lambda r: facts.manager_targets(r.manager_sheet(), "FactAOPNDTDM"),
+    "target_ndtdm": lambda r: facts.manager_targets(r.manager_sheet("O"), "FactAOPNDTDM"),
     "customer_union": lambda r: dims.customer_union(r.old_customers(), r.new_customers()).withColumns(
         {c: parse_number(F.col(c)) for c in ("LONGITUDE", "LATITUDE")}),
     "customer_geo": lambda r: dims.customers(r.old_customers(), r.new_customers(), r.boundary(), cell=5.0),
@@ -222,7 +217,7 @@ JOBS: dict[str, Callable[[Roles], DataFrame]] = {
     "replace_month_window": replace_month_window,
     "replace_day_window": replace_day_window,
     "replace_keys_join": replace_target("FactAOP", ["YM"]),
-    "replace_keys_exists": replace_target("FactAOPRoute", ["YM", "Route", "Brand"]),
+    "replace_keys_exists": replace_target("FactAOPRoute", ["YM"]),
     "replace_keys_derived": replace_derived,
     "recon_delta": recon_delta,
 }

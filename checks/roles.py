@@ -51,7 +51,7 @@ def once(view):
 
 
 class Roles:
-    """Lazy role views; ``since`` bounds the order date where a job's window allows."""
+    """Lazy role views over whole tables."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
@@ -59,13 +59,7 @@ class Roles:
 
     @once
     def raw(self, name: str) -> DataFrame:
-        table = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
-        if name != "lineitem":
-            return table
-        # A small test file is one split and would keep every core but one idle. A table
-        # stored in at least as many splits as there are cores is left as it is.
-        cores = self.spark.sparkContext.defaultParallelism
-        return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores, "l_orderkey")
+        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
     # -- dimensions ---------------------------------------------------------------
 
@@ -133,14 +127,10 @@ class Roles:
 
     # -- facts --------------------------------------------------------------------
 
-    def orders(self, since: date | None = None) -> DataFrame:
-        orders = self.raw("orders")
-        return orders if since is None else orders.filter(F.col("o_orderdate") >= F.lit(since))
-
     @once
-    def stage_invoice(self, since: date | None = None) -> DataFrame:
+    def stage_invoice(self) -> DataFrame:
         """Invoice lines as staged: no case quantities yet."""
-        orders = self.orders(since).select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+        orders = self.raw("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
         segment = self.raw("customer").select("c_custkey", "c_mktsegment")
         branch = self.raw("supplier").select("s_suppkey", "s_nationkey")
         lines = (
@@ -171,19 +161,19 @@ class Roles:
         )
 
     @once
-    def invoice(self, since: date | None = None) -> DataFrame:
+    def invoice(self) -> DataFrame:
         """The loaded invoice fact: staged lines with cases by pack size."""
         pack = self.raw("part").selectExpr(
             "CAST(p_partkey AS STRING) AS Material", f"CAST(p_size AS {AMOUNT}) AS _pack")
-        return self.stage_invoice(since).join(pack, "Material").selectExpr(
+        return self.stage_invoice().join(pack, "Material").selectExpr(
             "*", "1 AS HANAFlag", f"{_DATE_KEY} AS DateKey",
             f"CAST(SoldBaseQty / _pack AS {AMOUNT}) AS SoldCase", f"CAST(FreeBaseQty / _pack AS {AMOUNT}) AS FreeCase",
         )
 
     @once
-    def plan(self, since: date | None = None) -> DataFrame:
+    def plan(self) -> DataFrame:
         """Customers on a route plan: every key with a line that was not accepted outright."""
-        kept = self.stage_invoice(since).filter(F.col("_flag") != "A")
+        kept = self.stage_invoice().filter(F.col("_flag") != "A")
         return kept.groupBy("YM", "Branch", "Route", "Customer").agg(
             F.count(F.lit(1)).cast("int").alias("CustomerTotal"),
             F.to_date(F.min("BillingDate")).alias("FirstActiveBillingDate"),
@@ -341,10 +331,11 @@ class Roles:
             (F.col("s_nationkey") % 2).alias("PxIncludeFlag"),
         )
 
-    def branch_targets(self, status: str | None = None) -> DataFrame:
-        """Targets per month, branch and brand, as text cells."""
+    def branch_targets(self, status: str | None = None, priority: str | None = None) -> DataFrame:
+        """Targets per month, branch and brand, as text cells; a landing may cover one kind of order."""
         orders = self.raw("orders")
         orders = orders if status is None else orders.filter(F.col("o_orderstatus") == status)
+        orders = orders if priority is None else orders.filter(F.col("o_orderpriority") == priority)
         price = F.col("o_totalprice").cast("decimal(12,2)")
         nothing = F.lit(None).cast("string")
         return orders.join(self.raw("customer"), F.col("o_custkey") == F.col("c_custkey")).groupBy(
@@ -357,16 +348,18 @@ class Roles:
             F.lit("FSR").alias("ShopType"), "AOPLY", "AOP",
         )
 
-    def route_targets(self, status: str | None = None) -> DataFrame:
-        t = self.branch_targets(status)
+    def route_targets(self, status: str | None = None, priority: str | None = None) -> DataFrame:
+        t = self.branch_targets(status, priority)
         return t.select(
             "YM", F.col("Branch").alias("Route"), "Brand", "ShopType",
             F.col("AOPLY").alias("AOPLYRoute"), F.col("AOP").alias("AOPRoute"),
         )
 
-    def manager_sheet(self) -> DataFrame:
+    def manager_sheet(self, status: str | None = None) -> DataFrame:
         """Targets per manager and month; a start date is the first order day of the month."""
-        lines = self.raw("lineitem").join(self.raw("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        lines = self.raw("lineitem")
+        lines = lines if status is None else lines.filter(F.col("l_linestatus") == status)
+        lines = lines.join(self.raw("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         return lines.groupBy(ym(F.col("o_orderdate")).alias("_ym"), _text(F.col("l_suppkey") % 10).alias("TDMID"),
                              F.col("l_returnflag").alias("Brand")).agg(
             _text(F.to_date(F.min("o_orderdate"))).alias("StartDate"),

@@ -48,7 +48,3 @@ def day_window(stamp: Column, as_of: date | None, back: int) -> Column:
 def next_month(key: Column) -> Column:
     """``yyyyMM`` shifted one month forward (202412 -> 202501)."""
     return ym(F.add_months(F.to_date(F.concat(key, F.lit("01")), "yyyyMMdd"), 1))
-
-
-def shifted(value: Column, days: Column) -> Column:
-    return F.date_add(value, days)

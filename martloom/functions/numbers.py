@@ -8,10 +8,6 @@ from pyspark.sql import functions as F
 AMOUNT = "decimal(18,4)"
 
 
-def amount(value: Column) -> Column:
-    return value.cast(AMOUNT)
-
-
 def divide(left: Column, right: Column, strict: bool = False) -> Column:
     """Decimal quotient. A zero divisor gives NULL, or an error when ``strict``."""
     return left / right if strict else F.try_divide(left, right)

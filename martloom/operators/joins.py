@@ -8,16 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def small_side(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Mark a lookup for broadcast after counting that it is small; otherwise leave it alone.
-
-    For lookups whose size Spark overestimates (a join or DISTINCT of two tiny tables). Left
-    to the estimate, the fact would be shuffled by a key with a handful of values. The count
-    stops at the bound.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def or_join(left: DataFrame, right: DataFrame, left_keys: list[str], right_key: str) -> DataFrame:
     """Left join on ``right_key = left_keys[0] OR right_key = left_keys[1] ...``.
 

@@ -15,22 +15,26 @@ def recon(left: DataFrame, right: DataFrame, keys: list[str], measures: list[str
     """Keys whose rows differ: presence flag and ``left - right`` of every measure.
 
     Both sides go through one union and one aggregation: a single shuffle with
-    map-side combine, and NULL keys compare as equal.
+    map-side combine, and NULL keys compare as equal. A sum of row hashes over all shared columns shows
+    differences that cancel out in the sums, and tells NULL from 0.
     """
+    shared = [c for c in left.columns if c in right.columns]
+    row = F.xxhash64(*[F.col(c) for c in shared], *[F.col(c).isNull() for c in shared]).cast("decimal(20,0)")
+
     def side(df: DataFrame, name: str, sign: int) -> DataFrame:
         return df.select(
             *keys,
             *[(F.coalesce(F.col(m), F.lit(0)) * sign).alias(m) for m in measures],
             F.lit(1 if name == "left" else 0).alias("_left"),
-            F.lit(1 if name == "right" else 0).alias("_right"),
+            F.lit(1 if name == "right" else 0).alias("_right"), (row * sign).alias("_rows"),
         )
 
     delta = [f"{m}Delta" for m in measures]
     total = side(left, "left", 1).unionByName(side(right, "right", -1)).groupBy(*keys).agg(
         *[F.sum(m).alias(d) for m, d in zip(measures, delta)],
-        F.sum("_left").alias("LeftRows"), F.sum("_right").alias("RightRows"),
+        F.sum("_left").alias("LeftRows"), F.sum("_right").alias("RightRows"), F.sum("_rows").alias("_rows"),
     )
     differs = reduce(or_, [F.col(d) != 0 for d in delta], F.col("LeftRows") != F.col("RightRows"))
-    return total.filter(differs).withColumn(
+    return total.filter(differs | (F.col("_rows") != 0)).drop("_rows").withColumn(
         "Presence", matched_flag(F.col("LeftRows") > 0, F.col("RightRows") > 0)
     )

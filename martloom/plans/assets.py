@@ -35,15 +35,15 @@ def cooler_sales(asset: DataFrame, volume: DataFrame, *, rules: Rules = DEFAULT_
         .groupBy(F.left("DateKey", F.lit(6)).alias("YM"), "CustomerCode")
         .agg(F.max("_total").alias("_total"), F.count(F.lit(1)).alias("_days"))
     )
-    per_cooler = placed.join(sales, ["YM", "CustomerCode"], "left").withColumn(
-        "_amount",
-        F.col("_total").cast("double") / (F.col("_assets") * F.coalesce("_days", F.lit(1))),
-    )
+    coolers_here = (F.col("_assets") * F.coalesce("_days", F.lit(1))).cast("decimal(18,0)")
+    per_cooler = placed.join(sales, ["YM", "CustomerCode"], "left").withColumn("_coolers", coolers_here)
     kinds = coolers.groupBy("YM", F.col("Customer").alias("CustomerCode"), "AssetSubType").agg(
         F.count(F.lit(1)).alias("NoOfCooler")
     )
     return per_cooler.join(kinds, ["YM", "CustomerCode"], "left").select(
         F.concat_ws("", "YM", F.lit("01")).alias("DateKey"), "BranchCode",
         F.coalesce("RouteCode", F.lit("")).alias("RouteCode"), "CustomerCode", "AssetSubType", "NoOfCooler",
-        (F.col("_amount") * F.col("NoOfCooler")).alias("AmountByAsset"),
+        # Multiplied first, so the one division is the only rounding.
+        ((F.col("_total").cast("decimal(20,4)") * F.col("NoOfCooler").cast("decimal(9,0)")) / F.col("_coolers"))
+        .cast("decimal(28,8)").alias("AmountByAsset"),
     )

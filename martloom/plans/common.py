@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martloom.functions import AMOUNT, month_window
+from martloom.functions import month_window
 from martloom.rules import Rules
 
 
@@ -78,9 +78,14 @@ def keep_customers(
     A customer listed k times would have repeated each line k times: sums scale by k,
     distinct counts do not change.
     """
+    copies = F.col("_copies").cast("decimal(9,0)")
+
+    def times(c: str) -> Column:
+        # 28 digits times 9 keep every decimal place; a wider product would be rounded.
+        scale = totals.schema[c].dataType.scale
+        return (F.col(c).cast(f"decimal(28,{scale})") * copies).alias(c)
     return totals.join(customer_copies(customer, rules), ["HANAFlag", "CustomerCode"]).select(
-        *keys, *counts, *[(F.col(c) * F.col("_copies")).alias(c) for c in sums]
-    )
+        *keys, *counts, *[times(c) for c in sums])
 
 
 def channel_flags(channel: DataFrame, config: DataFrame) -> DataFrame:
@@ -111,7 +116,3 @@ def outlet_customers(
     if stores_only:
         kept = kept & (F.col("CustType") == rules.store_type)
     return customer_shops(customer, group).filter(kept)
-
-
-def typed(column: str, kind: str = AMOUNT) -> Column:
-    return F.col(column).try_cast(kind).alias(column)

@@ -10,10 +10,12 @@ from dataclasses import dataclass
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from martloom.functions import ym
 from martloom.plans import assets, dims, facts, outlets, scorecard, visits, volume
 from martloom.rules import DEFAULT_RULES, Rules
-from martloom.sinks.store import Mart, window_month, with_load_day, with_month
+from martloom.sinks.store import NO_VALUE, Mart, window_month, with_load_day, with_month
 from martloom.sources.landing import has_rows
 
 Tables = Callable[[str], DataFrame]
@@ -25,6 +27,13 @@ COPIED = [
 ]
 # fact -> days of load stamps replaced every night
 FACT_DAYS = {"FactAllDataInvoice": 5, "FactVisitList": 1, "FactActualVisit": 1, "FactDataAsset": 1}
+# fact -> partition columns: the month its readers ask for, then the load day its replace is scoped by
+LAYOUT = {
+    "FactAllDataInvoice": ("YM", "etl_date"), "FactDataAsset": ("YM", "etl_date"),
+    "FactVisitList": ("visit_ym", "etl_date"), "FactActualVisit": ("visit_ym", "etl_date"),
+}
+VISIT_DAY = {"FactVisitList": "AssignedDate", "FactActualVisit": "VisitDate"}
+LAST_DAYS = "InvoiceLastDay"  # YM, LastDay: newest billing day of every month of the invoice fact
 BRANCH_TARGETS = ["FactAOP", "FactAOPDM", "FactAOPNDDM", "FactAOPRoute", "FactAOPNDRoute"]
 MANAGER_TARGETS = ["FactAOPTDM", "FactAOPNDTDM"]
 
@@ -50,8 +59,8 @@ def load_facts(
 ) -> dict[str, int]:
     """Replace the last load days of every fact; ``full`` loads all history once.
 
-    Facts are partitioned by load day, the scope of their replace. Rows are sorted by month
-    inside a file, so a month window skips row groups.
+    Facts are partitioned by month and load day, so both the month windows of the aggregates and the
+    day window of the load touch only their own directories.
     """
     def days(table: str) -> int | None:
         return None if full else FACT_DAYS[table]
@@ -69,23 +78,55 @@ def load_facts(
     written = {"FactCustPerMonPlan": mart.overwrite("FactCustPerMonPlan", dims.stamped(plan))}
     for table, df in built.items():
         rows = with_load_day(dims.stamped(df))
-        sort = ("YM",) if "YM" in df.columns else ()
+        if table in VISIT_DAY:
+            rows = rows.withColumn("visit_ym", ym(F.to_date(VISIT_DAY[table])))
         if full:
-            written[table] = mart.overwrite(table, rows, "etl_date", sort)
+            written[table] = mart.overwrite(table, rows, LAYOUT[table])
         else:
             since = (as_of - timedelta(days=FACT_DAYS[table])).isoformat()
-            written[table] = mart.replace_window(table, rows, "etl_date", since, sort)
+            before = _months_loaded(mart, table, since) if table == "FactAllDataInvoice" else set()
+            written[table] = mart.replace_window(table, rows, LAYOUT[table], since)
+            if table == "FactAllDataInvoice":
+                _refresh_last_days(mart, before | _months_loaded(mart, table, since))
+    if full:
+        _refresh_last_days(mart, None)
     return written
 
 
+def _months_loaded(mart: Mart, table: str, since: str) -> set[str]:
+    """Months that hold load days of a window, from the directory names."""
+    return {month for month, day in mart.partitions(table, LAYOUT[table]) if day >= since and day != NO_VALUE}
+
+
+def _refresh_last_days(mart: Mart, months: set[str] | None) -> None:
+    """Recompute the last billing day of the months a load touched (None: all); other months are not read."""
+    invoice = mart.read("FactAllDataInvoice")
+    if months is not None:
+        invoice = invoice.filter(F.col("YM").isin(sorted(months)))
+    days = invoice.filter(F.col("YM").isNotNull()).groupBy("YM").agg(F.max("DateKey").alias("LastDay"))
+    if months is None or not mart.exists(LAST_DAYS):
+        mart.overwrite(LAST_DAYS, days)
+    else:
+        touched = mart.spark.createDataFrame([(m,) for m in sorted(months)], "YM string")
+        kept = mart.read(LAST_DAYS).join(touched, "YM", "left_anti")
+        mart.overwrite(LAST_DAYS, kept.unionByName(days))
+
+
 def load_targets(mart: Mart, sheet: Tables) -> dict[str, int]:
-    """Targets: months in a landing replace the stored months. Empty landings change nothing."""
+    """Targets: months in a landing replace the stored months. Empty landings change nothing.
+
+    The landing itself is stored and overwritten first; branch and route targets keep its load time.
+    """
     written = {}
     for table in BRANCH_TARGETS + MANAGER_TARGETS:
         landing = sheet(table)
         if has_rows(landing):
-            rows = facts.manager_targets(landing, table) if table in MANAGER_TARGETS else facts.targets(landing, table)
-            written[table] = mart.replace_partitions(table, dims.stamped(rows), "YM")
+            landed = f"{table}Excel"
+            written[landed] = mart.overwrite(landed, dims.stamped(landing))
+            landing = mart.read(landed)
+            rows = (dims.stamped(facts.manager_targets(landing, table)) if table in MANAGER_TARGETS
+                    else facts.targets(landing, table, keep_stamp=True))
+            written[table] = mart.replace_partitions(table, rows, "YM")
     return written
 
 
@@ -104,38 +145,74 @@ def _sales(job):
     return build
 
 
+def _since(t: Tables, table: str, month: str | None, column: str) -> DataFrame:
+    """A table from a month on; the bound is a constant and prunes."""
+    return t(table) if month is None else t(table).filter(F.col(column) >= month)
+
+
+def _visits(t: Tables, as_of: date, rules: Rules) -> DataFrame:
+    # The month before the window too: a visit may count a day later than it was made.
+    first = window_month(as_of, 3)
+    return visits.visit_calls(
+        _since(t, "FactVisitList", first, "visit_ym"), _since(t, "FactActualVisit", first, "visit_ym"), t("DimRoute"),
+        as_of=as_of, rules=rules)
+
+
+def _coolers(t: Tables, month: str | None, rules: Rules) -> DataFrame:
+    return assets.cooler_sales(
+        _since(t, "FactDataAsset", month, "YM"), _since(t, "AggInvVolByBrandYM", month, "ym"), rules=rules)
+
+
+def _card(t: Tables, month: str | None, rules: Rules, parity: bool) -> DataFrame:
+    return scorecard.scorecard(
+        _since(t, "AggInvVolByBrandYM", month, "ym"), _since(t, "AggInvBillBrandYM", month, "ym"),
+        _since(t, "AggVisitCallYM", month, "ym"), _since(t, "AggActOutletYM", month, "ym"),
+        _since(t, "AggAssetCoolerYM", month, "ym"), t("DimChannel"), t("Config"), t("DimCustomer"), t("DimCustGrp1"),
+        rules=rules, parity=parity)
+
+
 STEPS = [
-    Step("AggInvVolByBrandYM", _sales(volume.volume_by_brand), 5),
+    Step("AggInvVolByBrandYM", lambda t, as_of, rules: volume.volume_by_brand(
+        t("FactAllDataInvoice"), t("DimReason"), t("DimCustomer"), t("DimMaterial"), as_of=as_of, rules=rules,
+        last_days=t(LAST_DAYS).select("LastDay")), 5),
     Step("AggInvBillBrandYM", _sales(volume.bills), 5),
     Step("AggInvByBrandYM", _sales(volume.bills_by_brand), 5),
-    Step("AggVisitCallYM", lambda t, as_of, rules: visits.visit_calls(
-        t("FactVisitList"), t("FactActualVisit"), t("DimRoute"), as_of=as_of, rules=rules), 2),
+    Step("AggVisitCallYM", _visits, 2),
     Step("AggActOutletYM", lambda t, as_of, rules: outlets.active_outlets(
         t("FactAllDataInvoice"), t("FactCustPerMonPlan"), t("DimReason"), t("DimChannel"), t("Config"),
         t("DimMaterial"), t("DimCustomer"), t("DimCustGrp1"), t("DimRoute"), t("DimLocation"),
         as_of=as_of, rules=rules), 0),
     Step("AggDataAssetYM", lambda t, as_of, rules: assets.asset_counts(t("FactDataAsset")), None),
-    Step("AggAssetCoolerYM", lambda t, as_of, rules: assets.cooler_sales(
-        t("FactDataAsset"), t("AggInvVolByBrandYM"), rules=rules), None),
-    Step("AggInvAllDataYM", lambda t, as_of, rules: scorecard.scorecard(
-        t("AggInvVolByBrandYM"), t("AggInvBillBrandYM"), t("AggVisitCallYM"), t("AggActOutletYM"),
-        t("AggAssetCoolerYM"), t("DimChannel"), t("Config"), t("DimCustomer"), t("DimCustGrp1"), rules=rules), None),
 ]
+# Tables made of the ones above, month by month: only months that those replace can change.
+DERIVED_MONTHS = 5
+DERIVED = ["AggAssetCoolerYM", "AggInvAllDataYM"]
 
 
 def refresh_aggregates(
-    mart: Mart, as_of: date, *, rules: Rules = DEFAULT_RULES, only: set[str] | None = None
+    mart: Mart, as_of: date, *, rules: Rules = DEFAULT_RULES, only: set[str] | None = None, parity: bool = False,
+    rebuild: bool = False,
 ) -> dict[str, int]:
-    """Rebuild the aggregates; returns rows written per table. A second run changes nothing."""
-    written = {}
-    for step in STEPS:
-        if only is not None and step.table not in only:
-            continue
-        rows = with_month(step.build(mart.read, as_of, rules))
-        sort = ("BranchCode", "RouteCode")
-        if step.months is None:
-            written[step.table] = mart.overwrite(step.table, rows, "ym", sort)
+    """Rebuild the aggregates; returns rows written per table. A second run changes nothing.
+
+    Cooler sales and the scorecard are replaced for the widest window of their inputs; ``rebuild`` makes them over all
+    months, as after a full load or late assets of old months. ``parity`` repeats side measures as the scorecard says.
+    """
+    written, sort = {}, ("BranchCode", "RouteCode")
+
+    def put(table: str, rows: DataFrame, months: int | None) -> None:
+        rows = with_month(dims.stamped(rows))
+        if months is None or not mart.exists(table):
+            written[table] = mart.overwrite(table, rows, "ym", sort)
         else:
-            since = window_month(as_of, step.months)
-            written[step.table] = mart.replace_window(step.table, rows, "ym", since, sort)
+            written[table] = mart.replace_window(table, rows, "ym", window_month(as_of, months), sort)
+    for step in STEPS:
+        if only is None or step.table in only:
+            put(step.table, step.build(mart.read, as_of, rules), step.months)
+    for table in DERIVED:
+        if only is None or table in only:
+            whole = rebuild or not mart.exists(table)
+            month = None if whole else window_month(as_of, DERIVED_MONTHS)
+            rows = _coolers(mart.read, month, rules) if table == DERIVED[0] else _card(mart.read, month, rules, parity)
+            put(table, rows, None if whole else DERIVED_MONTHS)
     return written

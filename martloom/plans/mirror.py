@@ -23,6 +23,6 @@ def mirror(df: DataFrame, table: str) -> DataFrame:
     if table not in MIRRORS:
         raise ValueError(f"{table} is not mirrored")
     return df.select(*[
-        F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+        (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in schemas.schema(table).fields
     ])

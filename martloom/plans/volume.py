@@ -34,15 +34,13 @@ def volume_by_brand(
 ) -> DataFrame:
     """Volume and amounts per branch, route, salesman, customer, material and brand.
 
-    ``last_days`` (column ``LastDay``) may name the last billing day of each month when
-    the caller keeps such a table; by default it is taken from the whole fact.
+    ``last_days`` (column ``LastDay``) names the last billing day of each month; the nightly
+    load keeps such a table. By default it is taken from the whole fact.
     """
     days = last_billing_days(invoice) if last_days is None else last_days
     lines = sale_lines(
         invoice, reason, material, as_of, months, rules, ["BasicMaterial", "BrandDesc", "MatType1"]
-    # One row per month of history, whatever the size of the fact: safe to broadcast. Spark
-    # would estimate it as large as the fact and shuffle the lines by day instead.
-    ).join(F.broadcast(days), F.col("DateKey") == F.col("LastDay"), "left")
+    ).join(days, F.col("DateKey") == F.col("LastDay"), "left")
 
     def on_last_day(measure: str):
         return F.when(F.col("LastDay").isNotNull(), F.col(measure)).otherwise(F.lit(0))

@@ -10,12 +10,32 @@ from __future__ import annotations
 
 import uuid
 from datetime import date
+from functools import reduce
+from operator import and_
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from martloom import schemas
 from martloom.operators.replace import replace_keys
 
+Keys = str | tuple[str, ...] | None
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _keys(partition: Keys) -> tuple[str, ...]:
+    return () if partition is None else (partition,) if isinstance(partition, str) else tuple(partition)
+
+
+def _plain_keys(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Partition columns in binary text: a directory name has no collation."""
+    return df.withColumns({
+        k: F.collate(F.col(k), "UTF8_BINARY") for k in keys if isinstance(df.schema[k].dataType, T.StringType)
+        and df.schema[k].dataType != T.StringType()
+    })
+
 
 class Mart:
     def __init__(self, spark: SparkSession, root: str):
@@ -41,30 +61,40 @@ class Mart:
         fs, path = self._file_system()
         live, old = self.path(table), self._old(table)
         # Between the two renames of a refresh the old rows are still complete.
-        return self.spark.read.parquet(old if not fs.exists(path(live)) and fs.exists(path(old)) else live)
-
-    def _write(self, df: DataFrame, path: str, mode: str, partition: str | None, overwrite: str = "dynamic") -> int:
-        seen = Observation()
-        counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        found = self.spark.read.parquet(old if not fs.exists(path(live)) and fs.exists(path(old)) else live)
+        if table not in schemas.TABLES:
+            return found
+        # A partition directory is text and comes last: give declared columns their type and place.
+        declared = [f for f in schemas.schema(table).fields if f.name in found.columns]
+        names = {f.name for f in declared}
+        return found.select(*[
+            F.col(f.name) if found.schema[f.name].dataType == f.dataType or isinstance(f.dataType, T.StringType)
+            else F.col(f.name).cast(f.dataType).alias(f.name) for f in declared
+        ], *[c for c in found.columns if c not in names])
+
+    def _write(self, df: DataFrame, path: str, mode: str, partition: Keys, overwrite: str = "dynamic") -> int:
+        seen, keys = Observation(), _keys(partition)
+        counted = _plain_keys(df, keys).observe(seen, F.count(F.lit(1)).alias("rows"))
         writer = counted.write.mode(mode).option("partitionOverwriteMode", overwrite)
-        (writer.partitionBy(partition) if partition else writer).parquet(path)
+        (writer.partitionBy(*keys) if keys else writer).parquet(path)
         return seen.get["rows"]
 
-    def _clustered(self, df: DataFrame, partition: str | None, sort: tuple[str, ...] = ()) -> DataFrame:
+    def _clustered(self, df: DataFrame, partition: Keys, sort: tuple[str, ...] = ()) -> DataFrame:
         """Few files per partition: rebalance by it, letting Spark split the large ones.
 
         ``sort`` orders rows inside each file, so that scans skip row groups by those columns.
         """
-        laid = df.hint("rebalance", F.col(partition)) if partition else df
-        return laid.sortWithinPartitions(*filter(None, [partition]), *sort) if sort else laid
+        keys = _keys(partition)
+        laid = df.hint("rebalance", *[F.col(k) for k in keys]) if keys else df
+        return laid.sortWithinPartitions(*keys, *sort) if sort else laid
 
     def append(
-        self, table: str, df: DataFrame, partition: str | None = None, sort: tuple[str, ...] = ()
+        self, table: str, df: DataFrame, partition: Keys = None, sort: tuple[str, ...] = ()
     ) -> int:
         return self._write(self._clustered(df, partition, sort), self.path(table), "append", partition)
 
     def overwrite(
-        self, table: str, df: DataFrame, partition: str | None = None, sort: tuple[str, ...] = ()
+        self, table: str, df: DataFrame, partition: Keys = None, sort: tuple[str, ...] = ()
     ) -> int:
         """Full refresh; the old rows stay in place until the new ones are complete.
 
@@ -92,42 +122,67 @@ class Mart:
             else:
                 fs.rename(old, live)
 
-    def _partitions(self, table: str, partition: str) -> list[str]:
-        """Values of a partition column, from the directory names."""
+    def partitions(self, table: str, keys: tuple[str, ...]) -> list[tuple[str, ...]]:
+        """Values of the partition columns, from the directory names."""
         fs, path = self._file_system()
         if not self.exists(table):
             return []
-        names = [s.getPath().getName() for s in fs.listStatus(path(self.path(table))) if s.isDirectory()]
-        return [n.split("=", 1)[1] for n in names if n.startswith(f"{partition}=")]
+
+        def below(folder: str, left: tuple[str, ...]) -> list[tuple[str, ...]]:
+            if not left:
+                return [()]
+            names = [s.getPath().getName() for s in fs.listStatus(path(folder)) if s.isDirectory()]
+            values = [n.split("=", 1)[1] for n in names if n.startswith(f"{left[0]}=")]
+            return [(v, *rest) for v in values for rest in below(f"{folder}/{left[0]}={v}", left[1:])]
+        return below(self.path(table), keys)
 
     def replace_partitions(self, table: str, df: DataFrame, partition: str) -> int:
-        """Key-set replace: every key in ``df`` takes the place of the rows the table had for it."""
+        """Key-set replace: every key in ``df`` takes the place of the rows the table had for it.
+
+        A NULL key takes no one's place: stored rows without a key stay, as in the frame form, and are
+        written again together with the new ones.
+        """
+        if any(v == (NO_VALUE,) for v in self.partitions(table, (partition,))):
+            kept = self.spark.read.parquet(self.path(table)).filter(F.col(partition).isNull())
+            df = df.unionByName(kept.select(*[F.col(f.name).cast(f.dataType) for f in df.schema.fields]))
         return self._write(self._clustered(df, partition), self.path(table), "overwrite", partition)
 
     def replace_window(
-        self, table: str, df: DataFrame, partition: str, since: str, sort: tuple[str, ...] = ()
+        self, table: str, df: DataFrame, partition: Keys, since: str, sort: tuple[str, ...] = ()
     ) -> int:
         """Trailing-window replace: partitions from ``since`` on hold exactly the rows of ``df``.
 
-        Months (or days) of the window that became empty are dropped once the new ones are
-        in place. Which ones is counted during the write, one counter per stored partition
-        of the window, so the frame is computed once.
+        The last partition column is the window key; a row of ``df`` before the window or without a
+        key fails the write, and the table stays as it was. Partitions of the window that became
+        empty are dropped once the new ones are in place. Which ones is counted during the write, one
+        counter per stored partition of the window, so the frame is computed once.
         """
-        stored = [v for v in self._partitions(table, partition) if v >= since and not v.startswith("__HIVE")]
-        key = F.col(partition).cast("string")
+        keys = _keys(partition)
+        key = F.col(keys[-1]).cast("string")
+        stored = [v for v in self.partitions(table, keys) if v[-1] >= since and v[-1] != NO_VALUE]
+        late = F.raise_error(F.concat(F.lit(f"{table}: row outside the window from {since}: "), F.coalesce(key, F.lit("NULL"))))
         seen = Observation()
-        inside = df.filter(key >= since).observe(
+
+        def here(values: tuple[str, ...]) -> Column:
+            # A stored directory escapes some characters, so compare what Spark would name it.
+            tests = [F.col(k).isNull() if v == NO_VALUE else F.col(k).cast("string") == unquote(v)
+                     for k, v in zip(keys, values)]
+            return reduce(and_, tests)
+        inside = _plain_keys(df, keys).filter(
+            F.when(F.coalesce(key >= since, F.lit(False)), F.lit(True)).otherwise(late.cast("boolean"))
+        ).observe(
             seen, F.count(F.lit(1)).alias("rows"),
-            *[F.count_if(key == v).alias(f"p{i}") for i, v in enumerate(stored)],
+            *[F.count_if(here(v)).alias(f"p{i}") for i, v in enumerate(stored)],
         )
-        self._clustered(inside, partition, sort).write.mode("overwrite").option(
+        self._clustered(inside, keys, sort).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
-        ).partitionBy(partition).parquet(self.path(table))
+        ).partitionBy(*keys).parquet(self.path(table))
         found = seen.get
         fs, path = self._file_system()
-        for i, value in enumerate(stored):
+        for i, values in enumerate(stored):
             if not found[f"p{i}"]:
-                fs.delete(path(f"{self.path(table)}/{partition}={value}"), True)
+                folder = "/".join(f"{k}={v}" for k, v in zip(keys, values))
+                fs.delete(path(f"{self.path(table)}/{folder}"), True)
         return found["rows"]
 
     def replace_by_keys(self, table: str, df: DataFrame, on: list[str]) -> int:
@@ -152,4 +207,4 @@ def window_month(as_of: date, back: int) -> str:
     return f"{months // 12:04d}{months % 12 + 1:02d}"
 
 
-__all__ = ["Mart", "window_month", "with_load_day", "with_month"]
+__all__ = ["NO_VALUE", "Mart", "window_month", "with_load_day", "with_month"]

@@ -27,22 +27,26 @@ class JdbcSource:
         """Result of a query, in one partition; for small dimensions."""
         return spark.read.format("jdbc").options(**self.options(), query=sql).load()
 
-    def ranged_options(self, source: str, column: str, lower: str, upper: str, partitions: int) -> dict[str, str]:
-        table = f"({source}) t" if source.lstrip().lower().startswith("select") else source
+    def ranged_options(
+        self, column: str, lower: str, upper: str, partitions: int, *, table: str | None = None, query: str | None = None
+    ) -> dict[str, str]:
+        if (table is None) == (query is None):
+            raise ValueError("name either a table or a query")
         return self.options() | {
-            "dbtable": table, "partitionColumn": column, "lowerBound": str(lower), "upperBound": str(upper),
-            "numPartitions": str(partitions),
+            "dbtable": table if query is None else f"({query}) t", "partitionColumn": column, "lowerBound": str(lower),
+            "upperBound": str(upper), "numPartitions": str(partitions),
         }
 
     def ranged(
-        self, spark: SparkSession, source: str, column: str, lower: str, upper: str, partitions: int
+        self, spark: SparkSession, column: str, lower: str, upper: str, partitions: int, *,
+        table: str | None = None, query: str | None = None,
     ) -> DataFrame:
         """A table or query read in parallel by ranges of a number, date or timestamp column.
 
         The bounds only set the stride: rows outside them are read too.
         """
         return spark.read.format("jdbc").options(
-            **self.ranged_options(source, column, lower, upper, partitions)
+            **self.ranged_options(column, lower, upper, partitions, table=table, query=query)
         ).load()
 
     def sliced(self, spark: SparkSession, table: str, predicates: list[str]) -> DataFrame:

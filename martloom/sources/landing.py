@@ -22,12 +22,12 @@ def _cell(name: str, kind: T.DataType):
 
 
 def read_landing(
-    spark: SparkSession, path: str, table: str, kind: str = "csv", bad_cells: str = "null"
+    spark: SparkSession, path: str, table: str, kind: str = "csv", bad_cells: str = "fail"
 ) -> DataFrame:
     """A landed sheet with the declared columns of ``table``.
 
     Cells are read as text, blanks become NULL, then each column is cast; a cell that does
-    not parse becomes NULL, or fails the job with ``bad_cells="fail"``. Short or long rows
+    not parse fails the job, or becomes NULL with ``bad_cells="null"``. Short or long rows
     always fail.
     """
     target = schemas.schema(table)

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from checks.roles import AS_OF, TEST_RULES, Roles
-from martloom.plans import facts
+from martloom.functions import ym
+from martloom.plans import facts, volume
 from checks.registry import filled_table
 from martloom.plans.daily import (
-    BRANCH_TARGETS, COPIED, FACT_DAYS, STEPS, load_dimensions, load_facts, load_targets, refresh_aggregates,
+    BRANCH_TARGETS, COPIED, DERIVED, FACT_DAYS, LAST_DAYS, STEPS, load_dimensions, load_facts, load_targets, refresh_aggregates,
 )
 from martloom.sinks import Mart
 
@@ -26,20 +29,44 @@ def mart(spark, sf_dir, tmp_path_factory):
     }
     for name, df in tables.items():
         mart.overwrite(name, df)
+    for name, day in (("FactVisitList", "AssignedDate"), ("FactActualVisit", "VisitDate")):
+        mart.overwrite(name, tables[name].withColumn("visit_ym", ym(F.col(day))), "visit_ym")
+    days = mart.read("FactAllDataInvoice").groupBy("YM").agg(F.max("DateKey").alias("LastDay"))
+    mart.overwrite(LAST_DAYS, days)
     return mart
 
 
 def content(mart, table):
     df = mart.read(table)
+    assert "PYLoadDate" in df.columns
+    df = df.drop("PYLoadDate")
     return sorted(map(str, (tuple(r[c] for c in sorted(df.columns)) for r in df.collect())))
 
 
 def test_refresh_twice_is_a_no_op(mart):
     written = refresh_aggregates(mart, AS_OF, rules=TEST_RULES)
-    assert list(written) == [s.table for s in STEPS] and all(written.values())
+    assert list(written) == [s.table for s in STEPS] + DERIVED and all(written.values())
     first = {t: content(mart, t) for t in written}
-    assert refresh_aggregates(mart, AS_OF, rules=TEST_RULES) == written
+    again = refresh_aggregates(mart, AS_OF, rules=TEST_RULES)
+    assert {t: again[t] for t in again if t not in DERIVED} == {t: written[t] for t in written if t not in DERIVED}
     assert {t: content(mart, t) for t in written} == first
+    # The stored table of last days gives what the whole fact gives.
+    whole = volume.volume_by_brand(*[mart.read(n) for n in ("FactAllDataInvoice", "DimReason", "DimCustomer", "DimMaterial")],
+                                   as_of=AS_OF, rules=TEST_RULES)
+    stored = mart.read("AggInvVolByBrandYM")
+    assert sorted(map(str, whole.collect())) == sorted(map(str, stored.select(*whole.columns).collect()))
+
+
+def test_untouched_months_keep_their_files(mart):
+    """Of the tables made of other aggregates, only the window is written; a rebuild gives the same rows."""
+    refresh_aggregates(mart, AS_OF, rules=TEST_RULES, only=set(DERIVED), rebuild=True)
+    months = {t: sorted(v[0] for v in mart.partitions(t, ("ym",))) for t in DERIVED}
+    old = {t: os.listdir(f"{mart.path(t)}/ym={months[t][0]}") for t in DERIVED}
+    before = {t: content(mart, t) for t in DERIVED}
+    refresh_aggregates(mart, AS_OF, rules=TEST_RULES, only=set(DERIVED))
+    assert min(map(min, months.values())) < "200103"
+    assert {t: os.listdir(f"{mart.path(t)}/ym={months[t][0]}") for t in DERIVED} == old
+    assert {t: content(mart, t) for t in DERIVED} == before
 
 
 def test_volume_totals_agree_with_the_invoice(mart):
@@ -82,15 +109,14 @@ def loads(spark, sf_dir, tmp_path_factory):
         "DimCustomer": r.new_customers, "DimLocation": r.stage_location, "DimRoute": r.route_stage,
         "DimSalesman": r.salesman_stage, "DimBillingDate": r.calendar, "FactCustPerMonPlan": r.plan,
     }
-    # A few weeks of load days keep the number of partitions written by this test small.
+    # All rows, loaded once a month: a directory per load day would make this test write thousands.
     recent = {"FactAllDataInvoice": r.stage_invoice, "FactVisitList": r.planned_visits,
               "FactActualVisit": r.actual_visits, "FactDataAsset": r.stage_asset}
-    stages |= {n: (lambda f=f: f().filter("ETLLoadData >= TIMESTAMP_NTZ'2001-07-10'")) for n, f in recent.items()}
+    stages |= {n: (lambda f=f: f().withColumn("ETLLoadData", F.date_trunc("MONTH", "ETLLoadData").cast("timestamp_ntz")))
+               for n, f in recent.items()}
     sheets = {"DimLocation": r.location_sheet, "DimRoute": r.route_sheet, "DimSalesman": r.salesman_sheet,
               "DimBillingDate": r.workdays, "FactAOPTDM": r.manager_sheet, "FactAOPNDTDM": r.manager_sheet}
     sheets |= {t: (r.route_targets if "Route" in t else r.branch_targets) for t in BRANCH_TARGETS}
-    sheets |= {t: (lambda f=sheets[t]: f().filter("YM >= '200104'")) for t in BRANCH_TARGETS}
-    sheets |= {t: (lambda: r.manager_sheet().filter("StartDate >= '2001-04-01'")) for t in ("FactAOPTDM", "FactAOPNDTDM")}
     mart = Mart(spark, str(tmp_path_factory.mktemp("loads")))
     return mart, lambda n: stages[n](), lambda n: sheets[n](), r.boundary()
 
@@ -105,11 +131,33 @@ def test_nightly_loads_repeat_without_duplicates(loads):
         nightly = load_facts(mart, stage, AS_OF)
         assert all(0 < nightly[t] < full[t] for t in FACT_DAYS)
         assert {t: mart.read(t).count() for t in sizes} == sizes
+    days = mart.read("FactAllDataInvoice").groupBy("YM").agg(F.max("DateKey").alias("LastDay"))
+    assert sorted(days.collect()) == sorted(mart.read(LAST_DAYS).select("YM", "LastDay").collect())
+
+
+def test_windows_prune_the_loaded_facts(loads, spark, sf_dir):
+    """Month bounds of the aggregates are partition filters on the tables that load_facts wrote."""
+    mart, r = loads[0], Roles(spark, sf_dir)
+    dims = {"DimReason": r.reason, "DimCustomer": r.customer, "DimMaterial": r.material, "DimRoute": r.route,
+            "DimChannel": r.channel, "Config": r.config, "DimCustGrp1": r.group, "DimLocation": r.location}
+
+    def table(name):
+        return dims[name]() if name in dims else mart.read(name)
+    for step in STEPS[:5]:
+        plan = step.build(table, AS_OF, TEST_RULES)._jdf.queryExecution().executedPlan().toString()
+        fact, key = ("visit", "visit_ym") if step.table == "AggVisitCallYM" else ("Invoice", "YM")
+        scans = [x for x in plan.splitlines() if f"{key}#" in x and "FileScan" in x and "PartitionFilters" in x]
+        assert scans, step.table
+        assert all(f"({key}#" in x.split("PartitionFilters")[1].split("PushedFilters")[0] and ">= 2001" in x for x in scans
+                   if "etl_date" in x), step.table
 
 
 def test_targets_repeat_without_duplicates(loads):
     mart, _, sheet, _ = loads
     first = load_targets(mart, sheet)
-    assert len(first) == 7 and load_targets(mart, sheet) == first
+    assert len(first) == 14 and load_targets(mart, sheet) == first
     assert {t: mart.read(t).count() for t in first} == first
+    # Branch targets carry the load time of their landing, manager targets their own.
+    landed = mart.read("FactAOPExcel").agg(F.max("PYLoadDate")).first()[0]
+    assert mart.read("FactAOP").agg(F.max("PYLoadDate")).first()[0] == landed
     assert load_targets(mart, lambda n: sheet(n).filter("false")) == {}

@@ -20,11 +20,11 @@ def put(path, text):
 def test_landing_types_and_blanks(spark, tmp_path):
     put(tmp_path / "r" / "a.csv", ",".join(columns("DimRouteExcel")) + "\nr1,ก,PS,,10,R, 7 ,s,t,d,202401\n"
         "r2,T,CS,x,11,R,oops,s,t,d,202402\n")
-    rows = read_landing(spark, str(tmp_path / "r"), "DimRouteExcel").orderBy("Route").collect()
+    rows = read_landing(spark, str(tmp_path / "r"), "DimRouteExcel", bad_cells="null").orderBy("Route").collect()
     assert rows[0]["SubBranch"] == 7 and rows[0]["SalesType2"] is None and rows[0]["TerritoryDistrict"] == "ก"
     assert rows[1]["SubBranch"] is None and rows[1]["YM"] == 202402
     with pytest.raises(Exception, match="bad cell in SubBranch"):
-        read_landing(spark, str(tmp_path / "r"), "DimRouteExcel", bad_cells="fail").collect()
+        read_landing(spark, str(tmp_path / "r"), "DimRouteExcel").collect()
 
 
 def test_landing_wrong_shape_fails(spark, tmp_path):
@@ -71,9 +71,9 @@ def test_boundary_lines(spark, tmp_path):
 
 def test_jdbc_options():
     source = JdbcSource("jdbc:x://host/db", user="u", password="p", driver="d")
-    ranged = source.ranged_options("SELECT * FROM t", "id", "0", "100", 8)
-    assert ranged["dbtable"] == "(SELECT * FROM t) t" and ranged["numPartitions"] == "8" and ranged["fetchsize"] == "10000"
-    assert source.ranged_options("t", "id", "0", "1", 2)["dbtable"] == "t"
+    ranged = source.ranged_options("id", "0", "100", 8, query="WITH x AS (SELECT 1) SELECT * FROM t")
+    assert ranged["dbtable"] == "(WITH x AS (SELECT 1) SELECT * FROM t) t" and ranged["numPartitions"] == "8" and ranged["fetchsize"] == "10000"
+    assert source.ranged_options("id", "0", "1", 2, table="t")["dbtable"] == "t"
     sink = JdbcSink(source, batch_size=5000).options("t")
     assert sink["batchsize"] == "5000" and sink["isolationLevel"] == "NONE" and "fetchsize" not in sink
     assert JdbcSink(source).options("t", truncate=True)["truncate"] == "true"

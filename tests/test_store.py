@@ -5,6 +5,8 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from martloom.functions import collate_text
+from martloom.operators import replace_keys
 from martloom.sinks import Mart
 
 
@@ -31,7 +33,7 @@ OLD = [("a", "1", "202401"), ("b", "1", "202402"), ("c", "1", "202403")]
 def test_window_replace(spark, mart):
     assert mart.append("t", frame(spark, OLD), "ym") == 3
     before = files(mart, "202401")
-    late = frame(spark, [("c", "2", "202403"), ("d", "2", "202403"), ("z", "2", "202401")])
+    late = frame(spark, [("c", "2", "202403"), ("d", "2", "202403")])
     # 202402 became empty, 202401 is outside the window and must not change.
     assert mart.replace_window("t", late, "ym", "202402") == 2
     expected = [("202401", "a", "1"), ("202403", "c", "2"), ("202403", "d", "2")]
@@ -41,8 +43,52 @@ def test_window_replace(spark, mart):
 
 
 def test_window_replace_creates_the_table(spark, mart):
-    mart.replace_window("t", frame(spark, OLD), "ym", "202402")
-    assert [r[0] for r in held(mart)] == ["202402", "202403"]
+    mart.replace_window("t", frame(spark, OLD), "ym", "202401")
+    assert [r[0] for r in held(mart)] == ["202401", "202402", "202403"]
+
+
+@pytest.mark.parametrize("ym", ["202401", None])
+def test_a_row_outside_the_window_fails_and_changes_nothing(spark, mart, ym):
+    mart.append("t", frame(spark, OLD), "ym")
+    with pytest.raises(Exception, match="outside the window"):
+        mart.replace_window("t", frame(spark, [("c", "2", "202403"), ("late", "2", ym)]), "ym", "202402")
+    assert held(mart) == sorted((ym, k, v) for k, v, ym in OLD)
+
+
+def test_frame_and_store_forms_agree_on_keys(spark, mart):
+    """Stored rows without a key stay, whatever comes in."""
+    old = frame(spark, [("keep-me", "1", None), ("b", "1", "202402"), ("c", "1", "202403")])
+    for rows in ([("new", "2", None), ("x", "2", "202402")], [("y", "3", "202403")], [("z", "4", None)]):
+        new = frame(spark, rows)
+        want = replace_keys(old, new, ["ym"])
+        mart.overwrite("t", old, "ym")
+        mart.replace_partitions("t", new, "ym")
+        kept = sorted(map(str, ((r["k"], r["v"], r["ym"]) for r in mart.read("t").collect())))
+        assert kept == sorted(map(str, ((r["k"], r["v"], r["ym"]) for r in want.collect())))
+
+
+def test_read_gives_declared_types_and_order(spark, mart):
+    rows = spark.createDataFrame([("r", "b", "s", "t", "d", 202401)], "Route string, BranchVL string, SalesMan string, "
+                                 "TDM string, DM string, YM int")
+    mart.replace_partitions("FactRouteSalesman", rows, "YM")
+    back = mart.read("FactRouteSalesman")
+    assert dict(back.dtypes)["YM"] == "int" and back.columns == rows.columns and back.collect() == rows.collect()
+
+
+def test_collated_rows_can_be_stored(spark, mart):
+    rows = collate_text(frame(spark, OLD))
+    mart.overwrite("t", rows, "ym")
+    mart.replace_window("t", rows.filter("ym = '202403'"), "ym", "202403")
+    assert len(held(mart)) == 3
+
+
+def test_window_in_the_second_partition_column(spark, mart):
+    schema = "k string, YM string, etl_date string"
+    rows = spark.createDataFrame([("a", "202401", "2024-02-01"), ("b", "202401", "2024-02-05"), ("c", None, "2024-02-06")], schema)
+    mart.append("d", rows, ("YM", "etl_date"))
+    new = spark.createDataFrame([("B", "202402", "2024-02-05")], schema)
+    mart.replace_window("d", new, ("YM", "etl_date"), "2024-02-03")
+    assert sorted(r["k"] for r in mart.read("d").collect()) == ["B", "a"]
 
 
 def test_key_set_replace_by_partition(spark, mart):
