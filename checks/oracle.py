@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from checks.registry import COPIES, DISTINCT, FILLED, MIRRORED
 from checks.roles import CHANNELS, SINCE, TEST_RULES
 from martloom import schemas
@@ -98,7 +100,7 @@ def with_views(body: str, extra: dict[str, str] | None = None, base: dict[str, s
 
     def visit(sql: str) -> None:
         for name, text in views.items():
-            if name not in needed and f"{name} " in f"{sql} ".replace("\n", " ").replace(")", " "):
+            if name not in needed and re.search(rf"\b{name}\b", sql):
                 visit(text)
                 if name not in needed:
                     needed.append(name)
@@ -281,14 +283,18 @@ def outlets_view(months_from: str | None) -> str:
 
 COOLER = f"""
     SELECT DISTINCT p.YM || '01' AS DateKey, p.BranchCode, coalesce(p.RouteCode, '') AS RouteCode,
-        p.Customer AS CustomerCode, k.AssetSubType, k.kind AS NoOfCooler, k.kind * (p.sold / p.here) AS AmountByAsset
+        p.Customer AS CustomerCode, k.AssetSubType, k.kind AS NoOfCooler,
+        -- The exact share in units of 0.0001, rounded half away from zero and read as a number.
+        CAST(CASE WHEN p.sold < 0 THEN '-' ELSE '' END || CAST((units + here) // (2 * here) // 10000 AS VARCHAR) || '.'
+          || lpad(CAST((units + here) // (2 * here) % 10000 AS VARCHAR), 4, '0') AS DOUBLE) AS AmountByAsset
     FROM (SELECT a.YM, coalesce(BranchByVP, BranchByAsset) AS BranchCode, VPRoute AS RouteCode, a.Customer,
             count(*) OVER (PARTITION BY a.YM, coalesce(BranchByVP, BranchByAsset), VPRoute, a.Customer) AS here,
-            (SELECT CAST(sum(TotalAmount) AS DOUBLE) FROM g_volume g WHERE g.CustomerCode = a.Customer
+            (SELECT sum(TotalAmount) FROM g_volume g WHERE g.CustomerCode = a.Customer
               AND left(g.DateKey, 6) = a.YM AND BrandDesc IS DISTINCT FROM '{TEST_RULES.cooler_excluded_brand}') AS sold
           FROM f_asset_plan a WHERE AssetType = 'cooler') p
     LEFT JOIN (SELECT YM, Customer, AssetSubType, count(*) OVER (PARTITION BY YM, Customer, AssetSubType) AS kind
-               FROM f_asset_plan WHERE AssetType = 'cooler') k USING (YM, Customer)"""
+               FROM f_asset_plan WHERE AssetType = 'cooler') k USING (YM, Customer),
+    LATERAL (SELECT 2 * k.kind * CAST(abs(CAST(p.sold AS DECIMAL(38,4))) * 10000 AS HUGEINT) AS units)"""
 
 _LABELS = {
     "Est": f"Brand = '{_B['Est']}'", "Crystal": f"Brand = '{_B['Crystal']}'",
@@ -559,8 +565,10 @@ def statements() -> dict[str, str]:
             FROM e LEFT JOIN b ON {_within('value', 'height')}""",
         "route_latest": _routes_sql("ETLLoadData"),
         "route_salesman": _route_people_sql("ETLLoadData"),
-        "mirror_route": _routes_sql("ETLLoadData"),
-        "mirror_route_salesman": _route_people_sql("ETLLoadData"),
+        # The mirrored column is a time.
+        "mirror_route": f"SELECT * REPLACE (ETLLoadData || ' 00:00:00' AS ETLLoadData) FROM ({_routes_sql('ETLLoadData')})",
+        "mirror_route_salesman": "SELECT * REPLACE (ETLLoadData || ' 00:00:00' AS ETLLoadData) FROM "
+                                 f"({_route_people_sql('ETLLoadData')})",
         "salesman_merge": """WITH x AS (SELECT CAST(s_suppkey AS VARCHAR) AS k, CASE WHEN s_nationkey <> 8 THEN s_name END
                 AS d, CAST(s_suppkey AS VARCHAR) || ' - ' || CASE WHEN s_nationkey <> 8 THEN s_name END AS e
                 FROM supplier WHERE s_acctbal < 6000),

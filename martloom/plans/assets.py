@@ -45,5 +45,5 @@ def cooler_sales(asset: DataFrame, volume: DataFrame, *, rules: Rules = DEFAULT_
         F.coalesce("RouteCode", F.lit("")).alias("RouteCode"), "CustomerCode", "AssetSubType", "NoOfCooler",
         # Multiplied first, so the one division is the only rounding.
         ((F.col("_total").cast("decimal(20,4)") * F.col("NoOfCooler").cast("decimal(9,0)")) / F.col("_coolers"))
-        .cast("decimal(28,8)").alias("AmountByAsset"),
+        .cast("decimal(28,4)").alias("AmountByAsset"),
     )
