@@ -57,16 +57,21 @@ def template(text: Column) -> Column:
 
 def split_words(text: Column) -> Column:
     """Words at their places; leading and trailing blanks make no words."""
-    trimmed = F.regexp_replace(text, rf"^[{BLANK}]+|[{BLANK}]+$", "")
+    trimmed = F.trim(text, F.lit(" \t\n\x0b\f\r"))
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, rf"[{BLANK}]+"))
 
 
 def windows(words: DataFrame, width: int) -> DataFrame:
-    """One row per window: the other columns, place, h. words: t (template words), n, ..."""
+    """One row per window: the other columns, place, h. words: t (template words), n, ...
+
+    Each word is hashed once; a window's hash is made of its words' after the explode, in generated code.
+    """
     places = F.when(F.col("n") >= width, F.sequence(F.lit(0), F.col("n") - width))
-    hashed = F.transform(places, lambda i: F.xxhash64(F.lit(width), F.slice("t", i + 1, width)))
-    rest = [c for c in words.columns if c not in ("t", "n", "o")]
-    return words.select(*rest, F.posexplode(hashed).alias("place", "h"))
+    rest = [c for c in words.columns if c not in ("t", "n")]
+    each = words.select(*rest, F.transform("t", lambda w: F.xxhash64(w)).alias("_words"), places.alias("_places")) \
+        .select(*rest, "_words", F.explode("_places").alias("place"))
+    parts = [F.get("_words", F.col("place") + i) for i in range(width)]
+    return each.select(*rest, "place", F.xxhash64(F.lit(width), *parts).alias("h"))
 
 
 def filled(text: Column) -> Column:
@@ -83,13 +88,14 @@ def read_items(benchmark: DataFrame, key: str, text: str) -> DataFrame:
 
 def item_windows(items: DataFrame, rule: Rule) -> DataFrame:
     """item, place, width, h, total of all windows that say enough."""
-    width = F.least("n", F.lit(rule.width))
-    places = F.sequence(F.lit(0), F.col("n") - F.col("width"))
-    told = items.withColumn("width", width).select("item", "t", "width", F.explode(places).alias("place"))
-    part = F.slice("t", F.col("place") + 1, F.col("width"))
-    plain = F.size(F.array_distinct(F.filter(part, lambda w: ~filled(w))))
-    told = told.filter(plain >= rule.literals).select(
-        "item", "place", "width", F.xxhash64("width", part).alias("h"))
+    sized = items.withColumn("width", F.least("n", F.lit(rule.width)))
+    sizes = sorted(r[0] for r in sized.select("width").distinct().collect())  # at most `width` numbers
+    plain = F.size(F.array_distinct(F.filter(F.slice("told", F.col("place") + 1, F.col("width")), lambda w: ~filled(w))))
+    told = None
+    for size in sizes or [rule.width]:
+        some = windows(sized.filter(F.col("width") == size).select("item", "width", F.col("t").alias("told"), "t", "n"), size)
+        some = some.filter(plain >= rule.literals).select("item", "place", "width", "h")
+        told = some if told is None else told.unionByName(some)
     return told.join(told.groupBy("item").agg(F.count_distinct("place").alias("total")), "item")
 
 
