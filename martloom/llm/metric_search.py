@@ -146,6 +146,8 @@ def build_index(rows: DataFrame) -> DataFrame:
         tree = Tree(part["id"].to_numpy(), np.array(part["v"].tolist(), float).reshape(len(part), dims))
         return pd.DataFrame({"dims": [dims], "block": [int(part["block"].iloc[0])], "tree": [pickle.dumps(tree)]})
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int"))
+    # A partition per block: the blocks are few bytes but much work, so they are not to be merged by size.
+    dealt = dealt.repartition(blocks, "dims", "block")
     return stored(dealt.groupBy("dims", "block").applyInPandas(load, "dims INT, block INT, tree BINARY"), "m-tree")
 
 
@@ -155,7 +157,7 @@ def search(index: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     asked = queries.withColumn("q_block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")) \
         .groupBy("dims", "q_block").agg(F.collect_list(F.struct("id", "v")).alias("asked"))
     pairs = index.withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))) \
-        .join(asked, ["dims", "q_block"]).select("tree", "asked")
+        .join(asked, ["dims", "q_block"]).select("tree", "asked").repartition(min(index.count() * blocks, 100_000) or 1)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
