@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +19,19 @@ U64 = np.uint64
 WORD_BASE, TEXT_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the workers this package, once a session: they may start anywhere and without it on their path."""
+    context = spark.sparkContext
+    if any(os.path.basename(path) == "martloom.zip" for path in context._python_includes or []):
+        return
+    root = Path(__file__).resolve().parents[2]
+    path = os.path.join(tempfile.mkdtemp(prefix="martloom-code-"), "martloom.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as bundle:
+        for file in sorted((root / "martloom").rglob("*.py")):
+            bundle.write(file, file.relative_to(root))
+    context.addPyFile(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.llm import decontaminate, language_id, metric_search, mixing, near_dedup, passages, quality, reply_trees, substrings, token_counts
+from martloom.llm import (
+    decontaminate, language_id, metric_search, mixing, near_dedup, passages, quality, reply_trees, substrings, token_counts,
+)
+from martloom.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,7 +32,12 @@ SQL: dict[str, str] = {
 
 
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    def shipped(query: Query) -> Query:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return query(spark, sf_dir)
+        return run
+    return {name: shipped(query) for name, query in QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
