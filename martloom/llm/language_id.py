@@ -239,14 +239,16 @@ def predict(
     return flagged.mapInArrow(code, schema)
 
 
-def keep_known(docs: DataFrame, model: Model | None, *, most_bits: float = 8.0) -> DataFrame:
-    """The rows of docs, with their columns, whose text is in a learned language.
+def keep_known(docs: DataFrame, model: Model | None, *, most_bits: float | None = None) -> DataFrame:
+    """The rows of docs, with their columns, that get a language: texts with a letter.
 
-    Rejected are texts without a letter and texts that even the best language codes at more than `most_bits` per byte,
-    what coding without any statistics would cost.
+    `most_bits` also rejects texts that even the best language codes at more bits per byte. It is off by default: a clean
+    text with words, names or numbers that training has not seen can cost as much as one in another language.
     """
     scored = predict(docs, model, names=("_ppm_lang", "_ppm_score", "_ppm_bits"))
-    known = (F.col("_ppm_lang") != UNKNOWN) & (F.col("_ppm_bits") <= most_bits)
+    known = F.col("_ppm_lang") != UNKNOWN
+    if most_bits is not None:
+        known = known & (F.col("_ppm_bits") <= most_bits)
     return scored.filter(known).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -254,6 +254,7 @@ def test_language_awkward(awkward, nothing):
     assert und == {3, 4, 5, 13}
     kept = language_id.keep_known(awkward, model)
     assert kept.columns == awkward.columns and {r["h"] for r in kept.collect()} == set(range(20)) - und
+    assert language_id.keep_known(awkward, model, most_bits=0.0).count() == 0
     assert {r["lang_pred"] for r in language_id.predict(awkward, language_id.train(nothing)).collect()} == {"und"}
     assert language_id.predict(nothing, model).collect() == []
 
