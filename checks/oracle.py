@@ -155,10 +155,10 @@ def volume_view(months_from: str | None) -> str:
     {_where(months_from)} GROUP BY ALL"""
 
 
-def bills_view(months_from: str | None) -> str:
+def bills_view(months_from: str | None, between: str = "|") -> str:
     def count(test: str, what: str) -> str:
         return f"CASE WHEN {test} THEN count(DISTINCT {what}) ELSE 0 END"
-    tax, other, pair = "BType = 'TaxInv'", "BType <> 'TaxInv'", "concat(BasicMaterial, '|', Documents)"
+    tax, other, pair = "BType = 'TaxInv'", "BType <> 'TaxInv'", f"concat(BasicMaterial, '{between}', Documents)"
     return f"""
     SELECT {_HEAD}, {count(tax, 'Documents')} AS NoOfBill, {count(other, 'Documents')} AS NoOfBillCN,
         {count(tax, pair)} AS NoOfBrand, {count(other, pair)} AS NoOfBrandCN, {_BILL_SUMS}
@@ -523,6 +523,7 @@ def statements() -> dict[str, str]:
         "inv_vol_by_brand_full": with_views(volume_out, {"g_volume": volume_view(None)}),
         "inv_bill_brand": with_views(bills_out, {"g_bills": bills_view("200103")}),
         "inv_bill_brand_full": with_views(bills_out, {"g_bills": bills_view(None)}),
+        "inv_bill_brand_text": with_views(bills_out, {"g_bills": bills_view(None, "")}),
         "inv_by_brand": with_views(brand_out, {"g_brand": window}),
         "inv_by_brand_full": with_views(brand_out, {"g_brand": full}),
         "mirror_inv_by_brand": with_views(brand_out, {"g_brand": window}),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -174,6 +175,7 @@ JOBS: dict[str, Callable[[Roles], DataFrame]] = {
     "inv_vol_by_brand_full": _sale_job(volume.volume_by_brand, None),
     "inv_bill_brand": _sale_job(volume.bills),
     "inv_bill_brand_full": _sale_job(volume.bills, None),
+    "inv_bill_brand_text": _sale_job(partial(volume.bills, text_pairs=True), None),
     "inv_by_brand": _sale_job(volume.bills_by_brand),
     "inv_by_brand_full": _sale_job(volume.bills_by_brand, None),
     "visit_call": visit_call,
