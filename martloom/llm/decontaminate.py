@@ -64,14 +64,12 @@ def split_words(text: Column) -> Column:
 def windows(words: DataFrame, width: int) -> DataFrame:
     """One row per window: the other columns, place, h. words: t (template words), n, ...
 
-    Each word is hashed once; a window's hash is made of its words' after the explode, in generated code.
+    The hashes are made before the explode: an array of words kept beside each exploded row would be copied once a window.
     """
     places = F.when(F.col("n") >= width, F.sequence(F.lit(0), F.col("n") - width))
+    hashed = F.transform(places, lambda i: F.xxhash64(F.lit(width), F.slice("t", i + 1, width)))
     rest = [c for c in words.columns if c not in ("t", "n")]
-    each = words.select(*rest, F.transform("t", lambda w: F.xxhash64(w)).alias("_words"), places.alias("_places")) \
-        .select(*rest, "_words", F.explode("_places").alias("place"))
-    parts = [F.get("_words", F.col("place") + i) for i in range(width)]
-    return each.select(*rest, "place", F.xxhash64(F.lit(width), *parts).alias("h"))
+    return words.select(*rest, F.posexplode(hashed).alias("place", "h"))
 
 
 def filled(text: Column) -> Column:
