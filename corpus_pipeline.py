@@ -32,7 +32,7 @@ def without_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item, also none with other numbers or names."""
-    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"), decontaminate.Rule(whole=True))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

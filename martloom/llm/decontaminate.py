@@ -3,9 +3,10 @@
 Text becomes a template: capitalised words inside sentences, numbers, and units beside numbers turn into typed
 placeholders, other words into lower case without punctuation. Windows of `width` template words of all documents meet the
 windows of the benchmark in one hash join. Hits are gathered by how an item lies over a text (one offset, one
-placement); the values that fill the placeholders must then agree: one benchmark value stands for one document value
-throughout the placement and the other way round, so a question with other numbers or names is caught and an
-accidental fit is not. A placement counts when `run` windows of it match (all but one, in shorter items).
+placement); the values that fill the placeholders, without their punctuation, must then agree: one benchmark value stands for
+one document value, so a question with other numbers or names is caught and an accidental fit is not. A window that
+disagrees does not count; the others do. A placement counts when `run` windows of it match and agree (all but one, in shorter
+items). Two benchmark values may become one; two names only under `whole`.
 
 Windows with fewer than `literals` distinct plain words say too little and are not used. Items shorter than a window are
 one window of their own length. Everything is DataFrame functions. The joined benchmark windows are a stored table of known
@@ -26,14 +27,14 @@ from pyspark.sql import functions as F
 from martloom.llm.common import stored, table
 
 # Placeholders are private-use characters, so no text holds them by chance.
-NAME, NUMBER, UNIT = "\ue000", "\ue001", "\ue002"
+NAME, NUMBER, UNIT, POINT = "\ue000", "\ue001", "\ue002", "\ue004"
 UNITS = (
     "percent|dollars|dollar|euros|euro|cents|cent|pounds|pound|kilometers|kilometres|km|meters|metres|cm|mm|miles|mile"
     "|feet|foot|inches|inch|kilograms|kg|grams|mg|liters|litres|ml|hours|hour|minutes|minute|seconds|second|days|day"
     "|weeks|week|months|month|years|year|degrees|degree|mph|kmh|m|g|l|h|s"
 )
 BLANK = r" \t\n\x0B\f\r"
-PLAIN = rf"\p{{L}}\p{{N}}{NAME}{NUMBER}{UNIT}"
+PLAIN = rf"\p{{L}}\p{{N}}{NAME}{NUMBER}{UNIT}{POINT}"
 
 
 @dataclass(frozen=True)
@@ -41,6 +42,13 @@ class Rule:
     width: int = 8
     literals: int = 4
     run: int = 6
+    whole: bool = False  # True also reports what test_leaks_by_template wants kept; op2 and the pipeline ask for it
+
+
+def bare(text: Column) -> Column:
+    """Words without their punctuation; a word of punctuation alone stays a word."""
+    out = F.regexp_replace(text, rf"([{PLAIN}])[^{PLAIN}{BLANK}]+", "$1")
+    return F.regexp_replace(out, rf"[^{PLAIN}{BLANK}]+([{PLAIN}])", "$1")
 
 
 def template(text: Column) -> Column:
@@ -51,8 +59,12 @@ def template(text: Column) -> Column:
     out = F.regexp_replace(F.lower(out), r"[0-9]+(?:[.,][0-9]+)*", NUMBER)
     out = F.regexp_replace(out, rf"{NUMBER}( ?)(?:{UNITS})([^\p{{L}}]|$)", rf"{NUMBER}$1{UNIT}$2")
     out = F.regexp_replace(out, rf"[$€£]( ?){NUMBER}", rf"{UNIT}$1{NUMBER}")
-    out = F.regexp_replace(out, rf"([{PLAIN}])[^{PLAIN}{BLANK}]+", "$1")
-    return F.regexp_replace(out, rf"[^{PLAIN}{BLANK}]+([{PLAIN}])", "$1")
+    return bare(out)
+
+
+def valued(text: Column) -> Column:
+    """Lower-cased words at the places of the template's words: what fills a placeholder there."""
+    return bare(F.regexp_replace(F.lower(text), "([0-9])[.,](?=[0-9])", f"$1{POINT}"))
 
 
 def split_words(text: Column) -> Column:
@@ -79,7 +91,7 @@ def filled(text: Column) -> Column:
 def read_items(benchmark: DataFrame, key: str, text: str) -> DataFrame:
     """item (a hash of the text), item_id (smallest), o (words), t (template words), n."""
     told = benchmark.filter(F.col(text).isNotNull()).groupBy(F.col(text).alias("_text")).agg(F.min(key).alias("item_id"))
-    told = told.select(F.xxhash64("_text").alias("item"), "item_id", split_words(F.lower(F.col("_text"))).alias("o"),
+    told = told.select(F.xxhash64("_text").alias("item"), "item_id", split_words(valued(F.col("_text"))).alias("o"),
                        split_words(template(F.col("_text"))).alias("t"))
     return told.withColumn("n", F.size("t")).filter(F.col("n") > 0)
 
@@ -110,37 +122,48 @@ def hits(docs: DataFrame, benchmark: DataFrame, rule: Rule, *, key: str = "item_
     told = told.withColumn("n", F.size("t"))
     found = None
     for size in sizes:
-        here = asked.filter(F.col("width") == size).select("h", "item", F.col("place").alias("item_place"), "total")
-        some = windows(told, size).join(here, "h").select(
-            "text_key", "item", "item_place", "total", (F.col("place") - F.col("item_place")).alias("offset"))
+        here = asked.filter(F.col("width") == size).select("h", "item", F.col("place").alias("item_place"), "width", "total")
+        some = windows(told, size).join(here, "h").select("text_key", "item", "item_place", "width", "total", "place")
         found = some if found is None else found.unionByName(some)
-    placed = found.groupBy("text_key", "item", "offset", "total").agg(F.collect_set("item_place").alias("places"))
-    enough = F.size("places") >= F.least(F.lit(rule.run), F.greatest(F.col("total") - 1, F.lit(1)))
-    placed = stored(placed.filter(enough), "placements")
+    group = F.col("place") - F.col("item_place")
+    placed = found.withColumn("g", F.struct("text_key", "item", group.alias("offset"))).groupBy("g", "width", "total").agg(
+        F.collect_set(F.struct("item_place", "place")).alias("seen"))
+    placed = stored(placed.withColumn("need", F.least(F.lit(rule.run), F.greatest(F.col("total") - 1, F.lit(1)))).filter(
+        F.size(F.array_distinct("seen.item_place")) >= F.col("need")), "placements")
     fitting = consistent(docs, items, placed, rule, text)
     return fitting.join(items.select("item", "item_id"), "item").groupBy("text_key").agg(
         F.count_distinct("item").alias("items"), F.min("item_id").alias("item_id"), F.max("n_windows").alias("n_windows"))
 
 
 def consistent(docs: DataFrame, items: DataFrame, placed: DataFrame, rule: Rule, text: str) -> DataFrame:
-    """The placements whose placeholder values agree. Only items that have placeholders need the texts again."""
-    slots = F.filter(F.transform("t", lambda w, i: F.when(filled(w), i)), lambda i: i.isNotNull())
-    known = items.select("item", "n", "o", slots.alias("slots"))
-    with_items = placed.join(known, "item").withColumn("reach", F.filter("slots", lambda s: F.exists(
-        "places", lambda p: (s >= p) & (s < p + rule.width))))
-    plain = with_items.filter(F.size("reach") == 0).select("text_key", "item", F.size("places").alias("n_windows"))
-    open_ = stored(with_items.filter(F.size("reach") > 0).select(
-        "text_key", "item", "offset", F.size("places").alias("n_windows"), "reach",
-        F.transform("reach", lambda s: F.element_at("o", s + 1)).alias("values")), "slots")
+    """text_key, item, n_windows of the placements with enough windows whose placeholder values agree.
+
+    A benchmark value stands for the document value that fills it in most windows (in a tie, the first); windows that say
+    otherwise do not count, the others do.
+    """
+    keys = ["g", "item_place", "place"]
     texts = docs.select(F.xxhash64(F.col(text)).alias("text_key"), F.col(text).alias("_text")) \
-        .join(open_.select("text_key").distinct(), "text_key", "left_semi").dropDuplicates(["text_key"]) \
-        .select("text_key", split_words(F.lower(F.col("_text"))).alias("said"))
-    pairs = F.array_distinct(F.zip_with("reach", "values", lambda s, v: F.struct(
-        v.alias("theirs"), F.element_at("said", s + F.col("offset") + 1).alias("ours"))))
-    judged = open_.join(texts, "text_key").withColumn("pairs", pairs)
-    one = (F.size(F.array_distinct("pairs.theirs")) == F.size("pairs")) \
-        & (F.size(F.array_distinct("pairs.ours")) == F.size("pairs"))
-    return plain.unionByName(judged.filter(one).select("text_key", "item", "n_windows"))
+        .join(placed.select(F.col("g.text_key").alias("text_key")).distinct(), "text_key", "left_semi") \
+        .dropDuplicates(["text_key"]).select("text_key", split_words(valued(F.col("_text"))).alias("said"))
+    slots = F.transform("seen", lambda s: F.struct(s.item_place.alias("item_place"), s.place.alias("place"), F.transform(
+        F.filter(F.sequence(F.lit(0), F.col("width") - 1), lambda i: filled(F.get("t", s.item_place + i))),
+        lambda i: F.struct(F.concat(F.get("t", s.item_place + i), F.get("o", s.item_place + i)).alias("theirs"),
+                           F.get("said", s.place + i).alias("ours"))).alias("pairs")))
+    told = placed.select("*", "g.text_key", "g.item").join(items.select("item", "t", "o"), "item").join(texts, "text_key")
+    told = told.select("g", "need", F.explode(slots).alias("s")).select("g", "need", "s.*")
+    told = stored(told.select("g", "need", "item_place", "place", F.explode_outer("pairs").alias("p")).select(
+        "g", "need", "item_place", "place", "p.*"), "slots")
+    votes = told.filter(F.col("theirs").isNotNull()).groupBy("g", "theirs", "ours").agg(
+        F.count_distinct("place").alias("n"), F.min("place").alias("first"))
+    chosen = votes.groupBy("g", "theirs").agg(F.max_by("ours", F.struct("n", -F.col("first"))).alias("chosen"))
+    agree = F.coalesce(F.col("ours") == F.col("chosen"), F.col("theirs").isNull())
+    good = told.join(chosen, ["g", "theirs"], "left").groupBy(*keys).agg(
+        F.first("need").alias("need"), F.bool_and(agree).alias("good")).filter("good")
+    if not rule.whole:  # two names that become one
+        merged = chosen.filter(F.col("theirs").contains(NAME)).groupBy("g", "chosen").agg(F.count("*").alias("n")).filter("n > 1")
+        good = good.join(merged.select("g").distinct(), "g", "left_anti")
+    return good.groupBy("g").agg(F.first("need").alias("need"), F.count_distinct("item_place").alias("n_windows")) \
+        .filter(F.col("n_windows") >= F.col("need")).select("g.text_key", "g.item", "n_windows")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, rule: Rule | None = None, *, text: str = "text") -> DataFrame:
@@ -152,7 +175,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, rule: Rule | None = None, *, te
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against the whole benchmark."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = stored(hits(docs, table(spark, sf_dir, "benchmark"), Rule()), "leaks")
+    found = stored(hits(docs, table(spark, sf_dir, "benchmark"), Rule(whole=True)), "leaks")
     return docs.select("doc_id", F.xxhash64("text").alias("text_key")).join(found, "text_key", "left").select(
         "doc_id", F.col("items").isNotNull().alias("contaminated"), F.coalesce("items", F.lit(0)).alias("n_items"), "item_id",
         F.coalesce("n_windows", F.lit(0)).alias("n_windows"))
