@@ -1,8 +1,9 @@
 """Benchmark decontamination by template canonicalisation.
 
-Text becomes a template: capitalised words inside sentences, numbers, and units beside numbers turn into typed
-placeholders, other words into lower case without punctuation. Windows of `width` template words of all documents meet the
-windows of the benchmark in one hash join. Hits are gathered by how an item lies over a text (one offset, one
+Text becomes a template: capitalised words, numbers, and units beside numbers turn into typed placeholders, other words into
+lower case without punctuation. Windows of `width` template words of all documents meet the windows of the benchmark in
+one hash join. Under `whole` windows of plain words (lower case, no punctuation, no placeholders) meet in the same join, so a
+copy in another case or with other blanks is found though its names are not. Hits are gathered by how an item lies over a text (one offset, one
 placement); the values that fill the placeholders, without their punctuation, must then agree: one benchmark value stands for
 one document value, so a question with other numbers or names is caught and an accidental fit is not. A window that
 disagrees does not count; the others do. A placement counts when `run` windows of it match and agree (all but one, in shorter
@@ -52,13 +53,11 @@ def bare(text: Column) -> Column:
 
 
 def template(text: Column) -> Column:
-    """Same blanks, typed words."""
-    out = text
-    for before in (r"\p{L}\p{N},;", NAME):  # a name right after a name needs the second pass
-        out = F.regexp_replace(out, rf"([{before}] )\p{{Lu}}\p{{Ll}}+", rf"$1{NAME}")
+    """Typed words. A capitalised word is a name wherever it stands, so what is before it does not matter."""
+    out = F.regexp_replace(text, r"\p{Lu}\p{Ll}+", NAME)
     out = F.regexp_replace(F.lower(out), r"[0-9]+(?:[.,][0-9]+)*", NUMBER)
-    out = F.regexp_replace(out, rf"{NUMBER}( ?)(?:{UNITS})([^\p{{L}}]|$)", rf"{NUMBER}$1{UNIT}$2")
-    out = F.regexp_replace(out, rf"[$€£]( ?){NUMBER}", rf"{UNIT}$1{NUMBER}")
+    out = F.regexp_replace(out, rf"{NUMBER}([{BLANK}]*)(?:{UNITS})([^\p{{L}}]|$)", rf"{NUMBER}$1{UNIT}$2")
+    out = F.regexp_replace(out, rf"[$€£]([{BLANK}]*){NUMBER}", rf"{UNIT}$1{NUMBER}")
     return bare(out)
 
 
@@ -73,15 +72,11 @@ def split_words(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, rf"[{BLANK}]+"))
 
 
-def windows(words: DataFrame, width: int) -> DataFrame:
-    """One row per window: the other columns, place, h. words: t (template words), n, ...
-
-    The hashes are made before the explode: an array of words kept beside each exploded row would be copied once a window.
-    """
-    places = F.when(F.col("n") >= width, F.sequence(F.lit(0), F.col("n") - width))
-    hashed = F.transform(places, lambda i: F.xxhash64(F.lit(width), F.slice("t", i + 1, width)))
-    rest = [c for c in words.columns if c not in ("t", "n")]
-    return words.select(*rest, F.posexplode(hashed).alias("place", "h"))
+def window_hashes(kind: str, width: int) -> Column:
+    """Hashes of all windows of one kind (t: template words, p: plain words) and width; none in shorter texts."""
+    places = F.when(F.size(kind) >= width, F.sequence(F.lit(0), F.size(kind) - width))
+    hashed = F.transform(places, lambda i: F.xxhash64(F.lit(kind), F.lit(width), F.slice(kind, i + 1, width)))
+    return F.coalesce(hashed, F.array().cast("array<bigint>"))
 
 
 def filled(text: Column) -> Column:
@@ -89,24 +84,49 @@ def filled(text: Column) -> Column:
 
 
 def read_items(benchmark: DataFrame, key: str, text: str) -> DataFrame:
-    """item (a hash of the text), item_id (smallest), o (words), t (template words), n."""
+    """item (a hash of the text), item_id (smallest), t (template words), o (what fills them), p (plain words)."""
     told = benchmark.filter(F.col(text).isNotNull()).groupBy(F.col(text).alias("_text")).agg(F.min(key).alias("item_id"))
-    told = told.select(F.xxhash64("_text").alias("item"), "item_id", split_words(valued(F.col("_text"))).alias("o"),
-                       split_words(template(F.col("_text"))).alias("t"))
-    return told.withColumn("n", F.size("t")).filter(F.col("n") > 0)
+    told = told.select(F.xxhash64("_text").alias("item"), "item_id", split_words(template(F.col("_text"))).alias("t"),
+                       split_words(valued(F.col("_text"))).alias("o"), split_words(bare(F.lower("_text"))).alias("p"))
+    return told.filter(F.size("p") > 0)
 
 
 def item_windows(items: DataFrame, rule: Rule) -> DataFrame:
-    """item, place, width, h, total of all windows that say enough."""
-    sized = items.withColumn("width", F.least("n", F.lit(rule.width)))
-    sizes = sorted(r[0] for r in sized.select("width").distinct().collect())  # at most `width` numbers
-    plain = F.size(F.array_distinct(F.filter(F.slice("told", F.col("place") + 1, F.col("width")), lambda w: ~filled(w))))
+    """item, kind, width, place, h, total of all windows that say enough. Plain windows that are equal count once."""
     told = None
-    for size in sizes or [rule.width]:
-        some = windows(sized.filter(F.col("width") == size).select("item", "width", F.col("t").alias("told"), "t", "n"), size)
-        some = some.filter(plain >= rule.literals).select("item", "place", "width", "h")
-        told = some if told is None else told.unionByName(some)
-    return told.join(told.groupBy("item").agg(F.count_distinct("place").alias("total")), "item")
+    for kind in ("t", "p") if rule.whole else ("t",):
+        sized = items.withColumn("width", F.least(F.size(kind), F.lit(rule.width)))
+        sizes = sorted(r[0] for r in sized.select("width").distinct().collect())  # at most `width` numbers
+        words = F.slice("words", F.col("place") + 1, F.col("width"))
+        enough = F.size(F.array_distinct(F.filter(words, lambda w: ~filled(w)))) >= rule.literals
+        for size in sizes or [rule.width]:
+            some = sized.filter(F.col("width") == size).select(
+                "item", F.lit(kind).alias("kind"), "width", F.col(kind).alias("words"),
+                F.posexplode(window_hashes(kind, size)).alias("place", "h")).filter(enough).drop("words")
+            told = some if told is None else told.unionByName(some)
+    place = F.when(F.col("kind") == "t", F.col("place"))
+    told = told.groupBy("item", "kind", "width", "h", place.alias("_own")).agg(F.min("place").alias("place")).drop("_own")
+    return told.join(told.groupBy("item", "kind").agg(F.count_distinct("place").alias("total")), ["item", "kind"])
+
+
+def found_windows(docs: DataFrame, asked: DataFrame, rule: Rule, text: str) -> DataFrame:
+    """text_key, place and the columns of asked, of every window of a text that is one of asked.
+
+    The hashes of all kinds and widths are made before the explode: an array of words kept beside each exploded row would be
+    copied once a window.
+    """
+    specs = sorted((r[0], r[1]) for r in asked.select("kind", "width").distinct().collect())  # at most 2 * `width`
+    specs = specs or [("t", rule.width)]
+    told = docs.filter(F.col(text).isNotNull()).select(F.xxhash64(F.col(text)).alias("text_key"), *[
+        split_words(bare(F.lower(F.col(text))) if k == "p" else template(F.col(text))).alias(k)
+        for k in sorted({k for k, _ in specs})])
+    told = told.select("text_key", *[F.size(k).alias(f"n_{k}") for k in sorted({k for k, _ in specs})],
+                       F.posexplode(F.concat(*[window_hashes(k, w) for k, w in specs])).alias("pos", "h"))
+    start, sofar = F.lit(None).cast("int"), F.lit(0)
+    for k, w in specs:
+        start = F.when((F.col("kind") == k) & (F.col("width") == w), sofar).otherwise(start)
+        sofar = sofar + F.greatest(F.col(f"n_{k}") - w + 1, F.lit(0))
+    return told.join(asked.withColumnRenamed("place", "item_place"), "h").withColumn("place", F.col("pos") - start)
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, rule: Rule, *, key: str = "item_id", item_text: str = "text",
@@ -114,25 +134,18 @@ def hits(docs: DataFrame, benchmark: DataFrame, rule: Rule, *, key: str = "item_
     """text_key, items, item_id (smallest), n_windows (of the best placement) of every text that holds an item."""
     items = stored(read_items(benchmark, key, item_text), "items")
     asked = stored(item_windows(items, rule), "item-windows")
-    sizes = sorted(r[0] for r in asked.select("width").distinct().collect())  # at most `width` numbers
-    if not sizes:
-        sizes = [rule.width]
-    told = docs.filter(F.col(text).isNotNull()).select(
-        F.xxhash64(F.col(text)).alias("text_key"), split_words(template(F.col(text))).alias("t"))
-    told = told.withColumn("n", F.size("t"))
-    found = None
-    for size in sizes:
-        here = asked.filter(F.col("width") == size).select("h", "item", F.col("place").alias("item_place"), "width", "total")
-        some = windows(told, size).join(here, "h").select("text_key", "item", "item_place", "width", "total", "place")
-        found = some if found is None else found.unionByName(some)
+    found = found_windows(docs, asked, rule, text)
     group = F.col("place") - F.col("item_place")
-    placed = found.withColumn("g", F.struct("text_key", "item", group.alias("offset"))).groupBy("g", "width", "total").agg(
-        F.collect_set(F.struct("item_place", "place")).alias("seen"))
+    placed = found.withColumn("g", F.struct("text_key", "item", group.alias("offset"))).groupBy(
+        "g", "kind", "width", "total").agg(F.collect_set(F.struct("item_place", "place")).alias("seen"))
+    n_windows = F.size(F.array_distinct("seen.item_place"))
     placed = stored(placed.withColumn("need", F.least(F.lit(rule.run), F.greatest(F.col("total") - 1, F.lit(1)))).filter(
-        F.size(F.array_distinct("seen.item_place")) >= F.col("need")), "placements")
-    fitting = consistent(docs, items, placed, rule, text)
+        n_windows >= F.col("need")), "placements")
+    fitting = consistent(docs, items, placed.filter("kind = 't'"), rule, text).unionByName(
+        placed.filter("kind = 'p'").select("g.text_key", "g.item", n_windows.cast("long").alias("n_windows")))
     return fitting.join(items.select("item", "item_id"), "item").groupBy("text_key").agg(
-        F.count_distinct("item").alias("items"), F.min("item_id").alias("item_id"), F.max("n_windows").alias("n_windows"))
+        F.count_distinct("item").alias("items"), F.min("item_id").alias("item_id"),
+        F.max("n_windows").alias("n_windows"))
 
 
 def consistent(docs: DataFrame, items: DataFrame, placed: DataFrame, rule: Rule, text: str) -> DataFrame:

@@ -28,3 +28,13 @@ def test_values_agree_by_window(spark):
              story(34, 60)]
     assert found(spark, [SUM, ITEM, TWICE], texts) == {0, 1, 2, 3}
     assert found(spark, [SUM, ITEM, TWICE], texts, decontaminate.Rule()) == {0, 2, 3}  # two names become one
+
+
+TOM = "Tom has 5 coins in a box. Tom gives 2 of these coins to a friend. Tom then puts the box back."
+
+
+def test_case_and_blanks(spark):
+    texts = [ITEM.lower(), ITEM.upper(), ITEM.title(), ITEM.replace(" ", "\n"), ITEM.replace(" ", "  "),
+             ITEM.replace("Boston", "Denver").replace("Maria", "Olga").replace(" ", "\t"), TOM.replace("Tom", "Zoe"),
+             story(35, 60)]
+    assert found(spark, [ITEM, TOM], texts) == {0, 1, 2, 3, 4, 5, 6}
