@@ -1,13 +1,17 @@
 """Benchmark decontamination by template canonicalisation.
 
 Text becomes a template: capitalised words, numbers, and units beside numbers turn into typed placeholders, other words into
-lower case without punctuation. Windows of `width` template words of all documents meet the windows of the benchmark in
-one hash join. Under `whole` windows of plain words (lower case, no punctuation, no placeholders) meet in the same join, so a
-copy in another case or with other blanks is found though its names are not. Hits are gathered by how an item lies over a text (one offset, one
-placement); the values that fill the placeholders, without their punctuation, must then agree: one benchmark value stands for
-one document value, so a question with other numbers or names is caught and an accidental fit is not. A window that
-disagrees does not count; the others do. A placement counts when `run` windows of it match and agree (all but one, in shorter
-items). Two benchmark values may become one; two names only under `whole`.
+lower case without punctuation; names side by side are one placeholder, a number with its unit another. Windows of `width`
+template words of all documents meet the windows of the benchmark in one hash join. Under `whole` windows of plain words (lower
+case, no punctuation, no placeholders) meet in the same join, so a copy in another case or with other blanks is found
+though its names are not.
+
+Hits are gathered by how an item lies over a text: at one offset, and over neighbouring offsets (stretches of twice the
+item's length that overlap by half), so that words left out or added shift nothing out of reach. The values that fill
+the placeholders, without their punctuation, must agree: one benchmark value stands for one document value, so a
+question with other numbers or names is caught and an accidental fit is not. A window that disagrees does not count; the others
+do. An item is found when `run` of its windows match and agree (all but one, in shorter items). Two benchmark values may
+become one; two names only under `whole`.
 
 Windows with fewer than `literals` distinct plain words say too little and are not used. Items shorter than a window are
 one window of their own length. Everything is DataFrame functions. The joined benchmark windows are a stored table of known
@@ -28,14 +32,14 @@ from pyspark.sql import functions as F
 from martloom.llm.common import stored, table
 
 # Placeholders are private-use characters, so no text holds them by chance.
-NAME, NUMBER, UNIT, POINT = "\ue000", "\ue001", "\ue002", "\ue004"
+NAME, NUMBER, UNIT, JOIN, POINT = "\ue000", "\ue001", "\ue002", "\ue003", "\ue004"
 UNITS = (
     "percent|dollars|dollar|euros|euro|cents|cent|pounds|pound|kilometers|kilometres|km|meters|metres|cm|mm|miles|mile"
     "|feet|foot|inches|inch|kilograms|kg|grams|mg|liters|litres|ml|hours|hour|minutes|minute|seconds|second|days|day"
     "|weeks|week|months|month|years|year|degrees|degree|mph|kmh|m|g|l|h|s"
 )
 BLANK = r" \t\n\x0B\f\r"
-PLAIN = rf"\p{{L}}\p{{N}}{NAME}{NUMBER}{UNIT}{POINT}"
+PLAIN = rf"\p{{L}}\p{{N}}{NAME}{NUMBER}{UNIT}{JOIN}{POINT}"
 
 
 @dataclass(frozen=True)
@@ -53,17 +57,24 @@ def bare(text: Column) -> Column:
 
 
 def template(text: Column) -> Column:
-    """Typed words. A capitalised word is a name wherever it stands, so what is before it does not matter."""
-    out = F.regexp_replace(text, r"\p{Lu}\p{Ll}+", NAME)
-    out = F.regexp_replace(F.lower(out), r"[0-9]+(?:[.,][0-9]+)*", NUMBER)
-    out = F.regexp_replace(out, rf"{NUMBER}([{BLANK}]*)(?:{UNITS})([^\p{{L}}]|$)", rf"{NUMBER}$1{UNIT}$2")
-    out = F.regexp_replace(out, rf"[$€£]([{BLANK}]*){NUMBER}", rf"{UNIT}$1{NUMBER}")
+    """Typed words. A capitalised word is a name wherever it stands, so what is before it does not matter.
+
+    Names side by side are one placeholder, and so is a number with its unit. Groups repeat possessively: otherwise a long run
+    would fill the stack.
+    """
+    out = F.regexp_replace(text, rf"\p{{Lu}}\p{{Ll}}+(?:[{BLANK}]+\p{{Lu}}\p{{Ll}}+)*+", NAME)
+    out = F.regexp_replace(F.lower(out), r"[0-9]+(?:[.,][0-9]+)*+", NUMBER)
+    unit = rf"[{BLANK}]*(?:{UNITS})(?!\p{{L}})"
+    out = F.regexp_replace(out, rf"{NUMBER}{unit}|[$€£][{BLANK}]*{NUMBER}(?:{unit})?", UNIT)
     return bare(out)
 
 
 def valued(text: Column) -> Column:
     """Lower-cased words at the places of the template's words: what fills a placeholder there."""
-    return bare(F.regexp_replace(F.lower(text), "([0-9])[.,](?=[0-9])", f"$1{POINT}"))
+    out = F.regexp_replace(text, rf"(\p{{Lu}}\p{{Ll}}+)[{BLANK}]+(?=\p{{Lu}}\p{{Ll}})", f"$1{JOIN}")
+    out = F.regexp_replace(F.lower(out), "([0-9])[.,](?=[0-9])", f"$1{POINT}")
+    out = F.regexp_replace(out, rf"([0-9])[{BLANK}]*({UNITS})(?!\p{{L}})", f"$1{JOIN}$2")
+    return bare(F.regexp_replace(out, rf"([$€£])[{BLANK}]+(?=[0-9])", "$1"))
 
 
 def split_words(text: Column) -> Column:
@@ -92,7 +103,10 @@ def read_items(benchmark: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def item_windows(items: DataFrame, rule: Rule) -> DataFrame:
-    """item, kind, width, place, h, total of all windows that say enough. Plain windows that are equal count once."""
+    """item, kind, width, place, h, reach (words of the item), total of all windows that say enough.
+
+    Plain windows that are equal count once.
+    """
     told = None
     for kind in ("t", "p") if rule.whole else ("t",):
         sized = items.withColumn("width", F.least(F.size(kind), F.lit(rule.width)))
@@ -106,6 +120,8 @@ def item_windows(items: DataFrame, rule: Rule) -> DataFrame:
             told = some if told is None else told.unionByName(some)
     place = F.when(F.col("kind") == "t", F.col("place"))
     told = told.groupBy("item", "kind", "width", "h", place.alias("_own")).agg(F.min("place").alias("place")).drop("_own")
+    told = told.join(items.select("item", *[F.size(k).alias(f"n_{k}") for k in ("t", "p")]), "item").withColumn(
+        "reach", F.when(F.col("kind") == "t", F.col("n_t")).otherwise(F.col("n_p"))).drop("n_t", "n_p")
     return told.join(told.groupBy("item", "kind").agg(F.count_distinct("place").alias("total")), ["item", "kind"])
 
 
@@ -135,8 +151,10 @@ def hits(docs: DataFrame, benchmark: DataFrame, rule: Rule, *, key: str = "item_
     items = stored(read_items(benchmark, key, item_text), "items")
     asked = stored(item_windows(items, rule), "item-windows")
     found = found_windows(docs, asked, rule, text)
-    group = F.col("place") - F.col("item_place")
-    placed = found.withColumn("g", F.struct("text_key", "item", group.alias("offset"))).groupBy(
+    offset = F.col("place") - F.col("item_place")
+    groups = F.array(*[F.struct(F.lit(level).alias("level"), at.cast("long").alias("offset")) for level, at in enumerate(
+        (offset, F.floor(offset / (2 * F.col("reach"))), F.floor((offset + F.col("reach")) / (2 * F.col("reach")))))])
+    placed = found.withColumn("at", F.explode(groups)).withColumn("g", F.struct("text_key", "item", "at.*")).groupBy(
         "g", "kind", "width", "total").agg(F.collect_set(F.struct("item_place", "place")).alias("seen"))
     n_windows = F.size(F.array_distinct("seen.item_place"))
     placed = stored(placed.withColumn("need", F.least(F.lit(rule.run), F.greatest(F.col("total") - 1, F.lit(1)))).filter(

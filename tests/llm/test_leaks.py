@@ -38,3 +38,11 @@ def test_case_and_blanks(spark):
              ITEM.replace("Boston", "Denver").replace("Maria", "Olga").replace(" ", "\t"), TOM.replace("Tom", "Zoe"),
              story(35, 60)]
     assert found(spark, [ITEM, TOM], texts) == {0, 1, 2, 3, 4, 5, 6}
+
+
+def test_shifted_words(spark):
+    texts = [ITEM.replace("Boston", "New York").replace("Maria", "Maria Lopez"), ITEM.replace("120 km", "120km"),
+             SUM.replace("to one", "yesterday to one"), ITEM.replace("Boston", "Rio").replace("120 km", "85km") + " " + ITEM,
+             story(36, 60), "Word " * 100_000 + "1,2" * 100_000]
+    items = [ITEM + " She pays 30 dollars for it.", SUM]
+    assert found(spark, items, texts) == {0, 1, 2, 3}
