@@ -13,7 +13,8 @@ question with other numbers or names is caught and an accidental fit is not. A w
 do. An item is found when `run` of its windows match and agree (all but one, in shorter items). Two benchmark values may
 become one; two names only under `whole`.
 
-Windows with fewer than `literals` distinct plain words say too little and are not used. Items shorter than a window are
+Template windows with fewer than `literals` distinct plain words say too little and are not used; windows of plain words are
+all used, so under `whole` every item that has a word is looked for, whatever it is made of. Items shorter than a window are
 one window of their own length. Everything is DataFrame functions. The joined benchmark windows are a stored table of known
 size: Spark broadcasts them if they are small and shuffles both sides if not.
 
@@ -112,7 +113,7 @@ def item_windows(items: DataFrame, rule: Rule) -> DataFrame:
         sized = items.withColumn("width", F.least(F.size(kind), F.lit(rule.width)))
         sizes = sorted(r[0] for r in sized.select("width").distinct().collect())  # at most `width` numbers
         words = F.slice("words", F.col("place") + 1, F.col("width"))
-        enough = F.size(F.array_distinct(F.filter(words, lambda w: ~filled(w)))) >= rule.literals
+        enough = F.size(F.array_distinct(F.filter(words, lambda w: ~filled(w)))) >= rule.literals if kind == "t" else F.lit(True)
         for size in sizes or [rule.width]:
             some = sized.filter(F.col("width") == size).select(
                 "item", F.lit(kind).alias("kind"), "width", F.col(kind).alias("words"),

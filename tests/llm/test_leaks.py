@@ -46,3 +46,10 @@ def test_shifted_words(spark):
              story(36, 60), "Word " * 100_000 + "1,2" * 100_000]
     items = [ITEM + " She pays 30 dollars for it.", SUM]
     assert found(spark, items, texts) == {0, 1, 2, 3}
+
+
+def test_items_of_few_words(spark):
+    items = ["What is 5 plus 7?", "4 5 6 7 8 9 10 11 12 13", "three tiny words", "1 + 2 + 3 + 4 + 5 + 6 + 7 + 8 + 9 is 45"]
+    texts = [story(37, 9) + " what is 5 plus 7 " + story(38, 9), "so 4 5 6 7 8 9 10 11 12 13 it is", "Three, tiny words",
+             items[3], "What is 6 plus 7?", "4 5 6 7 8 10 9 11 12 13", "three words", story(39, 60)]
+    assert found(spark, items, texts) == {0, 1, 2, 3}
