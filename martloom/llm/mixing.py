@@ -3,7 +3,7 @@
 Sources form a tree (domain, language, source by default). The token budget flows down it: the children of a node share its
 allotment by weight, no child gets more than its subtree can give in `epochs` passes, and what a full child leaves goes to
 its brothers and sisters. Only when a whole family is full does the rest go back to the brothers and sisters of the
-parent, because the parent's own cap is the sum of its children's.
+parent, because the parent's own cap is the sum of its children's. Leaves at or below a node of weight 0 have a cap of 0.
 
 A leaf takes its allotment as whole passes plus a prefix of one more: documents in the order of a hash of seed, pass and id,
 as long as their running total stays within the rest. Running totals are sums per hash bucket first and exact only
@@ -98,7 +98,11 @@ def budgets(rows: DataFrame, names: list[str], recipe: Recipe) -> DataFrame:
     """path, n_tokens (one pass), allot of every leaf."""
     path = [f"_{n}" for n in names]
     leaves = rows.groupBy(*path).agg(F.sum("n_tokens").alias("n_tokens"))
-    leaves = stored(leaves.withColumn("cap", (F.col("n_tokens") * recipe.epochs).cast("decimal(22,0)")), "leaves")
+    taking = F.lit(True)
+    for name in names:
+        taking = taking & (_weight(name, recipe) > 0)
+    cap = F.when(taking, F.col("n_tokens") * recipe.epochs).otherwise(0)
+    leaves = stored(leaves.withColumn("cap", cap.cast("decimal(22,0)")), "leaves")
     up, down = recipe.share
     given = leaves.agg(F.expr(f"(sum(n_tokens) * {up}) div {down}").cast("decimal(22,0)").alias("budget"),
                        F.sum("cap").cast("decimal(22,0)").alias("top")).first()
