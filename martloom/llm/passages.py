@@ -1,14 +1,12 @@
-"""Removal of repeated passages, by prefix-partitioned suffix trees over words.
+"""Removal of repeated passages, by hashes of word windows.
 
-Every word starts a suffix. Counting passes over fixed slots of 1-, 2-, 4-, ... word prefixes show how many suffixes share
-a prefix; a suffix goes to the group of its shortest prefix that fits in memory, so common openings are split by longer
-prefixes and rare ones stay whole. Groups are packed into bins, and in a bin the suffixes are sorted and cut into
-subtrees where they agree in `depth` words: an internal node that deep is a repeat, its leaves are where it stands. The
-smallest document below a node keeps its words; the others lose the words of the window. Neighbouring windows that are marked
-together make the maximal repeats, which are returned as spans.
+Every word starts a window of `depth` words, and windows are equal when their 64-bit hashes are: no suffix tree is built, no
+suffixes are sorted, and equality is not confirmed on the words. The smallest document that holds a window keeps its words;
+the others lose them. Neighbouring windows that are marked together make the maximal repeats, which are returned as spans.
 
-Suffixes are compared by 64-bit hashes of their prefixes; deeper branching would only reorder leaves below a node that
-is already marked, so it is not grown. A task settles what it can see alone and asks about the rest (see places).
+Counting passes over fixed slots of 1-, 2-, 4-, ... word prefixes show how many windows share a prefix; a window goes to the bin
+of its shortest prefix that fits in memory. Prefixes only choose the bin. A task settles what it can see alone and asks
+about the rest (see places).
 
 Cases: null and empty texts have no words; texts shorter than the window lose nothing; a null id counts as larger than all
 others; rows that share an id are no smaller documents to each other, and keep or lose by their own text; very long texts

@@ -1,11 +1,11 @@
-"""Removal of repeated substrings of bytes, by bucket refinement over q-grams.
+"""Removal of repeated substrings of bytes, by hashes of windows picked by q-grams.
 
-Positions of all texts are put into buckets by the q bytes that start there, and buckets are refined by what follows at
-later offsets until equal buckets mean equal strings of `length` bytes. Three things keep that small:
+Strings of `length` bytes are equal when their 64-bit hashes are: there is no suffix order, no bucket identifiers are
+sorted at later offsets, and equality is not confirmed on the bytes. Three things keep that small:
 
 * Of the q-grams inside a string of `length` bytes, the smallest by hash (leftmost of equals) speaks for it. Equal strings have
   equal speakers at equal places, so only speakers are put into buckets: about two of `length` positions.
-* A bucket is refined at once by the bytes up to half the length beside the speaker, on the side that every string of the
+* A bucket is split once by a hash of the bytes up to half the length beside the speaker, on the side that every string of the
   stretch contains; a stretch alone in its refined bucket can repeat nowhere.
 * Stretches of neighbouring strings with one speaker go as one: if the whole stretch has a twin, all its strings repeat.
   Only where a bucket holds different stretches are their strings told apart one by one.
