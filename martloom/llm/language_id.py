@@ -9,7 +9,7 @@ Since nothing changes while coding, escapes are folded in once: each known (cont
 probability of all languages, and a whole batch of texts is coded by a few table look-ups per byte.
 
 Training reads a bounded sample: about `sample_bytes` of text per language, drawn by a seeded hash of the id, whole texts
-only. Contexts seen less often than `min_count` are pruned.
+only, and at least one text that is not empty. Contexts seen less often than `min_count` are pruned.
 
 Cases: a null text or one without a letter is `und` with score 0; with nothing to learn from, every text is; a null id
 hashes as the empty text; a null language is not learned from; ties go to the language first in alphabet; very long
@@ -172,14 +172,19 @@ def train(
 ) -> Model | None:
     """Learn from rows whose language is given. None if there is no such row."""
     known = docs.filter(F.col("lang").isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("key"), "lang", text)
-    sizes = {r[0]: r[1] for r in known.groupBy("lang").agg(F.sum(F.octet_length(text))).collect()}
+    draw = F.pmod(F.xxhash64(F.lit(seed), F.col("key")), F.lit(1 << 30))
+    place = F.struct(draw.alias("draw"), F.xxhash64(F.col(text)).alias("h"))
+    sizes = {r["lang"]: r for r in known.groupBy("lang").agg(
+        F.sum(F.octet_length(text)).alias("bytes"), F.min(F.when(F.col(text) != "", place)).alias("least")).collect()}
     if not sizes:
         return None
-    share = F.lit(0.0)
-    for lang, size in sizes.items():
-        share = F.when(F.col("lang") == lang, min(1.0, sample_bytes / max(size, 1))).otherwise(share)
-    draw = F.pmod(F.xxhash64(F.lit(seed), F.col("key")), F.lit(1 << 30)) / float(1 << 30)
-    sample = known.filter(draw < share)
+    drawn = F.lit(False)
+    for lang, row in sizes.items():
+        here = draw / float(1 << 30) < min(1.0, sample_bytes / max(row["bytes"], 1))
+        if row["least"] is not None:  # the first in hash order always, or a language of a few long texts might get none
+            here = here | ((draw == row["least"]["draw"]) & (F.xxhash64(F.col(text)) == row["least"]["h"]))
+        drawn = F.when(F.col("lang") == lang, here).otherwise(drawn)
+    sample = known.filter(drawn)
     langs = sorted(sizes)
     got = count_grams(sample, text).filter((F.col("n") >= min_count) | (F.col("depth") == 0)).toPandas()
     number = {lang: i for i, lang in enumerate(langs)}
