@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from martloom.llm import (
-    decontaminate, language_id, metric_search, mixing, near_dedup, passages, quality, reply_trees, substrings, token_counts,
+    decontaminate, language_id, lexical, metric_search, mixing, near_dedup, passages, quality, reply_trees, substrings, token_counts,
 )
 from martloom.llm.common import ship
 
@@ -15,6 +15,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op10_near_dedup": near_dedup.op10_near_dedup,
+    "op11_lexical_search": lexical.op11_lexical_search,
     "op1_language_id": language_id.op1_language_id,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_quality": quality.op3_quality,
@@ -26,6 +27,7 @@ QUERIES: dict[str, Query] = {
     "op9_token_counts": token_counts.op9_token_counts,
 }
 SQL: dict[str, str] = {
+    "op11_lexical_search": lexical.SQL,
     "op6_mixing": mixing.SQL,
     "op8_metric_search": metric_search.SQL,
 }
