@@ -139,9 +139,15 @@ def stretch(sums: np.ndarray, start: np.ndarray, end: np.ndarray, base: int) ->
     return (sums[end] - sums[start]) * down[start]
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every word (bytes other than 0x20 and 0x09-0x0D), and where each text's words start."""
-    gap = (data == 32) | ((data >= 9) & (data <= 13))
+def words(
+    data: np.ndarray, offsets: np.ndarray, gap: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every word, and where each text's words start.
+
+    `gap` marks the bytes between words; by default those are 0x20 and 0x09-0x0D.
+    """
+    if gap is None:
+        gap = (data == 32) | ((data >= 9) & (data <= 13))
     edges = offsets[1:-1][(offsets[1:-1] > 0) & (offsets[1:-1] < len(data))]
     before = np.ones(len(data), bool)
     before[1:] = gap[:-1]

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from martloom.llm import (
-    decontaminate, language_id, lexical, metric_search, mixing, near_dedup, passages, quality, reply_trees, substrings, token_counts,
+    collocations, decontaminate, language_id, lexical, metric_search, mixing, near_dedup, passages, quality, reply_trees,
+    substrings, token_counts,
 )
 from martloom.llm.common import ship
 
@@ -16,6 +17,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {
     "op10_near_dedup": near_dedup.op10_near_dedup,
     "op11_lexical_search": lexical.op11_lexical_search,
+    "op12_collocations": collocations.op12_collocations,
     "op1_language_id": language_id.op1_language_id,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_quality": quality.op3_quality,
@@ -28,6 +30,7 @@ QUERIES: dict[str, Query] = {
 }
 SQL: dict[str, str] = {
     "op11_lexical_search": lexical.SQL,
+    "op12_collocations": collocations.SQL,
     "op6_mixing": mixing.SQL,
     "op8_metric_search": metric_search.SQL,
 }
