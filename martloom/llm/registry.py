@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martloom.llm import (
     collocations, decontaminate, language_id, lexical, metric_search, mixing, near_dedup, passages, quality, reply_trees,
-    substrings, token_counts,
+    substrings, token_counts, toxicity,
 )
 from martloom.llm.common import ship
 
@@ -18,6 +18,7 @@ QUERIES: dict[str, Query] = {
     "op10_near_dedup": near_dedup.op10_near_dedup,
     "op11_lexical_search": lexical.op11_lexical_search,
     "op12_collocations": collocations.op12_collocations,
+    "op13_toxicity": toxicity.op13_toxicity,
     "op1_language_id": language_id.op1_language_id,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_quality": quality.op3_quality,
