@@ -7,7 +7,6 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.functions import concat_blank
 from martloom.plans.common import invoice_keys, keep_customers, sale_lines
 from martloom.rules import DEFAULT_RULES, Rules
 
@@ -76,25 +75,29 @@ def bills(
 ) -> DataFrame:
     """Bills and (material, bill) pairs per customer, split by bill type.
 
-    Grouping by pair first turns the second distinct count into a row count, so Spark
-    plans one distinct aggregation instead of multiplying every line per count.
-    ``text_pairs`` counts the concatenated text instead, where ``1+23`` equals ``12+3``.
+    The lines cross the network once, combined map-side into one row per bill that lists its materials (no more than the
+    material dimension has). Counts of bills and pairs are then plain sums over bills: no count multiplies rows.
+    ``text_pairs`` counts the concatenated text instead, where ``1+23`` equals ``12+3``. Such a pair can span bills, so each
+    bill becomes one row per material, of which the first is marked and alone carries the bill and its amounts.
     """
     lines = sale_lines(invoice, reason, material, as_of, months, rules, ["BasicMaterial"])
-    document, item = F.col("Documents"), F.col("BasicMaterial")
-    pairs = lines.groupBy(
-        *invoice_keys(),
-        F.coalesce(document, F.lit("")).alias("_bill"),
-        (concat_blank(item, document) if text_pairs else F.coalesce(item, F.lit(""))).alias("_item"),
-    ).agg(
-        F.max(document.isNotNull()).alias("_billed"),
+    document = F.col("Documents")
+    sold = lines.groupBy(*invoice_keys(), F.coalesce(document, F.lit("")).alias("_bill")).agg(
+        F.max(document.isNotNull()).cast("int").alias("_billed"),
+        F.collect_set(F.coalesce("BasicMaterial", F.lit(""))).alias("_items"),
         *[F.sum(src).alias(name) for name, src in BILL_SUMS.items()],
     )
-    totals = pairs.groupBy(*KEYS).agg(
-        F.count_distinct(F.when(F.col("_billed"), F.col("_bill"))).alias("NoOfBill"),
-        (F.count_distinct("_item") if text_pairs else F.count(F.lit(1))).alias("NoOfBrand"),
-        *[F.sum(name).alias(name) for name in BILL_SUMS],
-    )
+    sums = [F.sum(name).alias(name) for name in BILL_SUMS]
+    if text_pairs:
+        of_bill = ["_billed", *BILL_SUMS]
+        marked = sold.select("*", F.posexplode("_items").alias("_at", "_item"))
+        pairs = marked.groupBy(*KEYS, F.concat("_item", "_bill").alias("_pair")).agg(
+            *[F.sum(F.when(F.col("_at") == 0, F.col(c))).alias(c) for c in of_bill])
+        totals = pairs.groupBy(*KEYS).agg(
+            F.coalesce(F.sum("_billed"), F.lit(0)).alias("NoOfBill"), F.count(F.lit(1)).alias("NoOfBrand"), *sums)
+    else:
+        totals = sold.groupBy(*KEYS).agg(
+            F.sum("_billed").alias("NoOfBill"), F.sum(F.size("_items")).alias("NoOfBrand"), *sums)
     split = totals.select(
         *KEYS, *_split_by_bill_type("NoOfBill", rules), *_split_by_bill_type("NoOfBrand", rules), *BILL_SUMS
     )
