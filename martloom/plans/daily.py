@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from martloom.functions import ym
 from martloom.plans import assets, dims, facts, outlets, scorecard, visits, volume
 from martloom.rules import DEFAULT_RULES, Rules
+from martloom.sinks.changes import changed, remember, states
 from martloom.sinks.store import NO_VALUE, Mart, window_month, with_load_day, with_month
 from martloom.sources.landing import has_rows
 
@@ -145,9 +146,17 @@ def _sales(job):
     return build
 
 
-def _since(t: Tables, table: str, month: str | None, column: str) -> DataFrame:
+def _since(t: Tables, table: str, month: str, column: str) -> DataFrame:
     """A table from a month on; the bound is a constant and prunes."""
-    return t(table) if month is None else t(table).filter(F.col(column) >= month)
+    return t(table).filter(F.col(column) >= month)
+
+
+def _months(t: Tables, table: str, months: set[str] | None, column: str) -> DataFrame:
+    """Some months of a table (None: all); constants again. ``NO_VALUE`` stands for the rows without a month."""
+    if months is None:
+        return t(table)
+    named = F.col(column).isin(sorted(months - {NO_VALUE}))
+    return t(table).filter(named | F.col(column).isNull() if NO_VALUE in months else named)
 
 
 def _visits(t: Tables, as_of: date, rules: Rules) -> DataFrame:
@@ -158,16 +167,16 @@ def _visits(t: Tables, as_of: date, rules: Rules) -> DataFrame:
         as_of=as_of, rules=rules)
 
 
-def _coolers(t: Tables, month: str | None, rules: Rules) -> DataFrame:
+def _coolers(t: Tables, months: set[str] | None, rules: Rules) -> DataFrame:
     return assets.cooler_sales(
-        _since(t, "FactDataAsset", month, "YM"), _since(t, "AggInvVolByBrandYM", month, "ym"), rules=rules)
+        _months(t, "FactDataAsset", months, "YM"), _months(t, "AggInvVolByBrandYM", months, "ym"), rules=rules)
 
 
-def _card(t: Tables, month: str | None, rules: Rules, parity: bool) -> DataFrame:
+def _card(t: Tables, months: set[str] | None, rules: Rules, parity: bool) -> DataFrame:
     return scorecard.scorecard(
-        _since(t, "AggInvVolByBrandYM", month, "ym"), _since(t, "AggInvBillBrandYM", month, "ym"),
-        _since(t, "AggVisitCallYM", month, "ym"), _since(t, "AggActOutletYM", month, "ym"),
-        _since(t, "AggAssetCoolerYM", month, "ym"), t("DimChannel"), t("Config"), t("DimCustomer"), t("DimCustGrp1"),
+        _months(t, "AggInvVolByBrandYM", months, "ym"), _months(t, "AggInvBillBrandYM", months, "ym"),
+        _months(t, "AggVisitCallYM", months, "ym"), _months(t, "AggActOutletYM", months, "ym"),
+        _months(t, "AggAssetCoolerYM", months, "ym"), t("DimChannel"), t("Config"), t("DimCustomer"), t("DimCustGrp1"),
         rules=rules, parity=parity)
 
 
@@ -184,9 +193,13 @@ STEPS = [
         as_of=as_of, rules=rules), 0),
     Step("AggDataAssetYM", lambda t, as_of, rules: assets.asset_counts(t("FactDataAsset")), None),
 ]
-# Tables made of the ones above, month by month: only months that those replace can change.
-DERIVED_MONTHS = 5
-DERIVED = ["AggAssetCoolerYM", "AggInvAllDataYM"]
+# Tables made of stored months of others: table -> source and its month column. Only months that differ are made again.
+DERIVED = {
+    "AggAssetCoolerYM": {"FactDataAsset": "YM", "AggInvVolByBrandYM": "ym"},
+    "AggInvAllDataYM": {
+        "AggInvVolByBrandYM": "ym", "AggInvBillBrandYM": "ym", "AggVisitCallYM": "ym", "AggActOutletYM": "ym",
+        "AggAssetCoolerYM": "ym"},
+}
 
 
 def refresh_aggregates(
@@ -195,8 +208,9 @@ def refresh_aggregates(
 ) -> dict[str, int]:
     """Rebuild the aggregates; returns rows written per table. A second run changes nothing.
 
-    Cooler sales and the scorecard are replaced for the widest window of their inputs; ``rebuild`` makes them over all
-    months, as after a full load or late assets of old months. ``parity`` repeats side measures as the scorecard says.
+    Cooler sales and the scorecard are replaced for the months in which a source has other files than those they were
+    made of: the windows replaced above, and whatever a load wrote into older months. ``rebuild`` makes them over all months, as after
+    a change of dimensions that is to reach back. ``parity`` repeats side measures as the scorecard says.
     """
     written, sort = {}, ("BranchCode", "RouteCode")
 
@@ -209,10 +223,18 @@ def refresh_aggregates(
     for step in STEPS:
         if only is None or step.table in only:
             put(step.table, step.build(mart.read, as_of, rules), step.months)
-    for table in DERIVED:
+    for table, sources in DERIVED.items():
         if only is None or table in only:
-            whole = rebuild or not mart.exists(table)
-            month = None if whole else window_month(as_of, DERIVED_MONTHS)
-            rows = _coolers(mart.read, month, rules) if table == DERIVED[0] else _card(mart.read, month, rules, parity)
-            put(table, rows, None if whole else DERIVED_MONTHS)
+            seen = {source: states(mart, source, key) for source, key in sources.items()}
+            months = None if rebuild else changed(mart, table, seen)
+            rows = _coolers(mart.read, months, rules) if table == "AggAssetCoolerYM" else _card(mart.read, months, rules, parity)
+            if months is None:
+                put(table, rows, None)
+            elif months:
+                # Rows without a month get the date key "01" in the cooler table.
+                ours = months | {"01"} if table == "AggAssetCoolerYM" and NO_VALUE in months else months
+                written[table] = mart.replace_values(table, with_month(dims.stamped(rows)), "ym", ours, sort)
+            else:
+                written[table] = 0
+            remember(mart, table, seen)
     return written

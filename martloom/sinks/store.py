@@ -158,9 +158,31 @@ class Mart:
         counter per stored partition of the window, so the frame is computed once.
         """
         keys = _keys(partition)
-        key = F.col(keys[-1]).cast("string")
         stored = [v for v in self.partitions(table, keys) if v[-1] >= since and v[-1] != NO_VALUE]
-        late = F.raise_error(F.concat(F.lit(f"{table}: row outside the window from {since}: "), F.coalesce(key, F.lit("NULL"))))
+        inside = F.col(keys[-1]).cast("string") >= since
+        return self._replace(table, df, keys, inside, f"row outside the window from {since}", stored, sort)
+
+    def replace_values(
+        self, table: str, df: DataFrame, partition: str, values: set[str], sort: tuple[str, ...] = ()
+    ) -> int:
+        """Replace of named partitions: they hold exactly the rows of ``df``; ``NO_VALUE`` names the rows without a key.
+
+        A row of ``df`` of another partition fails the write; named partitions that became empty are dropped.
+        """
+        key = F.col(partition).cast("string")
+        inside = key.isin(sorted(values - {NO_VALUE}))
+        if NO_VALUE in values:
+            inside = inside | key.isNull()
+        stored = [v for v in self.partitions(table, (partition,)) if unquote(v[0]) in values]
+        return self._replace(table, df, (partition,), inside, "row of a partition that is not replaced", stored, sort)
+
+    def _replace(
+        self, table: str, df: DataFrame, keys: tuple[str, ...], inside: Column, wrong: str,
+        stored: list[tuple[str, ...]], sort: tuple[str, ...]
+    ) -> int:
+        """Write rows over their partitions, then drop those of ``stored`` that received none."""
+        key = F.col(keys[-1]).cast("string")
+        late = F.raise_error(F.concat(F.lit(f"{table}: {wrong}: "), F.coalesce(key, F.lit("NULL"))))
         seen = Observation()
 
         def here(values: tuple[str, ...]) -> Column:
@@ -168,13 +190,13 @@ class Mart:
             tests = [F.col(k).isNull() if v == NO_VALUE else F.col(k).cast("string") == unquote(v)
                      for k, v in zip(keys, values)]
             return reduce(and_, tests)
-        inside = _plain_keys(df, keys).filter(
-            F.when(F.coalesce(key >= since, F.lit(False)), F.lit(True)).otherwise(late.cast("boolean"))
+        checked = _plain_keys(df, keys).filter(
+            F.when(F.coalesce(inside, F.lit(False)), F.lit(True)).otherwise(late.cast("boolean"))
         ).observe(
             seen, F.count(F.lit(1)).alias("rows"),
             *[F.count_if(here(v)).alias(f"p{i}") for i, v in enumerate(stored)],
         )
-        self._clustered(inside, keys, sort).write.mode("overwrite").option(
+        self._clustered(checked, keys, sort).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).partitionBy(*keys).parquet(self.path(table))
         found = seen.get

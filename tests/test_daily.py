@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from checks.roles import AS_OF, TEST_RULES, Roles
 from martloom.functions import ym
-from martloom.plans import facts, volume
+from martloom.plans import facts, outlets, visits, volume
 from checks.registry import filled_table
 from martloom.plans.daily import (
     BRANCH_TARGETS, COPIED, DERIVED, FACT_DAYS, LAST_DAYS, STEPS, load_dimensions, load_facts, load_targets, refresh_aggregates,
 )
 from martloom.sinks import Mart
+from martloom.sinks.store import with_month
 
 
 @pytest.fixture(scope="module")
@@ -45,7 +46,7 @@ def content(mart, table):
 
 def test_refresh_twice_is_a_no_op(mart):
     written = refresh_aggregates(mart, AS_OF, rules=TEST_RULES)
-    assert list(written) == [s.table for s in STEPS] + DERIVED and all(written.values())
+    assert list(written) == [s.table for s in STEPS] + list(DERIVED) and all(written.values())
     first = {t: content(mart, t) for t in written}
     again = refresh_aggregates(mart, AS_OF, rules=TEST_RULES)
     assert {t: again[t] for t in again if t not in DERIVED} == {t: written[t] for t in written if t not in DERIVED}
@@ -69,6 +70,51 @@ def test_untouched_months_keep_their_files(mart):
     assert {t: content(mart, t) for t in DERIVED} == before
 
 
+def test_late_assets_of_old_months_reach_the_derived_tables(spark, sf_dir, tmp_path):
+    """An asset loaded today into a month far before any window changes that month, and no other one."""
+    mart, r = Mart(spark, str(tmp_path)), Roles(spark, sf_dir)
+    for name, df in {"DimReason": r.reason(), "DimCustomer": r.customer(), "DimMaterial": r.material(), "DimRoute": r.route(),
+                     "DimCustGrp1": r.group(), "DimChannel": r.channel(), "Config": r.config(),
+                     "DimLocation": r.location()}.items():
+        mart.overwrite(name, df)
+    invoice = facts.invoices(r.stage_invoice(), r.material(), days=None)
+    mart.overwrite("AggInvVolByBrandYM", with_month(volume.volume_by_brand(
+        invoice, r.reason(), r.customer(), r.material(), months=None, rules=TEST_RULES)), "ym")
+    mart.overwrite("AggInvBillBrandYM", with_month(volume.bills(
+        invoice, r.reason(), r.customer(), r.material(), months=None, rules=TEST_RULES)), "ym")
+    mart.overwrite("AggVisitCallYM", with_month(visits.visit_calls(
+        r.planned_visits(), r.actual_visits(), r.route(), as_of=AS_OF, months=None, rules=TEST_RULES)), "ym")
+    mart.overwrite("AggActOutletYM", with_month(outlets.active_outlets(
+        invoice, r.plan(), r.reason(), r.channel(), r.config(), r.material(), r.customer(), r.group(), r.route(), r.location(),
+        months=None, rules=TEST_RULES)), "ym")
+    assets = facts.assets(r.stage_asset(), r.plan(), days=None).withColumn("etl_date", F.lit("2001-01-01"))
+    mart.overwrite("FactDataAsset", assets, ("YM", "etl_date"))
+    only = set(DERIVED)
+    assert all(refresh_aggregates(mart, AS_OF, rules=TEST_RULES, only=only).values())
+    assert refresh_aggregates(mart, AS_OF, rules=TEST_RULES, only=only) == {t: 0 for t in DERIVED}
+
+    months = [v[0] for v in mart.partitions("AggAssetCoolerYM", ("ym",))]
+    old = sorted(m for m in months if m < "199801")[0]
+    files = {(t, m): sorted(os.listdir(f"{mart.path(t)}/ym={m}")) for t in DERIVED for m, in mart.partitions(t, ("ym",))}
+    cooler = content(mart, "AggAssetCoolerYM")
+    late = mart.read("FactDataAsset").filter(F.col("YM") == old).filter(
+        F.col("AssetType") == TEST_RULES.cooler_asset).limit(3).withColumn("etl_date", F.lit("2001-08-01"))
+    assert mart.append("FactDataAsset", late, ("YM", "etl_date")) == 3
+    again = refresh_aggregates(mart, AS_OF, rules=TEST_RULES, only=only)
+    assert all(again.values()) and content(mart, "AggAssetCoolerYM") != cooler
+    now = {(t, m): sorted(os.listdir(f"{mart.path(t)}/ym={m}")) for t, m in files}
+    assert {k for k in files if files[k] != now[k]} == {(t, old) for t in DERIVED}
+    found = {t: content(mart, t) for t in DERIVED}
+    refresh_aggregates(mart, AS_OF, rules=TEST_RULES, only=only, rebuild=True)
+    assert {t: content(mart, t) for t in DERIVED} == found
+
+    # A month that vanishes from a source vanishes here.
+    kept = mart.read("FactDataAsset").filter(F.col("YM") != old)
+    mart.overwrite("FactDataAsset", kept, ("YM", "etl_date"))
+    refresh_aggregates(mart, AS_OF, rules=TEST_RULES, only=only)
+    assert mart.read("AggAssetCoolerYM").filter(F.col("ym") == old).count() == 0
+
+
 def test_volume_totals_agree_with_the_invoice(mart):
     volume = mart.read("AggInvVolByBrandYM")
     lines = mart.read("FactAllDataInvoice").filter("YM >= '200103' AND ReasonCode NOT LIKE '6%'").join(
