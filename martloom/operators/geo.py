@@ -1,13 +1,14 @@
 """Assigning points to map regions with equi joins and built-in expressions.
 
 A boundary row is ``(id, attributes..., rings)``; ``rings`` holds every closed ring of
-the region, holes included. Each region is indexed by the grid cells of its bounding
-box, and each cell keeps only the edges a ray from inside that cell can cross.
+the region, holes included. A point is inside when an odd number of edges crosses the ray to its right. Each grid cell keeps
+what that number needs: its own edges, and for all edges further right one bit for the cell, corrected at the heights at which
+an edge leaves the cell's column inside the cell's row. The index grows with the edges, however many lie to the right of a cell.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -24,47 +25,51 @@ def _edges(rings: Column) -> Column:
     return F.flatten(F.transform(usable, ring_edges))
 
 
-def boundary_cells(boundary: DataFrame, cell: float, key: str = "id") -> DataFrame:
-    """One row per (region, grid cell): ``key, cx, cy, edges`` relevant to the cell."""
-    step = F.lit(float(cell))
-
-    def low(a: str, b: str):
-        return lambda e: F.least(e[a], e[b])
+def boundary_cells(boundary: DataFrame, cell: float, attributes: list[str], key: str = "id") -> DataFrame:
+    """One row per region and grid cell: ``key, attributes..., cx, cy, edges, heights, odd``.
 
-    def high(a: str, b: str):
-        return lambda e: F.greatest(e[a], e[b])
+    ``edges`` are those whose box meets the cell. Of the edges wholly right of the cell's column, those that a height y meets
+    are odd in number when ``odd`` + the number of ``heights`` above y is odd: the ends of such edges come in pairs,
+    except where an edge that crosses the column meets them. So each edge adds its right end to the columns it crosses.
+    Cells without edges are listed only if they lie inside.
+    """
+    step = F.lit(float(cell))
 
     def cell_no(v: Column) -> Column:
         return F.floor(v / step)
 
-    shapes = boundary.select(F.col(key), _edges(F.col("rings")).alias("edges"))
-    boxes = shapes.select(
-        key, "edges",
-        F.array_min(F.transform("edges", low("x1", "x2"))).alias("x_lo"),
-        F.array_max(F.transform("edges", high("x1", "x2"))).alias("x_hi"),
-        F.array_min(F.transform("edges", low("y1", "y2"))).alias("y_lo"),
-        F.array_max(F.transform("edges", high("y1", "y2"))).alias("y_hi"),
-    ).filter(F.size("edges") > 0)
-    rows = boxes.withColumn("cy", F.explode(F.sequence(cell_no(F.col("y_lo")), cell_no(F.col("y_hi"))))).select(
-        key, "x_lo", "x_hi", "cy",
-        F.filter("edges", lambda e: (cell_no(high("y1", "y2")(e)) >= F.col("cy"))
-                 & (cell_no(low("y1", "y2")(e)) <= F.col("cy"))).alias("edges"),
-    )
-    cells = rows.withColumn("cx", F.explode(F.sequence(cell_no(F.col("x_lo")), cell_no(F.col("x_hi"))))).select(
-        key, "cx", "cy",
-        F.filter("edges", lambda e: cell_no(high("x1", "x2")(e)) >= F.col("cx")).alias("edges"),
-    )
-    return cells.filter(F.size("edges") > 0)
-
-
-def _inside(x: Column, y: Column, edges: Column) -> Column:
+    region = [key, *attributes]
+    e = F.col("edge")
+    edges = boundary.select(*region, F.explode(_edges(F.col("rings"))).alias("edge")).select(
+        *region, "edge", *[f(cell_no(e[f"{axis}1"]), cell_no(e[f"{axis}2"])).alias(f"{axis}_{name}")
+                           for axis in "xy" for name, f in (("lo", F.least), ("hi", F.greatest))])
+    own = edges.withColumn("cx", F.explode(F.sequence("x_lo", "x_hi"))).select(
+        *region, "cx", F.explode(F.sequence("y_lo", "y_hi")).alias("cy"), "edge")
+    right_end = F.when(cell_no(e["x1"]) > cell_no(e["x2"]), e["y1"]).otherwise(e["y2"])
+    ends = edges.filter(F.col("x_lo") < F.col("x_hi")).select(
+        *region, F.explode(F.sequence(F.col("x_lo"), F.col("x_hi") - 1)).alias("cx"), right_end.alias("height")
+    ).withColumn("cy", cell_no(F.col("height")))
+    column = Window.partitionBy(*region, "cx").orderBy(F.desc("cy"))
+    # From one row with heights down to the next one, the number of heights above stays the same.
+    above = ends.groupBy(*region, "cx", "cy").agg(F.count(F.lit(1)).alias("n")).select(
+        *region, "cx", "cy", F.sum("n").over(column).alias("above"), F.lead("cy").over(column).alias("next"))
+    inner = above.filter((F.col("above") % 2 == 1) & F.col("next").isNotNull()).select(
+        *region, "cx", F.explode(F.sequence(F.col("next"), F.col("cy") - 1)).alias("cy"), F.lit(1).alias("odd"))
+    rows = own.unionByName(ends, allowMissingColumns=True).unionByName(inner, allowMissingColumns=True)
+    return rows.groupBy(*region, "cx", "cy").agg(
+        F.collect_list("edge").alias("edges"), F.collect_list("height").alias("heights"),
+        F.coalesce(F.max("odd"), F.lit(0)).alias("odd"))
+
+
+def _inside(x: Column, y: Column) -> Column:
     """Even-odd rule with half-open edges: a shared border belongs to one region."""
     crossings = F.filter(
-        edges,
+        F.col("_edges"),
         lambda e: ((e["y1"] > y) != (e["y2"] > y))
         & (x < (e["x2"] - e["x1"]) * (y - e["y1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0)) + e["x1"]),
     )
-    return F.size(crossings) % 2 == 1
+    further = F.size(F.filter("_heights", lambda h: h > y)) + F.col("_odd")
+    return (F.size(crossings) + further) % 2 == 1
 
 
 def _on_edge(x: Column, y: Column, edges: Column) -> Column:
@@ -90,29 +95,31 @@ def assign_region(
     """Left join every point to the region that contains it.
 
     ``edges="closed"`` also matches a point lying on a border to each region that shares
-    it. The cell index is shuffled once, so adaptive execution knows its real size before it
-    chooses: a small index is broadcast, a large one joins by cell. Then ``salts`` spreads a
-    crowded cell over that many tasks.
+    it. A region of several rows with the same attributes is one region. The cell index is shuffled once, so adaptive
+    execution knows its real size before it chooses: a small index is broadcast, a large one joins by cell. Then ``salts``
+    spreads a crowded cell over that many tasks; points without a cell are always spread.
     """
-    index = boundary_cells(boundary, cell, key).withColumnRenamed(key, "_region")
+    index = boundary_cells(boundary, cell, attributes, key)
+    index = index.select(*[F.col(c).alias(f"_{c}") for c in [*attributes, "cx", "cy", "edges", "heights", "odd"]])
     px, py = F.col(x), F.col(y)
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in points.columns]), F.lit(salts)).cast("int")
+    valid, row = valid_point(px, py, lonlat), F.xxhash64(*[F.col(c) for c in points.columns])
+    spread = F.pmod(row, F.lit(salts)).cast("int") if salts > 1 else F.lit(0)
     placed = points.select(
         "*",
-        F.when(valid_point(px, py, lonlat), F.floor(px / F.lit(float(cell)))).alias("_cx"),
-        F.when(valid_point(px, py, lonlat), F.floor(py / F.lit(float(cell)))).alias("_cy"),
-        (spread if salts > 1 else F.lit(0)).alias("_salt"),
+        F.when(valid, F.floor(px / F.lit(float(cell)))).otherwise(0).alias("_x"),
+        F.when(valid, F.floor(py / F.lit(float(cell)))).otherwise(0).alias("_y"),
+        # No slot of the index is negative, so points without a cell meet nothing, in many tasks.
+        F.when(valid, spread).otherwise(-1 - F.pmod(row, F.lit(1 << 16)).cast("int")).alias("_salt"),
     )
     slots = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))) if salts > 1 else F.lit(0)
-    index = index.withColumn("_slot", slots).repartition("cx", "cy", "_slot")
-    hit = _inside(px, py, F.col("edges"))
+    index = index.withColumn("_slot", slots).repartition("_cx", "_cy", "_slot")
+    hit = _inside(px, py)
     if edges == "closed":
-        hit = hit | _on_edge(px, py, F.col("edges"))
+        hit = hit | _on_edge(px, py, F.col("_edges"))
     met = placed.join(
         index,
-        (F.col("_cx") == F.col("cx")) & (F.col("_cy") == F.col("cy"))
+        (F.col("_x") == F.col("_cx")) & (F.col("_y") == F.col("_cy"))
         & (F.col("_salt") == F.col("_slot")) & hit,
         "left",
     )
-    names = boundary.select(F.col(key).alias("_named"), *attributes)
-    return met.join(names, F.col("_region") == F.col("_named"), "left").select(*points.columns, *attributes)
+    return met.select(*points.columns, *[F.col(f"_{a}").alias(a) for a in attributes])

@@ -39,12 +39,17 @@ BRANCH_TARGETS = ["FactAOP", "FactAOPDM", "FactAOPNDDM", "FactAOPRoute", "FactAO
 MANAGER_TARGETS = ["FactAOPTDM", "FactAOPNDTDM"]
 
 
-def load_dimensions(mart: Mart, stage: Tables, sheet: Tables, boundary: DataFrame, *, cell: float = 0.25) -> dict[str, int]:
-    """Full refresh of the dimensions, and of route staff for the months of the route sheet."""
+def load_dimensions(
+    mart: Mart, stage: Tables, sheet: Tables, boundary: DataFrame, *, cell: float = 0.25, salts: int = 1,
+) -> dict[str, int]:
+    """Full refresh of the dimensions, and of route staff for the months of the route sheet.
+
+    ``cell`` and ``salts`` say how finely points are dealt for the search of their region.
+    """
     built = {name: dims.copy_table(stage(name), name) for name in COPIED}
     built |= {
-        "DimCustomer": dims.customers(stage("DimCustomerOld"), stage("DimCustomer"), boundary, cell=cell),
-        "DimLocation": dims.locations(stage("DimLocation"), sheet("DimLocation"), boundary, cell=cell),
+        "DimCustomer": dims.customers(stage("DimCustomerOld"), stage("DimCustomer"), boundary, cell=cell, salts=salts),
+        "DimLocation": dims.locations(stage("DimLocation"), sheet("DimLocation"), boundary, cell=cell, salts=salts),
         "DimRoute": dims.routes(sheet("DimRoute"), stage("DimRoute")),
         "DimSalesman": dims.salesmen(sheet("DimSalesman"), stage("DimSalesman")),
         "DimBillingDate": dims.billing_calendar(stage("DimBillingDate"), sheet("DimBillingDate")),

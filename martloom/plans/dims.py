@@ -72,13 +72,13 @@ def customers(
 
 def locations(
     stage: DataFrame, sheet: DataFrame, boundary: DataFrame, *, cell: float = 0.25,
-    edges: str = "half_open", keep_ungeocoded: bool = True,
+    edges: str = "half_open", keep_ungeocoded: bool = True, salts: int = 1,
 ) -> DataFrame:
     """Branch dimension: region by coordinates, labels from a sheet keyed by new or old code."""
     if not keep_ungeocoded:
         stage = stage.filter(valid_point(F.col("Longitude"), F.col("Latitude")))
     placed = assign_region(
-        stage, boundary, "Longitude", "Latitude", list(REGION_COLUMNS), cell=cell, edges=edges
+        stage, boundary, "Longitude", "Latitude", list(REGION_COLUMNS), cell=cell, edges=edges, salts=salts
     ).withColumnsRenamed(REGION_COLUMNS).withColumns({
         "BranchCode": F.col("BranchCode").cast("string"), "OldBranchCode": F.col("OldBranchCode").cast("string"),
     })

@@ -4,7 +4,9 @@ import random
 
 import pytest
 
-from martloom.operators import assign_region
+from pyspark.sql import functions as F
+
+from martloom.operators import assign_region, boundary_cells
 
 SQUARE = [(0.0, 0.0), (10.0, 0.0), (10.0, 10.0), (0.0, 10.0), (0.0, 0.0)]
 HOLE = [(3.0, 3.0), (3.0, 6.0), (6.0, 6.0), (6.0, 3.0), (3.0, 3.0)]
@@ -58,3 +60,28 @@ def test_random_polygons_against_brute_force(spark, cell, salts):
         hits = [k.upper() for k, rings in shapes.items() if even_odd(x, y, rings)]
         want += [(n, h) for h in hits] or [(n, "")]
     assert assigned(spark, points, shapes, cell=cell, salts=salts) == sorted(want)
+
+
+def test_index_grows_with_the_edges(spark):
+    """A comb of many teeth in one row of cells: every cell keeps its own teeth, not all to its right."""
+    teeth = 300
+    ring = [(0.0, 0.0)]
+    for i in range(teeth):
+        ring += [(i + 0.2, 0.9), (i + 0.8, 0.1)]
+    ring += [(float(teeth), 0.95), (0.0, 0.95), (0.0, 0.0)]
+    index = boundary_cells(boundary(spark, {"comb": [ring]}), 1.0, ["name"])
+    size = index.agg(F.sum(F.size("edges")), F.sum(F.size("heights")), F.max(F.size("edges"))).first()
+    assert size[0] < 4 * len(ring) and size[1] < 3 * len(ring) and size[2] < 8
+    points = [(n, n * 0.37 % (teeth + 2), n * 0.013 % 1.0) for n in range(600)]
+    want = sorted((n, "COMB" if even_odd(x, y, [ring]) else "") for n, x, y in points)
+    assert assigned(spark, points, {"comb": [ring]}, cell=1.0, lonlat=False) == want
+
+
+def test_cells_inside_without_edges(spark):
+    big = [(0.5, 0.5), (9.5, 0.5), (9.5, 9.5), (0.5, 9.5), (0.5, 0.5)]
+    index = boundary_cells(boundary(spark, {"big": [big]}), 1.0, ["name"])
+    assert index.filter(F.size("edges") == 0).agg(F.count(F.lit(1)), F.min("odd")).first() == (64, 1)
+    extra = boundary(spark, {"big": [big]})
+    points = spark.createDataFrame([(4.0, 4.0, 1, "a"), (40.0, 4.0, 2, None)], "x double, y double, edges int, odd string")
+    out = assign_region(points, extra, "x", "y", ["name"], cell=1.0)
+    assert sorted(map(tuple, out.collect())) == [(4.0, 4.0, 1, "a", "BIG"), (40.0, 4.0, 2, None, None)]
