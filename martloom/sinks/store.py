@@ -19,10 +19,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom import schemas
+from martloom.functions import fold_key
 from martloom.operators.replace import replace_keys
 
 Keys = str | tuple[str, ...] | None
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+KEY_BUCKET = "key_bucket"
 
 
 def _keys(partition: Keys) -> tuple[str, ...]:
@@ -62,6 +64,7 @@ class Mart:
         live, old = self.path(table), self._old(table)
         # Between the two renames of a refresh the old rows are still complete.
         found = self.spark.read.parquet(old if not fs.exists(path(live)) and fs.exists(path(old)) else live)
+        found = found.drop(KEY_BUCKET)
         if table not in schemas.TABLES:
             return found
         # A partition directory is text and comes last: give declared columns their type and place.
@@ -207,10 +210,47 @@ class Mart:
                 fs.delete(path(f"{self.path(table)}/{folder}"), True)
         return found["rows"]
 
-    def replace_by_keys(self, table: str, df: DataFrame, on: list[str]) -> int:
-        """Key-set replace of a table that is not partitioned by the key."""
-        merged = replace_keys(self.read(table), df, on) if self.exists(table) else df
-        return self.overwrite(table, merged)
+    def overwrite_in_buckets(self, table: str, df: DataFrame, on: list[str], buckets: int) -> int:
+        """Full refresh of a table whose rows lie in directories by a hash of their key, for ``replace_by_keys``.
+
+        The bucket column is not among the columns that ``read`` gives. Letter case and trailing blanks do
+        not matter to it, so keys that compare as equal under a collation share a bucket.
+        """
+        return self.overwrite(table, _bucketed(df, on, buckets), KEY_BUCKET)
+
+    def replace_by_keys(self, table: str, df: DataFrame, on: list[str], *, buckets: int | None = None) -> int:
+        """Key-set replace of a table that is not partitioned by the key.
+
+        A table stored in ``buckets`` is read and written in the buckets of the incoming keys only; the others keep their
+        files. Any other table is written anew. Rows without a key take no one's place, as in the frame form.
+        """
+        if not self.exists(table) or buckets is None:
+            merged = replace_keys(self.read(table), df, on) if self.exists(table) else df
+            return self.overwrite(table, merged) if buckets is None else self.overwrite_in_buckets(table, merged, on, buckets)
+        if not self.partitions(table, (KEY_BUCKET,)):
+            return self.overwrite_in_buckets(table, replace_keys(self.read(table), df, on), on, buckets)
+        old = self.spark.read.parquet(self.path(table))
+        new = _bucketed(df.select(*[F.col(c).cast(old.schema[c].dataType).alias(c) for c in df.columns]), on, buckets)
+        # Not more than there are buckets.
+        touched = sorted(r[0] for r in new.select(KEY_BUCKET).distinct().collect())
+        if not touched:
+            return 0
+        stored = old.withColumn(KEY_BUCKET, F.col(KEY_BUCKET).cast("int"))
+        there = stored.filter(F.col(KEY_BUCKET).isin(touched))
+        wrong = F.col(KEY_BUCKET) != _bucket(on, buckets)
+        checked = there.withColumn(KEY_BUCKET, F.when(wrong, F.raise_error(F.lit(
+            f"{table}: not stored in {buckets} buckets by {on}")).cast("int")).otherwise(F.col(KEY_BUCKET)))
+        merged = replace_keys(checked, new, on).select(*old.columns)
+        return self.replace_values(table, merged, KEY_BUCKET, {str(b) for b in touched})
+
+
+def _bucket(on: list[str], buckets: int) -> Column:
+    keys = [F.collate(fold_key(F.col(k).cast("string")), "UTF8_BINARY") for k in on]
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def _bucketed(df: DataFrame, on: list[str], buckets: int) -> DataFrame:
+    return df.withColumn(KEY_BUCKET, _bucket(on, buckets))
 
 
 def with_month(df: DataFrame, key: str = "DateKey", name: str = "ym") -> DataFrame:
@@ -229,4 +269,4 @@ def window_month(as_of: date, back: int) -> str:
     return f"{months // 12:04d}{months % 12 + 1:02d}"
 
 
-__all__ = ["NO_VALUE", "Mart", "window_month", "with_load_day", "with_month"]
+__all__ = ["KEY_BUCKET", "NO_VALUE", "Mart", "window_month", "with_load_day", "with_month"]

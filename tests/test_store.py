@@ -105,6 +105,42 @@ def test_key_set_replace_without_partitions(spark, mart):
     assert held(mart) == [("202401", "a", "1"), ("202402", "b", "9"), ("202403", "c", "1"), ("202409", "x", "9")]
 
 
+def bucket_files(mart):
+    return {d: sorted(os.listdir(f"{mart.path('t')}/{d}")) for d in os.listdir(mart.path("t")) if d.startswith("key_bucket=")}
+
+
+def test_key_buckets_leave_other_buckets_alone(spark, mart):
+    old = frame(spark, [(f"k{i}", str(i), f"m{i % 40}") for i in range(400)] + [("none", "0", None)])
+    mart.overwrite_in_buckets("t", old, ["ym"], 16)
+    assert mart.read("t").columns == ["k", "v", "ym"] and len(bucket_files(mart)) > 8
+    for rows in ([("n", "1", "m3"), ("n", "2", "m3"), ("n", "3", "new")], [("x", "9", None)], [("y", "8", "m7")]):
+        new, before = frame(spark, rows), bucket_files(mart)
+        want = replace_keys(mart.read("t"), new, ["ym"]).select("k", "v", "ym").collect()
+        mart.replace_by_keys("t", new, ["ym"], buckets=16)
+        assert sorted(map(str, mart.read("t").collect())) == sorted(map(str, want))
+        after = bucket_files(mart)
+        assert 1 <= sum(before.get(d) != after.get(d) for d in before.keys() | after.keys()) <= 2
+    before = bucket_files(mart)
+    assert mart.replace_by_keys("t", frame(spark, []), ["ym"], buckets=16) == 0 and bucket_files(mart) == before
+    with pytest.raises(Exception, match="not stored in 7 buckets"):
+        mart.replace_by_keys("t", frame(spark, [(f"a{i}", "1", f"m{i}") for i in range(9)]), ["ym"], buckets=7)
+    assert bucket_files(mart) == before
+
+
+def test_a_table_moves_into_buckets(spark, mart):
+    mart.append("t", frame(spark, OLD))
+    for _ in range(2):
+        mart.replace_by_keys("t", frame(spark, [("b", "9", "202402"), ("x", "9", "202409")]), ["ym"], buckets=4)
+        assert held(mart) == [("202401", "a", "1"), ("202402", "b", "9"), ("202403", "c", "1"), ("202409", "x", "9")]
+    assert bucket_files(mart)
+
+
+def test_keys_that_compare_as_equal_share_a_bucket(spark, mart):
+    mart.overwrite_in_buckets("t", collate_text(frame(spark, [("a", "1", "North"), ("b", "1", "South")])), ["ym"], 64)
+    mart.replace_by_keys("t", collate_text(frame(spark, [("c", "2", "NORTH ")])), ["ym"], buckets=64)
+    assert sorted(r["k"] for r in mart.read("t").collect()) == ["b", "c"]
+
+
 def test_full_refresh_may_read_its_own_table(spark, mart):
     mart.overwrite("t", frame(spark, OLD), "ym")
     mart.overwrite("t", mart.read("t").filter("k <> 'a'"), "ym")
