@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
@@ -42,6 +43,8 @@ def shared_folder(spark: SparkSession) -> str:
     if not base:
         base = spark.sparkContext.getCheckpointDir()
         if not base:
+            if not spark.sparkContext.master.startswith("local["):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             base = tempfile.mkdtemp(prefix="martloom-")
             spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
@@ -59,6 +62,16 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_names(taken: list[str], n: int) -> list[str]:
+    """n column names that no given column has, whatever the case."""
+    used, out, i = {c.lower() for c in taken}, [], 0
+    while len(out) < n:
+        if f"_made_{i}" not in used:
+            out.append(f"_made_{i}")
+        i += 1
+    return out
+
+
 def part_of(id_column: Column, folds: int = 5) -> Column:
     """crc32 of an id as text, modulo folds; a null id counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(id_column.cast("string"), F.lit("")).cast("binary")), F.lit(folds))
@@ -97,6 +110,53 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str, most: int = 4 << 20) ->
             start = end
 
 
+# ---- keyed hashes of words and bytes, for equality ----
+
+KEY = b"martloom words"
+
+
+def letters_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The words as an array of byte strings."""
+    sizes = ends - starts
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    places = np.arange(offsets[-1]) + np.repeat(starts - offsets[:-1], sizes)
+    return pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[places]))])
+
+
+def word_keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64 bits of a keyed cryptographic hash of every word; each distinct word is hashed once."""
+    if not len(starts):
+        return np.zeros(0, U64)
+    encoded = letters_of(data, starts, ends).dictionary_encode()
+    keys = np.array([int.from_bytes(hashlib.blake2b(w, digest_size=8, key=KEY).digest(), "little")
+                     for w in encoded.dictionary.to_pylist()], U64)
+    return keys[encoded.indices.to_numpy(zero_copy_only=False)]
+
+
+def run_keys(keys: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """Hash of the `length` words from each place on: word after word, with a mix that is not linear in any of them."""
+    out = np.full(len(at), length, U64)
+    for j in range(length):
+        out = mix(out * U64(WORD_BASE) + keys[at + j])
+    return out
+
+
+WINDOW = 8
+
+
+def byte_sums(data: np.ndarray) -> np.ndarray:
+    """Prefix sums over the mixed values of all 8-byte windows, for `bytes_key`."""
+    padded = np.concatenate([data, np.zeros(WINDOW, np.uint8)])
+    value = np.ndarray((len(data),), "<u8", padded.tobytes(), strides=(1,)).astype(U64)
+    return prefix_sums(mix(value ^ U64(0xA5B85C5E198ED849)), TEXT_BASE)
+
+
+def bytes_key(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the bytes from start to end, eight at least, through the windows that lie within."""
+    return mix(stretch(sums, start, end - (WINDOW - 1), TEXT_BASE))
+
+
 # ---- hashes modulo 2**64 ----
 
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}

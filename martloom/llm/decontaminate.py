@@ -30,7 +30,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm.common import stored, table
+from martloom.llm.common import free_names, stored, table
 
 # Placeholders are private-use characters, so no text holds them by chance.
 NAME, NUMBER, UNIT, JOIN, POINT = "\ue000", "\ue001", "\ue002", "\ue003", "\ue004"
@@ -200,8 +200,9 @@ def consistent(docs: DataFrame, items: DataFrame, placed: DataFrame, rule: Rule,
 
 def clean(docs: DataFrame, benchmark: DataFrame, rule: Rule | None = None, *, text: str = "text") -> DataFrame:
     """The rows of docs, with their columns, that hold no item."""
-    found = stored(hits(docs, benchmark, rule or Rule(), text=text).select("text_key"), "leaks")
-    return docs.join(found, F.xxhash64(F.col(f"`{text}`")) == F.col("text_key"), "left_anti")
+    mark = free_names(docs.columns, 1)[0]
+    found = stored(hits(docs, benchmark, rule or Rule(), text=text).select(F.col("text_key").alias(mark)), "leaks")
+    return docs.join(found, F.xxhash64(F.col(f"`{text}`")) == F.col(mark), "left_anti")
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

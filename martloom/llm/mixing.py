@@ -24,7 +24,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from martloom.llm.common import stored, table
+from martloom.llm.common import free_names, stored, table
 
 WORD = r"[^\x20\x09-\x0D]+"
 BUCKET = 3  # hex digits of the hash
@@ -150,11 +150,13 @@ def mixed(docs: DataFrame, recipe: Recipe, *, levels: dict[str, Column] | None =
     names, taken = list(levels), [c for c in docs.columns if c.lower() != into.lower()]
     rows = stored(tokens(docs, levels, key, text), "tokens")
     cut = cuts(rows, budgets(rows, names, recipe), names, recipe)
-    path = [f"_{n}" for n in names]
-    placed = docs.select(*[F.col(f"`{c}`") for c in taken], *[_named(c).alias(f"_{n}") for n, c in levels.items()])
-    chosen = placed.join(cut, path).withColumn("_h", _hash(recipe, F.col("passes"), F.col(f"`{key}`")))
-    return chosen.select(*[F.col(f"`{c}`") for c in taken], copies(F.col("cut"), F.col("passes"), F.col("_h")).alias(into)) \
-        .filter(F.col(into) > 0)
+    path = free_names([*docs.columns, into], len(names) + 2)
+    last, passes = path[len(names):]
+    cut = cut.select(*[F.col(f"_{n}").alias(p) for n, p in zip(names, path)], F.col("cut").alias(last), F.col("passes").alias(passes))
+    path = path[: len(names)]
+    placed = docs.select(*[F.col(f"`{c}`") for c in taken], *[_named(c).alias(p) for p, c in zip(path, levels.values())])
+    many = copies(F.col(last), F.col(passes), _hash(recipe, F.col(passes), F.col(f"`{key}`")))
+    return placed.join(cut, path).select(*[F.col(f"`{c}`") for c in taken], many.alias(into)).filter(F.col(into) > 0)
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,8 @@
    pair of blocks is a task of its own.
 4. Components of the confirmed links are the classes.
 
-The number of bands follows from the similarity and `miss`, the chance that a pair at the similarity shares no band.
+Words are known by 64 bits of a keyed cryptographic hash, shingles by a mix of five such hashes one after another; two different
+shingles share one by chance only, about once in 2^64 pairs. The number of bands follows from the similarity and `miss`, the chance that a pair at the similarity shares no band.
 
 Cases: null, empty and blank texts have an empty set and stand alone; a text shorter than a shingle is one shingle;
 a null id is never linked and is kept; rows that share an id are one member; an empty table gives an empty result;
@@ -31,8 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm.common import (U64, WORD_BASE, mix, pieces, prefix_sums, stored, stretch, table, text_bytes,
-                                 word_hashes, words)
+from martloom.llm.common import U64, WORD_BASE, mix, pieces, run_keys, stored, table, text_bytes, word_keys, words
 from martloom.llm.components import components
 
 BLOCK_SHINGLES = 1_500_000
@@ -75,17 +75,14 @@ def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
     data = data.copy()
     data[(data >= 65) & (data <= 90)] += 32
     starts, ends, first = words(data, offsets)
-    sums = prefix_sums(word_hashes(data, starts, ends), WORD_BASE)
-    n = len(starts)
-    windows = mix(stretch(sums, np.arange(max(n - width + 1, 0)), np.arange(width, n + 1), WORD_BASE)) \
-        if n >= width else np.zeros(0, U64)
+    keys = word_keys(data, starts, ends)
+    windows = run_keys(keys, np.arange(max(len(starts) - width + 1, 0)), width)
     out = []
     for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
         if b - a >= width:
             out.append(np.unique(windows[a: b - width + 1]))
         elif b > a:
-            whole = stretch(sums, np.array([a]), np.array([b]), WORD_BASE)
-            out.append(mix(whole ^ (U64(b - a) << U64(56))))
+            out.append(run_keys(keys, np.array([a]), b - a))
         else:
             out.append(np.zeros(0, U64))
     return out

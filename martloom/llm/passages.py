@@ -1,7 +1,7 @@
 """Removal of repeated passages, by hashes of word windows.
 
-Every word starts a window of `depth` words, and windows are equal when their 64-bit hashes are: no suffix tree is built, no
-suffixes are sorted, and equality is not confirmed on the words. The smallest document that holds a window keeps its words;
+Every word starts a window of `depth` words, and windows are equal when their 64-bit hashes are (keyed cryptographic hashes of the
+words, mixed one after another): no suffix tree is built, no suffixes are sorted, and equality is not confirmed on the words. The smallest document that holds a window keeps its words;
 the others lose them. Neighbouring windows that are marked together make the maximal repeats, which are returned as spans.
 
 Counting passes over fixed slots of 1-, 2-, 4-, ... word prefixes show how many windows share a prefix; a window goes to the bin
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martloom.llm.common import (U64, WORD_BASE, mix, pieces, prefix_sums, stretch, table, text_bytes, word_hashes, words)
+from martloom.llm.common import U64, free_names, mix, pieces, run_keys, table, text_bytes, word_keys, words
 from martloom.llm.places import (NO_ID, QUESTION, answered, chunk_name, covered, inflate, keyed, marked_spans,
                                  question_batch, question_rows, with_spans)
 
@@ -40,20 +40,20 @@ def levels(depth: int) -> list[int]:
 
 
 def suffixes(texts: pa.Array, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash sums of all words, first word of each text, and the words that start a whole window."""
+    """Keys of all words, first word of each text, and the words that start a whole window."""
     data, offsets = text_bytes(texts)
     starts, ends, first = words(data, offsets)
-    sums = prefix_sums(word_hashes(data, starts, ends), WORD_BASE)
+    keys = word_keys(data, starts, ends)
     whole = np.ones(len(starts), bool)
     edge = np.zeros(len(starts) + 1, np.int64)
     np.add.at(edge, np.maximum(first[1:] - depth + 1, first[:-1]), 1)
     np.add.at(edge, first[1:], -1)
     whole = np.cumsum(edge)[:-1] == 0
-    return sums, first, np.flatnonzero(whole)
+    return keys, first, np.flatnonzero(whole)
 
 
-def prefix(sums: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
-    return mix(stretch(sums, at, at + length, WORD_BASE))
+def prefix(keys: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    return run_keys(keys, at, length)
 
 
 def full_slots(texts: DataFrame, depth: int, slots: int) -> list[np.ndarray]:
@@ -61,9 +61,9 @@ def full_slots(texts: DataFrame, depth: int, slots: int) -> list[np.ndarray]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(levels(depth)), slots), np.int64)
         for part in pieces(batches, "text", PIECE_BYTES):
-            sums, _, at = suffixes(part.column("text"), depth)
+            keys, _, at = suffixes(part.column("text"), depth)
             for i, p in enumerate(levels(depth)[:-1]):
-                total[i] += np.bincount((prefix(sums, at, p) % U64(slots)).astype(np.int64), minlength=slots)
+                total[i] += np.bincount((prefix(keys, at, p) % U64(slots)).astype(np.int64), minlength=slots)
         level, slot = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(level.astype(np.int32)), pa.array(slot.astype(np.int64)),
                                           pa.array(total[level, slot])], ["level", "slot", "n"])
@@ -75,12 +75,12 @@ def full_slots(texts: DataFrame, depth: int, slots: int) -> list[np.ndarray]:
     return out
 
 
-def bins_of(sums: np.ndarray, at: np.ndarray, depth: int, full: list[np.ndarray], bins: int) -> np.ndarray:
+def bins_of(keys: np.ndarray, at: np.ndarray, depth: int, full: list[np.ndarray], bins: int) -> np.ndarray:
     """The bin of every suffix: that of its group, the shortest prefix whose slot is not full."""
     out = np.zeros(len(at), np.int64)
     left = np.arange(len(at))
     for i, p in enumerate(levels(depth)):
-        slot = (prefix(sums, at[left], p) % U64(len(full[i]))).astype(np.int64)
+        slot = (prefix(keys, at[left], p) % U64(len(full[i]))).astype(np.int64)
         fits = ~full[i][slot] if p < depth else np.ones(len(left), bool)
         group = mix(slot[fits].astype(U64) + U64(i * len(full[i])))
         out[left[fits]] = (group % U64(bins)).astype(np.int64)
@@ -100,11 +100,11 @@ def repeats(texts: DataFrame, depth: int) -> DataFrame:
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         full, held, n_words, n = shared.value, [], 0, 0
         for part in pieces(batches, "text", PIECE_BYTES):
-            sums, first, at = suffixes(part.column("text"), depth)
+            words_, first, at = suffixes(part.column("text"), depth)
             ids = part.column("id").fill_null(NO_ID).to_numpy(zero_copy_only=False)
-            held.append((prefix(sums, at, depth), bins_of(sums, at, depth, full, bins).astype(np.uint32),
+            held.append((prefix(words_, at, depth), bins_of(words_, at, depth, full, bins).astype(np.uint32),
                          (at + n_words).astype(np.uint32), first[:-1] + n_words, ids, part.column("key").to_numpy()))
-            n_words += len(sums) - 1
+            n_words += len(words_)
             if n_words >= CHUNK_WORDS:
                 yield settle(held, n)
                 n_words, n = 0, n + 1
@@ -163,25 +163,26 @@ def without_repeats(docs: DataFrame, depth: int = 13, *, key: str = "doc_id", te
     A text that loses nothing is unchanged. A text whose every word goes is dropped: it holds nothing of its own.
     """
     spans = repeats(keyed(docs, key, text), depth)
-    hashed = docs.withColumns({"_span_id": F.col(f"`{key}`").cast("long"),
-                               "_span_key": F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))})
-    lists = spans.groupBy(F.col("id").alias("_id"), F.col("key").alias("_key")).agg(
-        F.flatten(F.collect_list("spans")).alias("_spans"))
-    same = F.col("_span_id").eqNullSafe(F.col("_id")) & (F.col("_span_key") == F.col("_key"))
-    joined = hashed.join(lists, same, "left").select(*[F.col(f"`{c}`") for c in docs.columns], "_spans")
-    schema = T.StructType([*docs.schema.fields, T.StructField("_emptied", T.BooleanType())])
     names = docs.columns
+    own_id, own_key, id_, key_, list_, emptied_ = free_names(names, 6)
+    hashed = docs.withColumns({own_id: F.col(f"`{key}`").cast("long"),
+                               own_key: F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))})
+    lists = spans.groupBy(F.col("id").alias(id_), F.col("key").alias(key_)).agg(
+        F.flatten(F.collect_list("spans")).alias(list_))
+    same = F.col(own_id).eqNullSafe(F.col(id_)) & (F.col(own_key) == F.col(key_))
+    joined = hashed.join(lists, same, "left").select(*[F.col(f"`{c}`") for c in names], list_)
+    schema = T.StructType([*docs.schema.fields, T.StructField(emptied_, T.BooleanType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in pieces(batches, text):
             said, emptied = [], []
-            for whole, spans_ in zip(part.column(text).to_pylist(), part.column("_spans").to_pylist()):
+            for whole, spans_ in zip(part.column(text).to_pylist(), part.column(list_).to_pylist()):
                 new = cut_words(whole, spans_) if spans_ else whole
                 said.append(new)
                 emptied.append(bool(spans_) and not new.strip())
             columns = [pa.array(said, pa.string()) if c == text else part.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(emptied)], [*names, "_emptied"])
-    return joined.mapInArrow(cut, schema).filter(~F.col("_emptied")).drop("_emptied")
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(emptied)], [*names, emptied_])
+    return joined.mapInArrow(cut, schema).filter(~F.col(emptied_)).drop(emptied_)
 
 
 def cut_words(text: str, spans: list[int]) -> str:

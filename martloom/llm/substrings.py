@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm.common import TEXT_BASE, U64, mix, pieces, prefix_sums, stored, stretch, table, text_bytes
+from martloom.llm.common import U64, byte_sums, bytes_key, mix, pieces, stored, table, text_bytes
 from martloom.llm.places import (NO_ID, QUESTION, answered, chunk_name, covered, inflate, keyed, marked_spans, own_bin,
                                  pack, packed, question_batch, question_rows, text_table, unpack, with_spans)
 
@@ -57,9 +57,9 @@ def stretches(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.nd
     """context, whole, low, high of every stretch: strings starting at low..high share a speaker and a side of it."""
     if len(data) < length:
         return (np.zeros(0, U64),) * 2 + (np.zeros(0, np.int64),) * 2
-    sums = prefix_sums(data, TEXT_BASE)
+    sums = byte_sums(data)
     n = len(data) - Q + 1
-    grams = mix(stretch(sums, np.arange(n), np.arange(Q, n + Q), TEXT_BASE))
+    grams = bytes_key(sums, np.arange(n), np.arange(Q, n + Q))
     ranked = (grams & U64(0xFFFFFFFF00000000)) | np.arange(n, dtype=U64)
     speaker = (smallest(ranked, length - Q + 1) & U64(0xFFFFFFFF)).astype(np.int64)
     edge = np.zeros(len(data) + 1, np.int64)
@@ -76,9 +76,8 @@ def stretches(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.nd
     first = np.flatnonzero(new)
     low, high = inside[first], inside[np.append(first[1:], len(inside)) - 1]
     at, side = who[first], left[first]
-    context = mix(stretch(sums, np.where(side, at - half, at), np.where(side, at + Q, at + Q + half), TEXT_BASE)
-                  ^ side.astype(U64))
-    whole = mix(stretch(sums, low, high + length, TEXT_BASE) ^ ((high - low).astype(U64) << U64(40))
+    context = mix(bytes_key(sums, np.where(side, at - half, at), np.where(side, at + Q, at + Q + half)) ^ side.astype(U64))
+    whole = mix(bytes_key(sums, low, high + length) ^ ((high - low).astype(U64) << U64(40))
                 ^ ((at - low).astype(U64) << U64(20)))
     return context, whole, low, high
 
@@ -203,8 +202,8 @@ def ask_strings(texts: DataFrame, length: int, bins: int) -> DataFrame:
             for i, key, blob, asks in zip(*(batch.column(c) for c in ("id", "key", "blob", "asks"))):
                 data = np.frombuffer(inflate(blob.as_py()), np.uint8)
                 pick = np.flatnonzero(covered(len(data), asks.as_py()))
-                sums = prefix_sums(data, TEXT_BASE)
-                held.append((mix(stretch(sums, pick, pick + length, TEXT_BASE)), pick + n_bytes, np.array([n_bytes]),
+                sums = byte_sums(data)
+                held.append((bytes_key(sums, pick, pick + length), pick + n_bytes, np.array([n_bytes]),
                              np.array([NO_ID if i.as_py() is None else i.as_py()]), np.array([key.as_py()])))
                 n_bytes += len(data)
                 if n_bytes >= CHUNK_BYTES:
