@@ -32,6 +32,9 @@ from martloom.llm.common import U64, held_out, mix, pieces, table, text_bytes
 
 ORDER = 4
 UNKNOWN = "und"
+# A text is in none of the languages if it takes more bits than the costliest training text (of LEAST_BYTES bytes or more),
+# with MARGIN_BITS more for every byte, for words that training has not seen, and SLACK_BITS for the whole text.
+LEAST_BYTES, MARGIN_BITS, SLACK_BITS = 200, 3.0, 600
 COUNTS = "lang STRING, depth INT, gram BIGINT, n BIGINT"
 
 
@@ -72,13 +75,17 @@ class HashIndex:
 
 @dataclass
 class Model:
-    """Frozen statistics: per depth the known grams with log2 probabilities, and the contexts with log2 escapes."""
+    """Frozen statistics: per depth the known grams with log2 probabilities, and the contexts with log2 escapes.
+
+    `most_bits` is the bits per byte beyond which a text is in none of the languages.
+    """
 
     langs: list[str]
     grams: list[HashIndex]
     gram_bits: list[np.ndarray]
     contexts: list[HashIndex]
     escape_bits: list[np.ndarray]
+    most_bits: float = 8.0
 
 
 def grams_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -188,8 +195,12 @@ def train(
     langs = sorted(sizes)
     got = count_grams(sample, text).filter((F.col("n") >= min_count) | (F.col("depth") == 0)).toPandas()
     number = {lang: i for i, lang in enumerate(langs)}
-    return build(langs, got["depth"].to_numpy(), got["gram"].to_numpy().astype(U64),
-                 got["lang"].map(number).to_numpy(dtype=np.int64), got["n"].to_numpy())
+    model = build(langs, got["depth"].to_numpy(), got["gram"].to_numpy().astype(U64),
+                  got["lang"].map(number).to_numpy(dtype=np.int64), got["n"].to_numpy())
+    own = predict(sample.select(F.col(text).alias("text")), model, text="text", names=("_lang", "_score", "_bits"))
+    most = own.filter(F.octet_length("text") >= LEAST_BYTES).agg(F.max("_bits")).first()[0]
+    model.most_bits = most + MARGIN_BITS if most is not None else model.most_bits
+    return model
 
 
 def code_lengths(model: Model, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -245,16 +256,18 @@ def predict(
 
 
 def keep_known(docs: DataFrame, model: Model | None, *, most_bits: float | None = None) -> DataFrame:
-    """The rows of docs, with their columns, that get a language: texts with a letter.
+    """The rows of docs, with their columns, that are in a learned language.
 
-    `most_bits` also rejects texts that even the best language codes at more bits per byte. It is off by default: a clean
-    text with words, names or numbers that training has not seen can cost as much as one in another language.
+    Texts without a letter go, and texts that even the best language codes at a cost that no training text comes near: more than
+    the model's `most_bits` a byte and SLACK_BITS besides, so a short text with unseen words or names stays. `most_bits` puts a
+    hard bound in its place. Without a model nothing can be told of a language, and all texts with a letter stay.
     """
+    if model is None:
+        return docs.filter(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     scored = predict(docs, model, names=("_ppm_lang", "_ppm_score", "_ppm_bits"))
-    known = F.col("_ppm_lang") != UNKNOWN
-    if most_bits is not None:
-        known = known & (F.col("_ppm_bits") <= most_bits)
-    return scored.filter(known).select(*[F.col(f"`{c}`") for c in docs.columns])
+    bound = F.lit(model.most_bits) + SLACK_BITS / F.octet_length("text") if most_bits is None else F.lit(most_bits)
+    return scored.filter((F.col("_ppm_lang") != UNKNOWN) & (F.col("_ppm_bits") <= bound)).select(
+        *[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
