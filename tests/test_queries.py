@@ -44,6 +44,13 @@ def test_query(spark, duck, sf_dir, name):
     assert canonical(rows, df.columns) == canonical(want, names)
 
 
+@pytest.mark.parametrize("name,exchanges", [("inv_bill_brand_full", 3), ("inv_bill_brand_text", 4)])
+def test_bills_shuffle_the_lines_once(spark, sf_dir, name, exchanges):
+    """Lines to bills, bills to keys (for text pairs with a step between), and the customers of the join."""
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == exchanges
+
+
 def scan_filters(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
