@@ -1,10 +1,10 @@
 """Benchmark decontamination by template canonicalisation.
 
 Text becomes a template: capitalised words, numbers, and units beside numbers turn into typed placeholders, other words into
-lower case without punctuation; names side by side are one placeholder, a number with its unit another. Windows of `width`
-template words of all documents meet the windows of the benchmark in one hash join. Under `whole` windows of plain words (lower
-case, no punctuation, no placeholders) meet in the same join, so a copy in another case or with other blanks is found
-though its names are not.
+lower case; names side by side are one placeholder, a number with its unit another. Words are runs of letters, marks, digits and
+placeholders, so punctuation parts words as blanks do. Windows of `width` template words of all documents meet the windows of the
+benchmark in one hash join. Under `whole` windows of plain words (lower case, no placeholders) meet in the same join, so a
+copy in another case or with other blanks is found though its names are not.
 
 Hits are gathered by how an item lies over a text: at one offset, and over neighbouring offsets (stretches of twice the
 item's length that overlap by half), so that words left out or added shift nothing out of reach. The values that fill
@@ -40,7 +40,7 @@ UNITS = (
     "|weeks|week|months|month|years|year|degrees|degree|mph|kmh|m|g|l|h|s"
 )
 BLANK = r" \t\n\x0B\f\r"
-PLAIN = rf"\p{{L}}\p{{N}}{NAME}{NUMBER}{UNIT}{JOIN}{POINT}"
+BETWEEN = rf"[^\p{{L}}\p{{M}}\p{{N}}{NAME}{NUMBER}{UNIT}{JOIN}{POINT}]+"
 
 
 @dataclass(frozen=True)
@@ -51,12 +51,6 @@ class Rule:
     whole: bool = False  # True also reports what test_leaks_by_template wants kept; op2 and the pipeline ask for it
 
 
-def bare(text: Column) -> Column:
-    """Words without their punctuation; a word of punctuation alone stays a word."""
-    out = F.regexp_replace(text, rf"([{PLAIN}])[^{PLAIN}{BLANK}]+", "$1")
-    return F.regexp_replace(out, rf"[^{PLAIN}{BLANK}]+([{PLAIN}])", "$1")
-
-
 def template(text: Column) -> Column:
     """Typed words. A capitalised word is a name wherever it stands, so what is before it does not matter.
 
@@ -66,8 +60,7 @@ def template(text: Column) -> Column:
     out = F.regexp_replace(text, rf"\p{{Lu}}\p{{Ll}}+(?:[{BLANK}]+\p{{Lu}}\p{{Ll}}+)*+", NAME)
     out = F.regexp_replace(F.lower(out), r"[0-9]+(?:[.,][0-9]+)*+", NUMBER)
     unit = rf"[{BLANK}]*(?:{UNITS})(?!\p{{L}})"
-    out = F.regexp_replace(out, rf"{NUMBER}{unit}|[$€£][{BLANK}]*{NUMBER}(?:{unit})?", UNIT)
-    return bare(out)
+    return F.regexp_replace(out, rf"{NUMBER}{unit}|[$€£][{BLANK}]*{NUMBER}(?:{unit})?", UNIT)
 
 
 def valued(text: Column) -> Column:
@@ -75,20 +68,39 @@ def valued(text: Column) -> Column:
     out = F.regexp_replace(text, rf"(\p{{Lu}}\p{{Ll}}+)[{BLANK}]+(?=\p{{Lu}}\p{{Ll}})", f"$1{JOIN}")
     out = F.regexp_replace(F.lower(out), "([0-9])[.,](?=[0-9])", f"$1{POINT}")
     out = F.regexp_replace(out, rf"([0-9])[{BLANK}]*({UNITS})(?!\p{{L}})", f"$1{JOIN}$2")
-    return bare(F.regexp_replace(out, rf"([$€£])[{BLANK}]+(?=[0-9])", "$1"))
+    return F.regexp_replace(out, rf"[$€£][{BLANK}]*(?=[0-9])", JOIN)
 
 
 def split_words(text: Column) -> Column:
-    """Words at their places; leading and trailing blanks make no words."""
-    trimmed = F.trim(text, F.lit(" \t\n\x0b\f\r"))
-    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, rf"[{BLANK}]+"))
+    """Words at their places; what parts words makes none at the ends."""
+    return F.array_remove(F.split(text, BETWEEN), "")
 
 
-def window_hashes(kind: str, width: int) -> Column:
-    """Hashes of all windows of one kind (t: template words, p: plain words) and width; none in shorter texts."""
-    places = F.when(F.size(kind) >= width, F.sequence(F.lit(0), F.size(kind) - width))
-    hashed = F.transform(places, lambda i: F.xxhash64(F.lit(kind), F.lit(width), F.slice(kind, i + 1, width)))
-    return F.coalesce(hashed, F.array().cast("array<bigint>"))
+def hashed(frame: DataFrame, keep: list[str], widths: dict[str, set[int]]) -> DataFrame:
+    """keep, n_<kind> (words) and h_<kind>_<width>, the hashes of all windows, none in shorter texts.
+
+    kind: t (template words) or p (plain words). A word is hashed once; a longer window is the hash of its two parts.
+    """
+    parts: dict[str, dict[int, int]] = {}
+    for kind, asked in widths.items():
+        need, open_ = {}, set(asked)
+        while open_:
+            w = open_.pop()
+            need[w] = 1 << ((w - 1).bit_length() - 1) if w > 1 else 0  # words of the first part
+            open_ |= {need[w], w - need[w]} - set(need) if w > 1 else set()
+        parts[kind] = need | {1: 0}
+
+    def single(k: str) -> Column:
+        return F.transform(k, lambda word: F.xxhash64(F.lit(k), word)).alias(f"h_{k}_1")
+    out = frame.select(*keep, *[F.size(k).alias(f"n_{k}") for k in parts], *[single(k) for k in parts])
+
+    for w in sorted({w for need in parts.values() for w in need} - {1}):
+        def joined(k: str) -> Column:
+            first, n = parts[k][w], F.greatest(F.col(f"n_{k}") - (w - 1), F.lit(0))
+            return F.zip_with(F.slice(f"h_{k}_{first}", 1, n), F.slice(f"h_{k}_{w - first}", first + 1, n),
+                              lambda a, b: F.xxhash64(a, b)).alias(f"h_{k}_{w}")
+        out = out.select("*", *[joined(k) for k in parts if w in parts[k]])
+    return out
 
 
 def filled(text: Column) -> Column:
@@ -99,7 +111,7 @@ def read_items(benchmark: DataFrame, key: str, text: str) -> DataFrame:
     """item (a hash of the text), item_id (smallest), t (template words), o (what fills them), p (plain words)."""
     told = benchmark.filter(F.col(text).isNotNull()).groupBy(F.col(text).alias("_text")).agg(F.min(key).alias("item_id"))
     told = told.select(F.xxhash64("_text").alias("item"), "item_id", split_words(template(F.col("_text"))).alias("t"),
-                       split_words(valued(F.col("_text"))).alias("o"), split_words(bare(F.lower("_text"))).alias("p"))
+                       split_words(valued(F.col("_text"))).alias("o"), split_words(F.lower("_text")).alias("p"))
     return told.filter(F.size("p") > 0)
 
 
@@ -115,9 +127,9 @@ def item_windows(items: DataFrame, rule: Rule) -> DataFrame:
         words = F.slice("words", F.col("place") + 1, F.col("width"))
         enough = F.size(F.array_distinct(F.filter(words, lambda w: ~filled(w)))) >= rule.literals if kind == "t" else F.lit(True)
         for size in sizes or [rule.width]:
-            some = sized.filter(F.col("width") == size).select(
-                "item", F.lit(kind).alias("kind"), "width", F.col(kind).alias("words"),
-                F.posexplode(window_hashes(kind, size)).alias("place", "h")).filter(enough).drop("words")
+            some = hashed(sized.filter(F.col("width") == size).withColumn("words", F.col(kind)), ["item", "width", "words"],
+                          {kind: {size}}).select("item", F.lit(kind).alias("kind"), "width", "words", F.posexplode(
+                              f"h_{kind}_{size}").alias("place", "h")).filter(enough).drop("words")
             told = some if told is None else told.unionByName(some)
     place = F.when(F.col("kind") == "t", F.col("place"))
     told = told.groupBy("item", "kind", "width", "h", place.alias("_own")).agg(F.min("place").alias("place")).drop("_own")
@@ -134,11 +146,12 @@ def found_windows(docs: DataFrame, asked: DataFrame, rule: Rule, text: str) -> D
     """
     specs = sorted((r[0], r[1]) for r in asked.select("kind", "width").distinct().collect())  # at most 2 * `width`
     specs = specs or [("t", rule.width)]
+    kinds = sorted({k for k, _ in specs})
     told = docs.filter(F.col(text).isNotNull()).select(F.xxhash64(F.col(text)).alias("text_key"), *[
-        split_words(bare(F.lower(F.col(text))) if k == "p" else template(F.col(text))).alias(k)
-        for k in sorted({k for k, _ in specs})])
-    told = told.select("text_key", *[F.size(k).alias(f"n_{k}") for k in sorted({k for k, _ in specs})],
-                       F.posexplode(F.concat(*[window_hashes(k, w) for k, w in specs])).alias("pos", "h"))
+        split_words(F.lower(F.col(text)) if k == "p" else template(F.col(text))).alias(k) for k in kinds])
+    told = hashed(told, ["text_key"], {kind: {w for k, w in specs if k == kind} for kind in kinds})
+    told = told.select("text_key", *[f"n_{k}" for k in kinds],
+                       F.posexplode(F.concat(*[F.col(f"h_{k}_{w}") for k, w in specs])).alias("pos", "h"))
     start, sofar = F.lit(None).cast("int"), F.lit(0)
     for k, w in specs:
         start = F.when((F.col("kind") == k) & (F.col("width") == w), sofar).otherwise(start)
