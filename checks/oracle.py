@@ -598,6 +598,7 @@ def statements() -> dict[str, str]:
                OR {" OR ".join(f"coalesce(a.{m}, 0) <> coalesce(b.{m}, 0)" for m in deltas)}""",
             {"g_window": window, "g_brand": full}),
     }
+    out["recon_drill"] = out["recon_delta"]
     for name, view in (("target_branch", _targets_view()), ("target_branch_dm", _targets_view(priority="1-URGENT")),
                        ("target_branch_nddm", _targets_view(priority="5-LOW"))):
         out[name] = f"SELECT {_BRANCH} FROM ({view})"

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from checks.roles import AS_OF, SINCE, TEST_RULES, Roles
 from martloom import schemas
 from martloom.functions import parse_number, ym
-from martloom.operators import recon, replace_keys, replace_window
+from martloom.operators import drill_down, recon, replace_keys, replace_window
 from martloom.plans import assets, dims, facts, outlets, scorecard, visits, volume
 from martloom.plans.mirror import mirror
 
@@ -155,11 +155,11 @@ def replace_derived(r: Roles) -> DataFrame:
     return replace_keys(stored, facts.manager_targets(landing), ["YM"], keys=months)
 
 
-def recon_delta(r: Roles) -> DataFrame:
+def recon_delta(r: Roles, compare=recon) -> DataFrame:
     """Stored six-month brand bills against the full recomputation."""
     window = _sale_job(volume.bills_by_brand)(r)
     full = _sale_job(volume.bills_by_brand, None)(r)
-    return recon(window, full, ["DateKey", "BranchCode"], ["NoOfBrandBill", "SoldCase", "TotalAmount"])
+    return compare(window, full, ["DateKey", "BranchCode"], ["NoOfBrandBill", "SoldCase", "TotalAmount"])
 
 
 def route_latest(r: Roles) -> DataFrame:
@@ -222,6 +222,7 @@ JOBS: dict[str, Callable[[Roles], DataFrame]] = {
     "replace_keys_exists": replace_target("FactAOPRoute", ["YM"]),
     "replace_keys_derived": replace_derived,
     "recon_delta": recon_delta,
+    "recon_drill": lambda r: recon_delta(r, drill_down),
 }
 
 COPIES = {

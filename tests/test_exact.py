@@ -6,7 +6,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from martloom.operators import recon
+from martloom.operators import drill_down, recon
 from martloom.plans.assets import cooler_sales
 from martloom.plans.common import keep_customers
 from martloom.rules import DEFAULT_RULES
@@ -39,3 +39,24 @@ def test_recon_sees_swapped_values_and_null_against_zero(spark):
     found = recon(left, right, ["k"], ["n", "m"])
     assert {r["k"] for r in found.collect()} == {"a", "b"}
     assert recon(left, left.withColumn("m", F.col("m")), ["k"], ["n", "m"]).isEmpty()
+
+
+def test_drill_down_equals_recon_and_reads_differing_months(spark, tmp_path):
+    schema = "ym string, branch string, k string, n int, m int"
+    same = [("202401", b, str(i), i, i) for b in ("x", None) for i in range(5)]
+    left = same + [("202402", "x", "1", 1, 1), ("202402", "x", "2", 2, 1), ("202402", "y", "1", 4, 4), ("202403", None, "1", 3, None),
+                   (None, "x", "1", 1, 1), ("202404", "x", "1", 1, 1)]
+    right = same + [("202402", "x", "1", 2, 1), ("202402", "x", "2", 1, 1), ("202402", "y", "1", 4, 4), ("202403", None, "1", 3, 0),
+                    (None, "x", "1", 2, 1), ("202404", "y", "1", 1, 1)]
+    sides = []
+    for name, rows in (("left", left), ("right", right)):
+        spark.createDataFrame(rows, schema).write.partitionBy("ym").parquet(str(tmp_path / name))
+        sides.append(spark.read.schema(schema).parquet(str(tmp_path / name)))
+    for levels in (["ym"], ["ym", "branch"], ["ym", "branch", "k"]):
+        found = drill_down(*sides, levels, ["n", "m"])
+        whole = recon(*sides, levels, ["n", "m"])
+        assert sorted(map(str, found.collect())) == sorted(map(str, whole.select(found.columns).collect()))
+        assert not whole.isEmpty()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ym#" in plan and "202402" in plan and "202401" not in plan and "PartitionFilters: [" in plan
+    assert drill_down(sides[0], sides[0], ["ym", "branch", "k"], ["n"]).isEmpty()
