@@ -9,7 +9,7 @@ from martloom.plans import facts
 from martloom.plans.mirror import MIRRORS, mirror
 from martloom.schemas import columns, schema
 from martloom.sinks import JdbcSink
-from martloom.sources import JdbcSource, has_rows, read_boundary, read_landing, read_sheets, read_table
+from martloom.sources import JdbcSource, has_rows, read_boundary, read_landing, read_sheets, read_table, split_landing
 
 
 def put(path, text):
@@ -33,6 +33,22 @@ def test_landing_wrong_shape_fails(spark, tmp_path):
         read_landing(spark, str(tmp_path / "s"), "DimSalesmanExcel").collect()
 
 
+def test_split_landing_loses_no_row(spark, tmp_path):
+    head = ",".join(columns("DimRouteExcel"))
+    put(tmp_path / "r" / "a.csv", head + "\nr1,T,PS,,10,R, 7 ,s,t,d,202401\nr2,T,CS,x,11,R,oops,s,t,d,never\nr3,T\n")
+    put(tmp_path / "r" / "b.csv", head + "\nr4,T,CS,x,11,R,8,s,t,d,202402,more\nr5,T,CS,x,11,R,,s,t,d,202402\n")
+    good, rejected = split_landing(spark, str(tmp_path / "r"), "DimRouteExcel")
+    assert good.columns == columns("DimRouteExcel")
+    assert {(r["Route"], r["SubBranch"], r["YM"]) for r in good.collect()} == {("r1", 7, 202401), ("r5", None, 202402)}
+    told = rejected.collect()
+    assert {(r["Column"], r["Cell"]) for r in told if r["Column"]} == {("SubBranch", "oops"), ("YM", "never")}
+    assert sorted(r["Row"] for r in told if not r["Column"]) == ["r3,T", "r4,T,CS,x,11,R,8,s,t,d,202402,more"]
+    assert all('"r2"' in r["Row"] and r["File"].endswith("a.csv") for r in told if r["Column"])
+    spark.read.csv(str(tmp_path / "r" / "a.csv"), header=True).limit(2).write.parquet(str(tmp_path / "p"))
+    good, rejected = split_landing(spark, str(tmp_path / "p"), "DimRouteExcel", "parquet")
+    assert good.count() == 1 and {r["Cell"] for r in rejected.collect()} == {"oops", "never"}
+
+
 def test_empty_guard(spark, tmp_path):
     put(tmp_path / "e" / "a.csv", "Salesman,SalesmanDesc,SalesmanDescription\n")
     assert not has_rows(read_landing(spark, str(tmp_path / "e"), "DimSalesmanExcel"))
