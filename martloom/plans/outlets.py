@@ -17,14 +17,17 @@ BRAND_COUNTS = [
     "OishiChakulzaActiveOutletVL", "WrangyerActiveOutletVL", "FSRRBActiveOutletVL",
     "ActiveBrandOutletVL", "NoOfBrandOutletVL", "ActiveBrandOutletVLExOishi",
 ]
+# Brand counts that are the sum of one mark per buyer.
+MARKS = [c for c in BRAND_COUNTS if c not in ("ActiveBrandOutletVL", "NoOfBrandOutletVL")]
+PLACE = ["_by_route", "YM", "Branch", "Route", "ShopType"]
 
 
-def plan_totals(plan: DataFrame, customer: DataFrame, group: DataFrame) -> DataFrame:
-    """Planned outlets per route and shop type; the plan of a month is the base of the next."""
+def planned_outlets(plan: DataFrame, customer: DataFrame, group: DataFrame) -> DataFrame:
+    """Planned customers, once per route and shop type; the plan of a month is the base of the next."""
     shops = customer_shops(customer.filter(F.col("HANAFlag") == 1), group).select("Customer", "ShopType")
-    return plan.select("YM", "Branch", "Route", "Customer").join(shops, "Customer", "left").groupBy(
-        next_month(F.col("YM")).alias("YM"), "Branch", "Route", "ShopType"
-    ).agg(F.count_distinct("Customer").alias("TotalOutlet"))
+    return plan.select("YM", "Branch", "Route", "Customer").join(shops, "Customer", "left").select(
+        next_month(F.col("YM")).alias("YM"), "Branch", "Route", "ShopType", "Customer"
+    ).filter(F.col("Customer").isNotNull()).distinct()
 
 
 def _sold(
@@ -53,96 +56,112 @@ def _sold(
     return sales.join(outlets.select("HANAFlag", "Customer", "ShopType").distinct(), ["HANAFlag", "Customer"])
 
 
-def _with_location(sales: DataFrame, location: DataFrame, branch: str) -> DataFrame:
-    """Drop post-mix sales of branches that do not count them."""
+def _brand_marks(rules: Rules) -> list[Column]:
+    brand, named = F.col("BrandDesc"), rules.brands
+    tests = {
+        "EstActiveOutletVL": brand == named["Est"],
+        "CrystalActiveOutletVL": brand == named["Crystal"],
+        "OishiActiveOutletVL": rules.in_family(brand),
+        "OishiGreenTeaActiveOutletVL": brand == named["OishiGreenTea"],
+        "OishiChakulzaActiveOutletVL": brand == named["OishiChakulza"],
+        "WrangyerActiveOutletVL": brand == named["Wrangyer"],
+        "FSRRBActiveOutletVL":
+            (F.col("ShopType") == rules.food_shop) & (F.col("PackagingType") == rules.returnable_packaging),
+        "ActiveBrandOutletVLExOishi": ~rules.in_family(brand),
+    }
+    return [F.max(F.coalesce(test, F.lit(False)).cast("int")).alias(name) for name, test in tests.items()]
+
+
+def buyer_marks(sales: DataFrame, route: DataFrame, location: DataFrame, rules: Rules) -> DataFrame:
+    """One row per month, buyer, shop type and place of sale: its brand marks and number of brands.
+
+    A sale counts at two places: for the plan at its own branch, for the brands at its route and the
+    route's branch (`_by_route`). Post-mix sales of branches that do not count them are dropped at that place only.
+    Rows stay dealt by month and buyer, so all groupings up to the counts of a route run where the rows are.
+    """
+    routes = route.select(F.col("Route").alias("VL"), "BranchVL")
     px = location.select(F.col("BranchCode").alias("_branch"), "PxIncludeFlag")
-    joined = sales.join(px, F.col(branch) == F.col("_branch"), "left")
-    return joined.filter(~((F.coalesce("PxIncludeFlag", F.lit(0)) == 0) & F.col("PostMix")))
-
-
-def planned_route_outlets(sales: DataFrame, plan: DataFrame, totals: DataFrame) -> DataFrame:
-    """Buying customers on their planned route, off-plan buyers, and plan totals."""
-    # A month's buyers, with the branches that sold to them (a bounded set of branch codes).
-    buyers = sales.groupBy("YM", "Customer", "ShopType").agg(
-        F.collect_set(F.struct("Branch")).alias("_sold_at")
-    ).select(F.col("YM").alias("_ym"), F.col("Customer").alias("_buyer"), "ShopType", "_sold_at")
-    planned = plan.select("YM", "Branch", "Route", "Customer").distinct()
-    met = planned.join(
-        buyers, (F.col("YM") == F.col("_ym")) & (F.col("Customer") == F.col("_buyer")), "right"
+    no = F.lit(None).cast("string")
+    places = F.array(
+        F.struct(F.lit(False).alias("_by_route"), F.col("YM").alias("_month"), F.col("Branch").cast("string").alias("_at"),
+                 no.alias("_route")),
+        # A route without a month or a branch counts under blanks, as its keys are written.
+        F.struct(F.lit(True).alias("_by_route"), F.col("_ym").alias("_month"), F.col("BranchVL").cast("string").alias("_at"),
+                 F.coalesce("VL", F.lit("")).alias("_route")),
     )
-    on_plan = F.col("Customer").isNotNull()
-    active = met.withColumn(
-        "_branch",
-        F.explode(
-            F.when(F.col("Branch").isNotNull(), F.array(F.struct("Branch"))).otherwise(F.col("_sold_at"))
-        ),
-    ).groupBy(
-        F.col("_ym").alias("YM"), F.col("_branch.Branch").alias("BranchCode"),
-        F.when(on_plan, F.col("Route")).otherwise(F.lit("")).alias("RouteCode"), "ShopType",
-    ).agg(
-        F.count_distinct("_buyer").alias("ActiveOutletVP"),
-        F.max(on_plan & F.col("Branch").isNotNull() & F.col("Route").isNotNull()).alias("_planned"),
+    placed = (
+        sales.withColumn("_ym", F.coalesce("YM", F.lit(""))).repartition("_ym", "Customer")
+        .join(routes, "VL", "left")
+        .select("_ym", "Customer", "ShopType", "BrandDesc", "PackagingType", "PostMix", F.inline(places))
+        .join(px, F.col("_at") == F.col("_branch"), "left")
+        .filter(~((F.coalesce("PxIncludeFlag", F.lit(0)) == 0) & F.col("PostMix")))
+        .withColumn("_at", F.when(F.col("_by_route"), F.coalesce("_at", F.lit(""))).otherwise(F.col("_at")))
     )
-    base = totals.select(
-        F.col("YM").alias("_t_ym"), F.col("Branch").alias("_t_branch"), F.col("Route").alias("_t_route"),
-        F.col("ShopType").alias("_t_shop"), "TotalOutlet",
-    )
-    full = active.join(
-        base,
-        F.col("_planned") & (F.col("YM") == F.col("_t_ym")) & (F.col("BranchCode") == F.col("_t_branch"))
-        & (F.col("RouteCode") == F.col("_t_route")) & (F.col("ShopType") == F.col("_t_shop")),
-        "full",
-    ).filter(F.col("ShopType").isNotNull() | F.col("_t_shop").isNotNull())
-    plan_only = F.col("_planned").isNull()
-    return full.select(
-        concat_blank(F.coalesce("YM", "_t_ym"), F.lit("01")).alias("DateKey"),
-        F.when(plan_only, F.col("_t_branch")).otherwise(F.col("BranchCode")).alias("BranchCode"),
-        F.when(plan_only, F.lit("")).otherwise(F.col("RouteCode")).alias("RouteCode"),
-        "ShopType", F.col("TotalOutlet").alias("TotalOutletVP"),
-        F.coalesce("ActiveOutletVP", F.lit(0)).alias("ActiveOutletVP"),
+    place = ["_ym", "Customer", "ShopType", "_by_route", "_month", "_at", "_route"]
+    pairs = placed.groupBy(*place, F.coalesce("BrandDesc", F.lit("")).alias("_brand")).agg(*_brand_marks(rules))
+    return pairs.groupBy(*place).agg(
+        *[F.max(n).alias(n) for n in MARKS], F.count(F.lit(1)).alias("NoOfBrandOutletVL")
     )
 
 
-def brand_route_outlets(sales: DataFrame, route: DataFrame, location: DataFrame, rules: Rules) -> DataFrame:
-    """Ten distinct counts in three plain aggregations: pair -> customer -> route.
+def outlet_counts(buyers: DataFrame, plan: DataFrame, planned: DataFrame) -> DataFrame:
+    """Counts per place: buyers on their planned routes, off-plan buyers where they bought, planned outlets, brands."""
+    routes = plan.filter(F.col("YM").isNotNull() & F.col("Customer").isNotNull()).select(
+        F.col("YM").alias("_p_ym"), F.col("Customer").alias("_p_customer"), F.col("Branch").alias("_p_branch"),
+        F.col("Route").alias("_p_route"),
+    ).repartition("_p_ym", "_p_customer").distinct()
+    met = buyers.join(
+        routes,
+        (F.col("_ym") == F.col("_p_ym")) & (F.col("Customer") == F.col("_p_customer"))
+        & ~F.col("_by_route") & F.col("_month").isNotNull(),
+        "left",
+    )
+    on_plan = F.col("_p_customer").isNotNull()
+    at = F.coalesce("_p_branch", "_at")
+    to = F.when(F.col("_by_route"), F.col("_route")).when(on_plan, F.col("_p_route")).otherwise(F.lit(""))
+    active = met.groupBy(
+        "_ym", "Customer", "_by_route", F.col("_month").alias("YM"), at.alias("Branch"), to.alias("Route"), "ShopType"
+    ).agg(
+        *[F.max(n).alias(n) for n in [*MARKS, "NoOfBrandOutletVL"]],
+        F.max(on_plan & F.col("_p_branch").isNotNull() & F.col("_p_route").isNotNull()).alias("_planned"),
+        F.lit(1).alias("_active"),
+    ).drop("_ym", "Customer")
+    base = planned.select(
+        F.lit(False).alias("_by_route"), "YM", "Branch", "Route", "ShopType", F.lit(1).alias("_base"))
+    return active.unionByName(base, allowMissingColumns=True).groupBy(*PLACE).agg(
+        *[F.sum(n).alias(n) for n in [*MARKS, "NoOfBrandOutletVL"]],
+        F.sum("_active").alias("_active"), F.sum("_base").alias("_base"), F.max("_planned").alias("_planned"),
+    )
+
 
-    A direct form would repeat every line once per distinct count.
-    """
-    routes = route.select(F.col("Route").alias("VL"), "BranchVL")
-    lines = _with_location(sales.join(routes, "VL", "left"), location, "BranchVL")
-    brand = F.col("BrandDesc")
-    named = rules.brands
-
-    def flag(test: Column, name: str) -> Column:
-        return F.max(F.coalesce(test, F.lit(False)).cast("int")).alias(name)
-
-    flags = [
-        flag(brand == named["Est"], "EstActiveOutletVL"),
-        flag(brand == named["Crystal"], "CrystalActiveOutletVL"),
-        flag(rules.in_family(brand), "OishiActiveOutletVL"),
-        flag(brand == named["OishiGreenTea"], "OishiGreenTeaActiveOutletVL"),
-        flag(brand == named["OishiChakulza"], "OishiChakulzaActiveOutletVL"),
-        flag(brand == named["Wrangyer"], "WrangyerActiveOutletVL"),
-        flag((F.col("ShopType") == rules.food_shop) & (F.col("PackagingType") == rules.returnable_packaging),
-             "FSRRBActiveOutletVL"),
-        flag(~rules.in_family(brand), "ActiveBrandOutletVLExOishi"),
-    ]
-    names = [c for c in BRAND_COUNTS if c not in ("ActiveBrandOutletVL", "NoOfBrandOutletVL")]
-    keys = [
-        concat_blank(F.col("YM"), F.lit("01")).alias("DateKey"),
-        F.coalesce(F.col("BranchVL").cast("string"), F.lit("")).alias("BranchCode"),
-        F.coalesce(F.col("VL"), F.lit("")).alias("RouteCode"),
-        F.col("ShopType"),
-    ]
-    pairs = lines.groupBy(*keys, "Customer", F.coalesce(brand, F.lit("")).alias("_brand")).agg(*flags)
-    customers = pairs.groupBy(*KEYS, "Customer").agg(
-        *[F.max(n).alias(n) for n in names], F.count(F.lit(1)).alias("NoOfBrandOutletVL")
+def _rows(counts: DataFrame) -> DataFrame:
+    """Rows of the result, one or two per place: a plan total meets only buyers on the plan, else it stands alone."""
+    key_known = F.lit(True)
+    for key in PLACE[1:]:
+        key_known = key_known & F.col(key).isNotNull()
+    bought, based = F.col("_active").isNotNull(), F.col("_base").isNotNull()
+    meets = key_known & bought & based & F.coalesce("_planned", F.lit(False))
+    by_route = F.col("_by_route")
+    day = concat_blank(F.col("YM"), F.lit("01")).alias("DateKey")
+    nothing = F.lit(None).cast("bigint")
+    brands = {**{n: F.col(n) for n in MARKS}, "ActiveBrandOutletVL": F.col("_active"),
+              "NoOfBrandOutletVL": F.col("NoOfBrandOutletVL")}
+    sold = F.struct(
+        day, F.col("Branch").alias("BranchCode"), F.col("Route").alias("RouteCode"), "ShopType",
+        F.when(meets, F.col("_base")).alias("TotalOutletVP"),
+        F.when(~by_route, F.col("_active")).alias("ActiveOutletVP"),
+        *[F.when(by_route, brands[n]).alias(n) for n in BRAND_COUNTS],
     )
-    return customers.groupBy(*KEYS).agg(
-        *[F.sum(n).alias(n) for n in names],
-        F.count(F.lit(1)).alias("ActiveBrandOutletVL"),
-        F.sum("NoOfBrandOutletVL").alias("NoOfBrandOutletVL"),
+    alone = F.struct(
+        day, F.col("Branch").alias("BranchCode"), F.lit("").alias("RouteCode"),
+        F.lit(None).cast("string").alias("ShopType"), F.col("_base").alias("TotalOutletVP"),
+        F.lit(0).cast("bigint").alias("ActiveOutletVP"), *[nothing.alias(n) for n in BRAND_COUNTS],
     )
+    shop_known = F.col("ShopType").isNotNull()
+    return counts.select(F.inline(F.array_compact(F.array(
+        F.when(bought & (by_route | shop_known), sold),
+        F.when(based & ~meets & shop_known, alone),
+    ))))
 
 
 def active_outlets(
@@ -158,15 +177,14 @@ def active_outlets(
     window = month_window(F.col("YM"), as_of, months)
     earlier = month_window(F.col("YM"), as_of, None if months is None else months + 1)
     sales = _sold(invoice.filter(window), reason, channel, config, material, customer, group, rules)
-    totals = plan_totals(plan.filter(earlier), customer, group).filter(window)
-    on_route = planned_route_outlets(
-        _with_location(sales, location, "Branch"), plan.filter(window), totals
+    counts = outlet_counts(
+        buyer_marks(sales, route, location, rules), plan.filter(window),
+        planned_outlets(plan.filter(earlier), customer, group).filter(window),
     )
-    by_brand = brand_route_outlets(sales, route, location, rules)
     whole = F.lit(True)
     for key in KEYS:
         whole = whole & F.col(key).isNotNull()
     measures = ["TotalOutletVP", "ActiveOutletVP", *BRAND_COUNTS]
-    return on_route.unionByName(by_brand, allowMissingColumns=True).groupBy(*KEYS).agg(
+    return _rows(counts).groupBy(*KEYS).agg(
         *[F.sum(F.when(whole, F.col(m))).alias(m) for m in measures]
     )

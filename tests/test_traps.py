@@ -78,6 +78,18 @@ def test_outlets(mart, months, since):
     traps.assert_same(df, duck, oracle.with_views(oracle.outlets_view(since), oracle.OUTLET_VIEWS, base={}))
 
 
+def test_outlets_move_the_sales_twice(mart, spark, tmp_path):
+    """Distinct sales, then sales by month and buyer: everything up to the counts of a place stays there."""
+    stored = {}
+    for name, frame in mart[0].items():  # as files, so that the sizes of dimensions are known
+        frame.write.parquet(str(tmp_path / name))
+        stored[name] = spark.read.parquet(str(tmp_path / name))
+    plan = outlet_job(stored, months=None)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 8
+    assert plan.count("REPARTITION_BY_COL") == 2  # sales and plan, met where they lie
+    assert "Expand" not in plan and "collect_set" not in plan
+
+
 def test_asset_counts(mart):
     t, duck = mart
     traps.assert_same(assets.asset_counts(t["f_asset_plan"]), duck, """
