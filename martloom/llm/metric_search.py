@@ -69,11 +69,13 @@ class Tree:
             self._filled += len(rows)
             order.append(rows)
             return node
-        pivots = rows[np.linspace(0, len(rows) - 1, FANOUT).astype(int)]
+        # As many children as fill their pages about half: small leftovers would cost a visit each.
+        fanout = min(FANOUT, max(2, -(-2 * len(rows) // PAGE)))
+        pivots = rows[np.linspace(0, len(rows) - 1, fanout).astype(int)]
         away = np.stack([np.linalg.norm(lifted[rows] - lifted[p], axis=1) for p in pivots])
         nearest = away.argmin(0)
         if np.bincount(nearest).max() == len(rows):  # copies of one vector: deal them evenly
-            nearest = np.arange(len(rows)) % FANOUT
+            nearest = np.arange(len(rows)) % fanout
         for i, p in enumerate(pivots):
             part = rows[nearest == i]
             if len(part):
