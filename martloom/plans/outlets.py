@@ -53,7 +53,9 @@ def _sold(
         .distinct()
     )
     outlets = outlet_customers(customer, group, rules, rules.excluded_groups)
-    return sales.join(outlets.select("HANAFlag", "Customer", "ShopType").distinct(), ["HANAFlag", "Customer"])
+    # Dealt by the key of the join, which then needs no exchange of its own.
+    shops = outlets.select("HANAFlag", "Customer", "ShopType").repartition("HANAFlag", "Customer").distinct()
+    return sales.join(shops, ["HANAFlag", "Customer"])
 
 
 def _brand_marks(rules: Rules) -> list[Column]:

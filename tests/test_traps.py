@@ -85,8 +85,9 @@ def test_outlets_move_the_sales_twice(mart, spark, tmp_path):
         frame.write.parquet(str(tmp_path / name))
         stored[name] = spark.read.parquet(str(tmp_path / name))
     plan = outlet_job(stored, months=None)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") <= 8
-    assert plan.count("REPARTITION_BY_COL") == 2  # sales and plan, met where they lie
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(moved) <= 10, moved  # customers are joined by sorting here, which takes two more than a broadcast
+    assert sum("REPARTITION_BY_COL" in line for line in moved) == 3  # customers; sales and plan, met where they lie
     assert "Expand" not in plan and "collect_set" not in plan
 
 
