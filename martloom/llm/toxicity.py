@@ -13,8 +13,10 @@
 4. A logistic curve turns it into a probability. It is fitted to a sixth of the training rows, which the model does not see.
 
 Counts, continuation counts and the curve are made of all labelled rows, as tables that grow with them. What travels to
-the tasks is of a fixed size: two hash tables of 2^`cells` and 2^(`cells` - 1) cells, each with a check byte. Where two n-grams meet
-in one cell, the more frequent one keeps it and the other one scores as its context does.
+the tasks is of a fixed size: two hash tables of 2^`cells` and 2^(`cells` - 1) cells, each with all that tells its key from others.
+Where two n-grams meet in one cell, the more frequent one keeps it, the cell is marked as shared, and the others stay in a
+table on Spark (`Scorer.rest`). A word with a symbol that only this table can settle is scored by joining with it, so scores do not
+depend on the size of the hash tables.
 
 Cases: null and empty texts and texts without a word get the score of a text that tells nothing; very long texts are read
 whole; rows with a null id have no label; of several labels of an id, toxic wins; repeated rows are scored alike and count
@@ -30,10 +32,12 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from martloom.llm.common import U64, held_out, mix, pieces, stored, table, text_bytes
+from martloom.llm.common import U64, held_out, pieces, stored, table, text_bytes
+from martloom.llm.places import deflate, inflate
 
 ORDER, BITS = 8, 6
 CHUNK = 2 << 20
@@ -83,14 +87,18 @@ def spelled(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     x, text = x[keep], text[keep]
     ends = np.flatnonzero(x == 0)
     starts = np.concatenate([[0], ends[:-1] + 1])[: len(ends)].astype(np.int64)
+    return coded(x, starts), starts, text[ends]
+
+
+def coded(x: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Code of every symbol of words that stand on end."""
     code = x.copy()
     for reach in (1, 2, 4):
         longer = code.copy()
         longer[reach:] |= code[:-reach] << (BITS * reach)
         code = longer
-    within = np.arange(len(x)) - np.repeat(starts, ends - starts + 1)
-    code &= (np.int64(1) << (BITS * (np.minimum(within, ORDER - 1) + 1))) - 1
-    return code, starts, text[ends]
+    within = np.arange(len(x)) - np.repeat(starts, np.diff(np.append(starts, len(x))))
+    return code & ((np.int64(1) << (BITS * (np.minimum(within, ORDER - 1) + 1))) - 1)
 
 
 # ---- counts and the model as tables ----
@@ -176,53 +184,80 @@ def log_ratios(counts: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
 
 # ---- the tables that tasks get ----
 
+KEY_BITS = U64(ORDER * BITS)
+
+
 def _spread(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Cell and check byte of a key; no check byte is 0, which marks an empty cell."""
-    spread = mix(keys.view(U64) + U64(1))
-    return (spread & U64((1 << bits) - 1)).astype(np.int64), ((spread >> U64(48)) % U64(255)).astype(np.uint8) + np.uint8(1)
+    """Cell of a key, and what tells it from the other keys of the cell: together a one-to-one map of 48 bits."""
+    low = (U64(1) << KEY_BITS) - U64(1)
+    x = keys.view(U64)
+    x = ((x ^ (x >> U64(25))) * U64(0xBF58476D1CE4E5B9)) & low
+    x = ((x ^ (x >> U64(23))) * U64(0x94D049BB133111EB)) & low
+    x = x ^ (x >> U64(24))
+    return (x & U64((1 << bits) - 1)).astype(np.int64), x >> U64(bits)
+
+
+HELD, SHARED = 1, 2  # marks of a cell, below the rest of its key
 
 
 @dataclass
 class Cells:
-    """A hash table of fixed size from keys to values."""
+    """A hash table of fixed size from keys to values. A shared cell has more keys than the one it holds."""
 
     bits: int
     value: np.ndarray = field(init=False)
-    check: np.ndarray = field(init=False)
+    mark: np.ndarray = field(init=False)
 
     def __post_init__(self):
-        self.value, self.check = np.zeros(1 << self.bits, np.float16), np.zeros(1 << self.bits, np.uint8)
+        self.value = np.zeros(1 << self.bits, np.float16)
+        self.mark = np.zeros(1 << self.bits, np.uint32 if ORDER * BITS - self.bits <= 30 else U64)
+
+    def __getstate__(self) -> tuple:
+        return self.bits, deflate(self.value.tobytes()), deflate(self.mark.tobytes()), self.mark.dtype
+
+    def __setstate__(self, state: tuple):
+        self.bits, value, mark, kind = state
+        self.value, self.mark = np.frombuffer(inflate(value), np.float16), np.frombuffer(inflate(mark), kind)
+
+    def look(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Value of every key, whether the cell holds the key, and whether it may be among those the cell does not hold."""
+        cell, rest = _spread(keys, self.bits)
+        mark = self.mark[cell].astype(U64)
+        seen = ((mark & U64(HELD)) > 0) & (mark >> U64(2) == rest)
+        return self.value[cell], seen, ~seen & ((mark & U64(SHARED)) > 0)
 
     def __call__(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Value of every key, and whether the key has one."""
-        cell, check = _spread(keys, self.bits)
-        return self.value[cell], self.check[cell] == check
+        """Value of every key, and whether the table holds the key."""
+        return self.look(keys)[:2]
 
 
 def cells(entries: DataFrame, bits: int) -> Cells:
     """The table of (key, value, many), put together block by block on Spark."""
     size = min(bits, BLOCK_BITS)
+    kind = Cells(bits).mark.dtype
 
     def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
-            cell, check = _spread(part["key"].to_numpy(np.int64), bits)
-            yield pd.DataFrame({"block": cell >> size, "cell": cell & ((1 << size) - 1), "check": check.astype(np.int32),
+            cell, rest = _spread(part["key"].to_numpy(np.int64), bits)
+            yield pd.DataFrame({"block": cell >> size, "cell": cell & ((1 << size) - 1), "rest": rest.astype(np.int64),
                                 "value": part["value"], "many": part["many"], "key": part["key"]})
-    rows = entries.mapInPandas(placed, "block LONG, cell LONG, `check` INT, value FLOAT, many LONG, key LONG")
+    rows = entries.mapInPandas(placed, "block LONG, cell LONG, rest LONG, value FLOAT, many LONG, key LONG")
     # One shuffle for both: rows dealt by block are dealt by block and cell.
     best = rows.repartition("block").groupBy("block", "cell").agg(
-        F.max_by(F.struct("check", "value"), F.struct("many", "key")).alias("held"))
+        F.max_by(F.struct("rest", "value"), F.struct("many", "key")).alias("held"),
+        F.when(F.count(F.lit(1)) > 1, SHARED + HELD).otherwise(HELD).alias("marks"))
 
     def packed(part: pd.DataFrame) -> pd.DataFrame:
-        value, check = np.zeros(1 << size, np.float16), np.zeros(1 << size, np.uint8)
-        value[part["cell"]], check[part["cell"]] = part["value"], part["check"]
-        return pd.DataFrame({"block": [part["block"].iloc[0]], "value": [value.tobytes()], "check": [check.tobytes()]})
-    blocks = best.select("block", "cell", "held.check", "held.value").groupBy("block").applyInPandas(
-        packed, "block LONG, value BINARY, `check` BINARY")
+        value, mark = np.zeros(1 << size, np.float16), np.zeros(1 << size, kind)
+        value[part["cell"]] = part["value"]
+        mark[part["cell"]] = (part["rest"].to_numpy(np.int64) << 2) | part["marks"].to_numpy(np.int64)
+        return pd.DataFrame({"block": [part["block"].iloc[0]], "value": [value.tobytes()], "mark": [mark.tobytes()]})
+    blocks = best.select("block", "cell", "held.rest", "held.value", "marks").groupBy("block").applyInPandas(
+        packed, "block LONG, value BINARY, mark BINARY")
     out = Cells(bits)
     for row in blocks.toLocalIterator():
         at = slice(row["block"] << size, (row["block"] + 1) << size)
-        out.value[at], out.check[at] = np.frombuffer(row["value"], np.float16), np.frombuffer(row["check"], np.uint8)
+        out.value[at], out.mark[at] = np.frombuffer(row["value"], np.float16), np.frombuffer(row["mark"], kind)
     return out
 
 
@@ -232,37 +267,122 @@ class Model:
     contexts: Cells
     mixed: float
 
+    def ratios(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Log-ratio of every symbol as far as the tables tell, and where n-gram or context may be in the rest."""
+        value, seen, gram_open = self.grams.look(code)
+        other, known, context_open = self.contexts.look(code >> BITS)
+        ratio = np.where(seen, value, np.where(known, other, np.float16(0))).astype(np.float64)
+        return ratio, gram_open, ~seen & context_open
+
+    def gains(self, ratio: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        return np.log1p(self.mixed * np.expm1(np.clip(np.add.reduceat(ratio, starts), -30, 30)))
+
     def per_word(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Difference of the log-likelihoods of every text, divided by its words; 0 without words."""
+        """Difference of the log-likelihoods of every text, divided by its words, as far as the tables tell; 0 without words."""
         code, starts, text = spelled(data, offsets)
         n = len(offsets) - 1
         if not len(code):
             return np.zeros(n)
-        value, seen = self.grams(code)
-        other, known = self.contexts(code >> BITS)
-        ratio = np.where(seen, value, np.where(known, other, np.float16(0))).astype(np.float64)
-        word = np.clip(np.add.reduceat(ratio, starts), -30, 30)
-        gain = np.log1p(self.mixed * np.expm1(word))
+        gain = self.gains(self.ratios(code)[0], starts)
         return np.bincount(text, gain, n) / np.maximum(np.bincount(text, minlength=n), 1)
 
 
+# ---- what the tables do not hold ----
+
+def _rest(grams: DataFrame, contexts: DataFrame, sent) -> DataFrame:
+    """entry (twice the key, one more for a context) and value of what the tables of the model do not hold."""
+    def left(which: str, add: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in batches:
+                key = part.column("key").to_numpy()
+                out = ~getattr(sent.value, which)(key)[1]
+                value = part.column("value").to_numpy()[out].astype(np.float16).astype(np.float32)  # as in a cell
+                yield pa.RecordBatch.from_arrays([pa.array(key[out] * 2 + add), pa.array(value)], ["entry", "value"])
+        return run
+    schema = "entry BIGINT, value FLOAT"
+    return stored(grams.select("key", "value").mapInArrow(left("grams", 0), schema).unionByName(
+        contexts.select("key", "value").mapInArrow(left("contexts", 1), schema)), "rest")
+
+
+def evidence(rows: DataFrame, kept: list[str], sent, rest: DataFrame) -> DataFrame:
+    """kept, and x: difference of the log-likelihoods of every text, divided by its words (0 without words).
+
+    The tables settle nearly all words where the texts are. A word that they leave open is looked up once, whatever the
+    number of texts that hold it, by its symbols.
+    """
+    fields = [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in kept]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, at = sent.value, TaskContext.get().partitionId() << 40
+        for part in pieces(batches, "text", CHUNK):
+            n = part.num_rows
+            code, starts, text = spelled(*text_bytes(part.column("text")))
+            gain, open_ = np.zeros(n), [None] * n
+            if len(code):
+                ratio, gram, context = model.ratios(code)
+                left = np.logical_or.reduceat(gram | context, starts)
+                gain = np.bincount(text, np.where(left, 0.0, model.gains(ratio, starts)), n)
+                symbols, ends = (code & ((1 << BITS) - 1)).astype(np.uint8), np.append(starts[1:], len(code))
+                for w in np.flatnonzero(left).tolist():
+                    open_[text[w]] = (open_[text[w]] or []) + [symbols[starts[w]: ends[w]].tobytes()]
+            yield pa.RecordBatch.from_arrays(
+                [*[part.column(c) for c in kept], pa.array(np.arange(at, at + n)), pa.array(gain),
+                 pa.array(np.bincount(text, minlength=n)), pa.array(open_, pa.list_(pa.binary()))],
+                [*kept, "_row", "_gain", "_n", "_open"])
+            at += n
+    first = stored(rows.select(*kept, "text").mapInArrow(
+        read, ", ".join([*fields, "_row BIGINT, _gain DOUBLE, _n BIGINT, _open ARRAY<BINARY>"])), "evidence")
+    words = first.select("_row", F.explode("_open").alias("word"))
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = sent.value
+        for part in pieces(batches, "word", CHUNK):
+            said = part.column("word").cast(pa.large_binary())
+            _, at, data = said.buffers()
+            at = np.frombuffer(at, np.int64)[said.offset: said.offset + len(said) + 1]
+            code = coded(np.frombuffer(data, np.uint8)[at[0]: at[-1]].astype(np.int64), at[:-1] - at[0])
+            ratio, gram, context = model.ratios(code)
+            # Sure ones of a word come as one row; an entry that nothing has is negative.
+            open_ = np.flatnonzero(gram | context)
+            sure = np.add.reduceat(np.where(gram | context, 0.0, ratio), at[:-1] - at[0])
+            word = np.searchsorted(at[:-1] - at[0], open_, "right") - 1
+            none = np.full(len(sure), -1) - np.arange(len(sure))
+            keys = [np.where(gram, code * 2, -1 - code)[open_], np.where(context, (code >> BITS) * 2 + 1, -1 - code)[open_]]
+            yield pa.RecordBatch.from_arrays(
+                [said.take(pa.array(np.append(word, np.arange(len(sure))))).cast(pa.binary()),
+                 *[pa.array(np.append(k, none)) for k in keys], pa.array(np.append(ratio[open_], sure))],
+                ["word", "gram", "context", "ratio"])
+    asked = words.select("word").distinct().mapInArrow(spell, "word BINARY, gram BIGINT, context BIGINT, ratio DOUBLE")
+    for kind in ("gram", "context"):
+        asked = asked.join(rest.select(F.col("entry").alias(kind), F.col("value").alias(f"of_{kind}")), kind, "left")
+    word = F.sum(F.coalesce("of_gram", "of_context", "ratio"))
+    gain = F.log1p(sent.value.mixed * F.expm1(F.greatest(F.least(word, F.lit(30.0)), F.lit(-30.0))))
+    gains = stored(asked.groupBy("word").agg(gain.alias("gain")), "open-words")
+    more = words.join(gains, "word").groupBy("_row").agg(F.sum("gain").alias("_more"))
+    per_word = (F.col("_gain") + F.coalesce("_more", F.lit(0.0))) / F.greatest("_n", F.lit(1))
+    closed = first.filter("_open IS NULL").withColumn("_more", F.lit(0.0)).drop("_open").unionByName(
+        first.filter("_open IS NOT NULL").drop("_open").join(more, "_row"))
+    return closed.select(*kept, per_word.alias("x"))
+
+
 @dataclass
 class Scorer:
-    """A model and the curve that makes probabilities of it; without a model every score is `share`."""
+    """A model (broadcast), what its tables do not hold, and the curve that makes probabilities; without a model every score
+    is `share`."""
 
-    model: Model | None
+    model: Broadcast | None
     slope: float = 0.0
     shift: float = 0.0
     share: float = 0.0
+    rest: DataFrame | None = None
 
-    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        if self.model is None:
-            return np.full(len(offsets) - 1, self.share)
-        return 1 / (1 + np.exp(-np.clip(self.slope * bent(self.model.per_word(data, offsets)) + self.shift, -500, 500)))
+    def probability(self, x: Column) -> Column:
+        bend = F.greatest(F.least(self.slope * bent(x) + self.shift, F.lit(500.0)), F.lit(-500.0))
+        return 1 / (1 + F.exp(-bend))
 
 
-def bent(x: np.ndarray) -> np.ndarray:
-    return np.log(np.maximum(x, 0) + 0.01)
+def bent(x: Column) -> Column:
+    return F.log(F.greatest(x, F.lit(0.0)) + 0.01)
 
 
 def curve(x: np.ndarray, positive: np.ndarray, many: np.ndarray) -> tuple[float, float]:
@@ -281,14 +401,6 @@ def curve(x: np.ndarray, positive: np.ndarray, many: np.ndarray) -> tuple[float,
     return a / width, b - a * centre / width
 
 
-def _scored(rows: DataFrame, kept: list[str], schema: str, made) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in pieces(batches, "text", CHUNK):
-            yield pa.RecordBatch.from_arrays(
-                [*[part.column(c) for c in kept], pa.array(made(*text_bytes(part.column("text"))))], [*kept, "score"])
-    return rows.select(*kept, "text").mapInArrow(run, schema)
-
-
 def train(docs: DataFrame, labels: DataFrame, rule: Rule | None = None, *, key: str = "doc_id", text: str = "text",
           label: str = "toxic") -> Scorer:
     """Learn from every labelled document."""
@@ -305,24 +417,26 @@ def train(docs: DataFrame, labels: DataFrame, rule: Rule | None = None, *, key:
         return Scorer(None, share=marked / max(labelled, 1))
     grams, contexts = log_ratios(counts, rule)
     model = Model(cells(grams, rule.cells), cells(contexts, rule.cells - 1), rule.mixed)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # once: every executor keeps a file of it
+
+    rest = _rest(grams, contexts, sent)
 
     def points(on: DataFrame) -> pd.DataFrame:
-        found = _scored(on, ["toxic"], "toxic INT, score DOUBLE", lambda d, o: bent(sent.value.per_word(d, o)))
-        return found.groupBy(F.round("score", 3).alias("x")).agg(
+        return evidence(on, ["toxic"], sent, rest).groupBy(F.round(bent(F.col("x")), 3).alias("x")).agg(
             F.sum("toxic").alias("positive"), F.count(F.lit(1)).alias("many")).toPandas().sort_values("x")
     seen = points(rows.filter("for_curve"))
     if not 0 < seen["positive"].sum() < seen["many"].sum():
         seen = points(rows)  # too few rows were set aside to hold both classes
-    return Scorer(model, *curve(*[seen[c].to_numpy(float) for c in ("x", "positive", "many")]))
+    return Scorer(sent, *curve(*[seen[c].to_numpy(float) for c in ("x", "positive", "many")]), rest=rest)
 
 
 def score(docs: DataFrame, scorer: Scorer, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key and score of every row."""
-    sent = docs.sparkSession.sparkContext.broadcast(scorer)
     rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("text"))
-    kind = rows.schema["_key"].dataType.simpleString()
-    return _scored(rows, ["_key"], f"_key {kind}, score DOUBLE", lambda d, o: sent.value(d, o)).withColumnRenamed("_key", key)
+    if scorer.model is None:
+        return rows.select(F.col("_key").alias(key), F.lit(float(scorer.share)).alias("score"))
+    found = evidence(rows, ["_key"], scorer.model, scorer.rest)
+    return found.select(F.col("_key").alias(key), scorer.probability(F.col("x")).alias("score"))
 
 
 def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -127,3 +127,18 @@ def test_full_tables_keep_the_frequent(spark, bits):
     value, seen = table_(np.arange(1, 400))
     assert seen[-1] and value[-1] == 399 % 7
     assert seen.sum() >= min(1 << bits, 300) * 0.8 and not table_(np.array([10 ** 9]))[1].all() or bits == 4
+
+
+def test_scores_do_not_depend_on_the_size_of_the_tables(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    wide, tight = (toxicity.train(docs, labels, toxicity.Rule(cells=bits)) for bits in (23, 9))
+    assert tight.rest.count() > 1000
+    want, got = ({r["doc_id"]: r["score"] for r in toxicity.score(docs, s).collect()} for s in (wide, tight))
+    assert want.keys() == got.keys() and all(math.isclose(want[d], got[d], abs_tol=1e-9) for d in want)
+
+
+def test_tables_know_their_keys_exactly():
+    keys = np.unique(np.random.default_rng(1).integers(0, 1 << 48, 200_000))
+    cell, rest = toxicity._spread(keys, 9)
+    assert len(np.unique((rest << np.uint64(9)) | cell.astype(np.uint64))) == len(keys)
