@@ -74,7 +74,13 @@ def _brand_marks(rules: Rules) -> list[Column]:
     return [F.max(F.coalesce(test, F.lit(False)).cast("int")).alias(name) for name, test in tests.items()]
 
 
-def buyer_marks(sales: DataFrame, route: DataFrame, location: DataFrame, rules: Rules) -> DataFrame:
+def _dealt(df: DataFrame, tasks: int | None, *keys: str) -> DataFrame:
+    return df.repartition(*keys) if tasks is None else df.repartition(tasks, *keys)
+
+
+def buyer_marks(
+    sales: DataFrame, route: DataFrame, location: DataFrame, rules: Rules, tasks: int | None = None
+) -> DataFrame:
     """One row per month, buyer, shop type and place of sale: its brand marks and number of brands.
 
     A sale counts at two places: for the plan at its own branch, for the brands at its route and the
@@ -92,7 +98,7 @@ def buyer_marks(sales: DataFrame, route: DataFrame, location: DataFrame, rules:
                  F.coalesce("VL", F.lit("")).alias("_route")),
     )
     placed = (
-        sales.withColumn("_ym", F.coalesce("YM", F.lit(""))).repartition("_ym", "Customer")
+        _dealt(sales.withColumn("_ym", F.coalesce("YM", F.lit(""))), tasks, "_ym", "Customer")
         .join(routes, "VL", "left")
         .select("_ym", "Customer", "ShopType", "BrandDesc", "PackagingType", "PostMix", F.inline(places))
         .join(px, F.col("_at") == F.col("_branch"), "left")
@@ -106,12 +112,12 @@ def buyer_marks(sales: DataFrame, route: DataFrame, location: DataFrame, rules:
     )
 
 
-def outlet_counts(buyers: DataFrame, plan: DataFrame, planned: DataFrame) -> DataFrame:
+def outlet_counts(buyers: DataFrame, plan: DataFrame, planned: DataFrame, tasks: int | None = None) -> DataFrame:
     """Counts per place: buyers on their planned routes, off-plan buyers where they bought, planned outlets, brands."""
-    routes = plan.filter(F.col("YM").isNotNull() & F.col("Customer").isNotNull()).select(
+    routes = _dealt(plan.filter(F.col("YM").isNotNull() & F.col("Customer").isNotNull()).select(
         F.col("YM").alias("_p_ym"), F.col("Customer").alias("_p_customer"), F.col("Branch").alias("_p_branch"),
         F.col("Route").alias("_p_route"),
-    ).repartition("_p_ym", "_p_customer").distinct()
+    ), tasks, "_p_ym", "_p_customer").distinct()
     met = buyers.join(
         routes,
         (F.col("_ym") == F.col("_p_ym")) & (F.col("Customer") == F.col("_p_customer"))
@@ -169,10 +175,13 @@ def _rows(counts: DataFrame) -> DataFrame:
 def active_outlets(
     invoice: DataFrame, plan: DataFrame, reason: DataFrame, channel: DataFrame, config: DataFrame,
     material: DataFrame, customer: DataFrame, group: DataFrame, route: DataFrame, location: DataFrame, *,
-    as_of: date | None = None, months: int | None = 0, rules: Rules = DEFAULT_RULES,
+    as_of: date | None = None, months: int | None = 0, rules: Rules = DEFAULT_RULES, tasks: int | None = None,
 ) -> DataFrame:
     """Outlet counts per month, branch, route and shop type.
 
+    The many groupings of a buyer and month share a task, and Spark gives it as much as fits its advisory size. ``tasks`` deals
+    buyers to a number of tasks that grows with the input, which bounds the memory of each.
+
     Plan totals carry no shop type of a sale; like off-plan rows they keep their key but
     a key holding a NULL shows no counts, as it would meet nothing in the final join.
     """
@@ -180,8 +189,8 @@ def active_outlets(
     earlier = month_window(F.col("YM"), as_of, None if months is None else months + 1)
     sales = _sold(invoice.filter(window), reason, channel, config, material, customer, group, rules)
     counts = outlet_counts(
-        buyer_marks(sales, route, location, rules), plan.filter(window),
-        planned_outlets(plan.filter(earlier), customer, group).filter(window),
+        buyer_marks(sales, route, location, rules, tasks), plan.filter(window),
+        planned_outlets(plan.filter(earlier), customer, group).filter(window), tasks,
     )
     whole = F.lit(True)
     for key in KEYS:
