@@ -187,8 +187,10 @@ def consistent(docs: DataFrame, items: DataFrame, placed: DataFrame, rule: Rule,
     otherwise do not count, the others do.
     """
     keys = ["g", "item_place", "place"]
+    # Stored by itself: eight bytes a text, so texts are filtered where they are and not shuffled whole.
+    wanted = stored(placed.select(F.col("g.text_key").alias("text_key")).distinct(), "placed-texts")
     texts = docs.select(F.xxhash64(F.col(text)).alias("text_key"), F.col(text).alias("_text")) \
-        .join(placed.select(F.col("g.text_key").alias("text_key")).distinct(), "text_key", "left_semi") \
+        .join(wanted, "text_key", "left_semi") \
         .dropDuplicates(["text_key"]).select("text_key", split_words(valued(F.col("_text"))).alias("said"))
     slots = F.transform("seen", lambda s: F.struct(s.item_place.alias("item_place"), s.place.alias("place"), F.transform(
         F.filter(F.sequence(F.lit(0), F.col("width") - 1), lambda i: filled(F.get("t", s.item_place + i))),

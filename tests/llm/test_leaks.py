@@ -53,3 +53,26 @@ def test_items_of_few_words(spark):
     texts = [story(37, 9) + " what is 5 plus 7 " + story(38, 9), "so 4 5 6 7 8 9 10 11 12 13 it is", "Three, tiny words",
              items[3], "What is 6 plus 7?", "4 5 6 7 8 10 9 11 12 13", "three words", story(39, 60)]
     assert found(spark, items, texts) == {0, 1, 2, 3}
+
+
+def test_texts_are_not_shuffled_to_find_the_few_that_are_read(spark, monkeypatch):
+    """The keys of the texts asked for are a table by themselves, of a size that the planner knows."""
+    items = [(i, " ".join(f"{w}{i}" for w in "the old river runs over seven green stones".split()) + f" near Town on {i} days "
+              + " ".join(f"x{i}y{j}" for j in range(20))) for i in range(40)]
+    docs = spark.createDataFrame([(i, f"start {t} end " + "filler " * 200) for i, t in items] * 2, "doc_id BIGINT, text STRING")
+    benchmark = spark.createDataFrame(items, "item_id BIGINT, text STRING")
+    plans, keep = {}, decontaminate.stored
+
+    def noted(df, what):
+        plans[what] = df._jdf.queryExecution().executedPlan().toString()
+        return keep(df, what)
+    monkeypatch.setattr(decontaminate, "stored", noted)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "5000")
+    try:
+        found = decontaminate.hits(docs, benchmark, decontaminate.Rule(whole=True))
+        assert found.count() == 40
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    semi = [line for line in plans["slots"].splitlines() if "LeftSemi" in line]
+    assert "placed-texts" in plans and len(semi) == 1 and "BroadcastHashJoin" in semi[0]
