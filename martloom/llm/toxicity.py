@@ -27,7 +27,7 @@ share of toxic rows (0 without any rows). An empty table gives an empty result;
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -200,31 +200,48 @@ def _spread(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
 HELD, SHARED = 1, 2  # marks of a cell, below the rest of its key
 
 
-@dataclass
 class Cells:
-    """A hash table of fixed size from keys to values. A shared cell has more keys than the one it holds."""
+    """A hash table of fixed size from keys to values. A shared cell has more keys than the one it holds.
 
-    bits: int
-    value: np.ndarray = field(init=False)
-    mark: np.ndarray = field(init=False)
+    The blocks of cells that hold something stay as the tasks packed them; the driver hands them on without unpacking them.
+    """
 
-    def __post_init__(self):
-        self.value = np.zeros(1 << self.bits, np.float16)
-        self.mark = np.zeros(1 << self.bits, np.uint32 if ORDER * BITS - self.bits <= 30 else U64)
+    def __init__(self, bits: int, blocks: dict[int, bytes] | None = None):
+        self.bits, self.blocks, self._open = bits, blocks or {}, None
 
     def __getstate__(self) -> tuple:
-        return self.bits, deflate(self.value.tobytes()), deflate(self.mark.tobytes()), self.mark.dtype
+        return self.bits, self.blocks
 
     def __setstate__(self, state: tuple):
-        self.bits, value, mark, kind = state
-        self.value, self.mark = np.frombuffer(inflate(value), np.float16), np.frombuffer(inflate(mark), kind)
+        self.__init__(*state)
+        self._open = self._unpacked()
+        self.blocks = {}
+
+    @property
+    def size(self) -> int:
+        """Bits of a cell's place in its block."""
+        return min(self.bits, BLOCK_BITS)
+
+    @property
+    def kind(self) -> type:
+        return np.uint32 if ORDER * BITS - self.bits <= 30 else U64
+
+    def _unpacked(self) -> tuple[np.ndarray, np.ndarray]:
+        value, mark = np.zeros(1 << self.bits, np.float16), np.zeros(1 << self.bits, self.kind)
+        for block, packed in self.blocks.items():
+            at, data = slice(block << self.size, (block + 1) << self.size), inflate(packed)
+            value[at] = np.frombuffer(data, np.float16, 1 << self.size)
+            mark[at] = np.frombuffer(data, self.kind, offset=value.itemsize << self.size)
+        return value, mark
 
     def look(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Value of every key, whether the cell holds the key, and whether it may be among those the cell does not hold."""
+        if self._open is None:
+            self._open = self._unpacked()
         cell, rest = _spread(keys, self.bits)
-        mark = self.mark[cell].astype(U64)
+        mark = self._open[1][cell].astype(U64)
         seen = ((mark & U64(HELD)) > 0) & (mark >> U64(2) == rest)
-        return self.value[cell], seen, ~seen & ((mark & U64(SHARED)) > 0)
+        return self._open[0][cell], seen, ~seen & ((mark & U64(SHARED)) > 0)
 
     def __call__(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Value of every key, and whether the table holds the key."""
@@ -233,8 +250,7 @@ class Cells:
 
 def cells(entries: DataFrame, bits: int) -> Cells:
     """The table of (key, value, many), put together block by block on Spark."""
-    size = min(bits, BLOCK_BITS)
-    kind = Cells(bits).mark.dtype
+    size, kind = Cells(bits).size, Cells(bits).kind
 
     def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
@@ -251,14 +267,10 @@ def cells(entries: DataFrame, bits: int) -> Cells:
         value, mark = np.zeros(1 << size, np.float16), np.zeros(1 << size, kind)
         value[part["cell"]] = part["value"]
         mark[part["cell"]] = (part["rest"].to_numpy(np.int64) << 2) | part["marks"].to_numpy(np.int64)
-        return pd.DataFrame({"block": [part["block"].iloc[0]], "value": [value.tobytes()], "mark": [mark.tobytes()]})
+        return pd.DataFrame({"block": [part["block"].iloc[0]], "cells": [deflate(value.tobytes() + mark.tobytes())]})
     blocks = best.select("block", "cell", "held.rest", "held.value", "marks").groupBy("block").applyInPandas(
-        packed, "block LONG, value BINARY, mark BINARY")
-    out = Cells(bits)
-    for row in blocks.toLocalIterator():
-        at = slice(row["block"] << size, (row["block"] + 1) << size)
-        out.value[at], out.mark[at] = np.frombuffer(row["value"], np.float16), np.frombuffer(row["mark"], kind)
-    return out
+        packed, "block LONG, cells BINARY")
+    return Cells(bits, {row["block"]: bytes(row["cells"]) for row in blocks.toLocalIterator()})
 
 
 @dataclass
@@ -304,11 +316,11 @@ def _rest(grams: DataFrame, contexts: DataFrame, sent) -> DataFrame:
         contexts.select("key", "value").mapInArrow(left("contexts", 1), schema)), "rest")
 
 
-def evidence(rows: DataFrame, kept: list[str], sent, rest: DataFrame) -> DataFrame:
+def evidence(rows: DataFrame, kept: list[str], sent, mixed: float, rest: DataFrame) -> DataFrame:
     """kept, and x: difference of the log-likelihoods of every text, divided by its words (0 without words).
 
     The tables settle nearly all words where the texts are. A word that they leave open is looked up once, whatever the
-    number of texts that hold it, by its symbols.
+    number of texts that hold it, by its symbols. ``mixed`` is the model's: the driver does not read what it sent.
     """
     fields = [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in kept]
 
@@ -356,7 +368,7 @@ def evidence(rows: DataFrame, kept: list[str], sent, rest: DataFrame) -> DataFra
     for kind in ("gram", "context"):
         asked = asked.join(rest.select(F.col("entry").alias(kind), F.col("value").alias(f"of_{kind}")), kind, "left")
     word = F.sum(F.coalesce("of_gram", "of_context", "ratio"))
-    gain = F.log1p(sent.value.mixed * F.expm1(F.greatest(F.least(word, F.lit(30.0)), F.lit(-30.0))))
+    gain = F.log1p(mixed * F.expm1(F.greatest(F.least(word, F.lit(30.0)), F.lit(-30.0))))
     gains = stored(asked.groupBy("word").agg(gain.alias("gain")), "open-words")
     more = words.join(gains, "word").groupBy("_row").agg(F.sum("gain").alias("_more"))
     per_word = (F.col("_gain") + F.coalesce("_more", F.lit(0.0))) / F.greatest("_n", F.lit(1))
@@ -375,6 +387,7 @@ class Scorer:
     shift: float = 0.0
     share: float = 0.0
     rest: DataFrame | None = None
+    mixed: float = 0.0
 
     def probability(self, x: Column) -> Column:
         bend = F.greatest(F.least(self.slope * bent(x) + self.shift, F.lit(500.0)), F.lit(-500.0))
@@ -422,12 +435,12 @@ def train(docs: DataFrame, labels: DataFrame, rule: Rule | None = None, *, key:
     rest = _rest(grams, contexts, sent)
 
     def points(on: DataFrame) -> pd.DataFrame:
-        return evidence(on, ["toxic"], sent, rest).groupBy(F.round(bent(F.col("x")), 3).alias("x")).agg(
+        return evidence(on, ["toxic"], sent, rule.mixed, rest).groupBy(F.round(bent(F.col("x")), 3).alias("x")).agg(
             F.sum("toxic").alias("positive"), F.count(F.lit(1)).alias("many")).toPandas().sort_values("x")
     seen = points(rows.filter("for_curve"))
     if not 0 < seen["positive"].sum() < seen["many"].sum():
         seen = points(rows)  # too few rows were set aside to hold both classes
-    return Scorer(sent, *curve(*[seen[c].to_numpy(float) for c in ("x", "positive", "many")]), rest=rest)
+    return Scorer(sent, *curve(*[seen[c].to_numpy(float) for c in ("x", "positive", "many")]), rest=rest, mixed=rule.mixed)
 
 
 def score(docs: DataFrame, scorer: Scorer, *, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -435,7 +448,7 @@ def score(docs: DataFrame, scorer: Scorer, *, key: str = "doc_id", text: str = "
     rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("text"))
     if scorer.model is None:
         return rows.select(F.col("_key").alias(key), F.lit(float(scorer.share)).alias("score"))
-    found = evidence(rows, ["_key"], scorer.model, scorer.rest)
+    found = evidence(rows, ["_key"], scorer.model, scorer.mixed, scorer.rest)
     return found.select(F.col("_key").alias(key), scorer.probability(F.col("x")).alias("score"))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import pickle
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -142,3 +143,16 @@ def test_tables_know_their_keys_exactly():
     keys = np.unique(np.random.default_rng(1).integers(0, 1 << 48, 200_000))
     cell, rest = toxicity._spread(keys, 9)
     assert len(np.unique((rest << np.uint64(9)) | cell.astype(np.uint64))) == len(keys)
+
+
+def test_the_driver_hands_on_tables_it_does_not_unpack(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    scorer = toxicity.train(docs, labels)
+    toxicity.score(docs, scorer).count()
+    assert getattr(scorer.model, "_value", None) is None  # what PySpark keeps once the driver has read a broadcast
+    rows = spark.createDataFrame([(k, float(k % 7), k) for k in range(1, 400)], "key BIGINT, value FLOAT, many BIGINT")
+    made = toxicity.cells(rows, 20)
+    assert made._open is None and sum(map(len, made.blocks.values())) < 100_000
+    sent = pickle.loads(pickle.dumps(made))
+    assert all((a == b).all() for a, b in zip(made(np.arange(500)), sent(np.arange(500))))
