@@ -23,12 +23,13 @@ def components(links: DataFrame) -> DataFrame:
         if now == before or now[0] == 0:
             break
         before = now
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = e.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.filter(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.distinct()
+        # A neighbour goes to the smallest one; the smallest one's own row is that of the id itself.
         root = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(root, "u").filter(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = stored(small.unionByName(root.select("u", F.col("m").alias("v"))).distinct(), "links")
+        hung = F.when(F.col("v") != F.col("m"), F.col("v")).otherwise(F.col("u"))
+        e = stored(large.join(root, "u").select(hung.alias("u"), F.col("m").alias("v")).distinct(), "links")
     return e.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(
         e.select(F.col("v").alias("id"), F.col("v").alias("component"))).distinct()
