@@ -51,12 +51,25 @@ def _differing(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     return both.groupBy(*keys).agg(F.sum("_rows").alias("_rows")).filter(F.col("_rows") != 0).drop("_rows")
 
 
+def digested(
+    left: DataFrame, right: DataFrame, keys: list[str], measures: list[str]
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides as narrow as a comparison needs them: keys, measures, and one hash of all shared columns of a row.
+
+    Comparing these finds what comparing the sides finds. For sides that are computed, stored so between the passes of
+    `drill_down`.
+    """
+    row = _row_hash(left, right).cast("long").alias("_digest")
+    return left.select(*keys, *measures, row), right.select(*keys, *measures, row)
+
+
 def drill_down(left: DataFrame, right: DataFrame, levels: list[str], measures: list[str]) -> DataFrame:
     """What `recon` over all of ``levels`` returns, found from coarse to fine.
 
     One sum of row hashes per group of the first level (the month) tells which groups differ, and only those go on to the
     next level. The first level becomes a literal filter: it has few values, and tables stored by it are then
     read in the differing directories alone. Deeper groups narrow by a semi join. NULL keys are groups of their own.
+    Each level reads its sides again, so sides that are computed should be stored first.
     """
     first = levels[0]
     for depth in range(1, len(levels)):
