@@ -46,8 +46,8 @@ def scorecard(
 ) -> DataFrame:
     """One row per month, branch and route with brand volumes, outlets, visits and bills.
 
-    All inputs meet in one union and one aggregation on the three keys: one exchange with
-    map-side combine in place of a distinct key spine and four joins. Bills do not create
+    All inputs meet in one union and one aggregation on the three keys: one exchange of
+    rows added up per source in place of a distinct key spine and four joins. Bills do not create
     keys. A key holding a NULL stays but shows no measures.
 
     A key sold through post-mix and other channels has two volume rows. ``parity=True``
@@ -56,9 +56,9 @@ def scorecard(
     """
     flags = channel_flags(channel, config)
     per_brand = _brand_volume(volume, flags, customer, group, rules)
-    sold_bills = _sold_to_outlets(bills, flags, customer, group, rules).select(
-        *KEYS, (F.col("NoOfBill") - F.col("NoOfBillCN")).alias("NoOfBill"),
-        (F.col("NoOfBrand") - F.col("NoOfBrandCN")).alias("NoOfBrand"), F.lit(0).alias("_spine"),
+    sold_bills = _sold_to_outlets(bills, flags, customer, group, rules).groupBy(*KEYS).agg(
+        F.sum(F.col("NoOfBill") - F.col("NoOfBillCN")).alias("NoOfBill"),
+        F.sum(F.col("NoOfBrand") - F.col("NoOfBrandCN")).alias("NoOfBrand"), F.lit(0).alias("_spine"),
     )
     shops = customer_shops(customer.filter(F.col("HANAFlag") == 1), group)
     placed = shops.filter(F.col("ShopType").isin(*rules.cooler_shops)).select(
@@ -68,7 +68,7 @@ def scorecard(
     # the same plan Spark can drop the sales and sub-type lookups behind it.
     cooler_keys = coolers.select(
         "DateKey", "BranchCode", F.coalesce("RouteCode", F.lit("")).alias("RouteCode"), "CustomerCode"
-    ).distinct().join(placed, "CustomerCode", "left_semi").select(*KEYS, F.lit(1).alias("_spine"))
+    ).distinct().join(placed, "CustomerCode", "left_semi").select(*KEYS).distinct().withColumn("_spine", F.lit(1))
     sources = [
         per_brand.withColumn("_spine", F.lit(1)),
         sold_bills,
@@ -82,6 +82,8 @@ def scorecard(
     rows = sources[0]
     for extra in sources[1:]:
         rows = rows.unionByName(extra, allowMissingColumns=True)
+    # Each source has few rows a key by now. They move as they are: combined map-side, each would carry thirty sums.
+    rows = rows.repartition(*KEYS)
 
     sold = F.col("_mix").isNotNull()
     brand = F.col("Brand")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions import month_start, ym, ym_back
@@ -29,6 +29,36 @@ def _monthly(
     return counted if months is None else counted.filter(F.col("YM") >= ym_back(as_of, months))
 
 
+def _both(
+    planned: DataFrame, actual: DataFrame, route: DataFrame, as_of: date | None, months: int | None, rules: Rules
+) -> DataFrame:
+    return _monthly(planned, route, "AssignedDate", "plan", as_of, months, rules).unionByName(
+        _monthly(actual, route, "VisitDate", "actual", as_of, months, rules)
+    )
+
+
+def _counting() -> list[Column]:
+    """Visits planned and made, none under a key that holds a NULL."""
+    whole = F.lit(True)
+    for key in _CUSTOMER_MONTH:
+        whole = whole & F.col(key).isNotNull()
+    return [F.when(whole, F.col(c)).otherwise(0) for c in ("_plan", "_actual")]
+
+
+def visit_totals(
+    planned: DataFrame, actual: DataFrame, route: DataFrame, *,
+    as_of: date | None = None, months: int | None = 2, rules: Rules = DEFAULT_RULES,
+) -> DataFrame:
+    """The visits of ``visit_calls`` per branch, route and month, without its counts of customers and its salesmen.
+
+    Nothing is told per customer, so visits are added up map-side and few rows move.
+    """
+    plan, made = _counting()
+    return _both(planned, actual, route, as_of, months, rules).groupBy(
+        "BranchCode", "RouteCode", F.concat_ws("", "YM", F.lit("01")).alias("DateKey")
+    ).agg(F.sum(plan).alias("NoOfPlanVisit"), F.sum(made).alias("NoOfActualVisit"))
+
+
 def visit_calls(
     planned: DataFrame, actual: DataFrame, route: DataFrame, *,
     as_of: date | None = None, months: int | None = 2, rules: Rules = DEFAULT_RULES,
@@ -39,17 +69,10 @@ def visit_calls(
     joined back to each side. A key holding a NULL stays in the result but counts nothing,
     as NULL keys meet nothing in a join.
     """
-    both = _monthly(planned, route, "AssignedDate", "plan", as_of, months, rules).unionByName(
-        _monthly(actual, route, "VisitDate", "actual", as_of, months, rules)
-    )
-    per_customer = both.groupBy(*_CUSTOMER_MONTH).agg(
+    per_customer = _both(planned, actual, route, as_of, months, rules).groupBy(*_CUSTOMER_MONTH).agg(
         F.sum("_plan").alias("_plan"), F.sum("_actual").alias("_actual")
     )
-    whole = F.lit(True)
-    for key in _CUSTOMER_MONTH:
-        whole = whole & F.col(key).isNotNull()
-    plan = F.when(whole, F.col("_plan")).otherwise(0)
-    made = F.when(whole, F.col("_actual")).otherwise(0)
+    plan, made = _counting()
     return per_customer.groupBy(
         "BranchCode", "RouteCode", "Salesman", F.concat_ws("", "YM", F.lit("01")).alias("DateKey")
     ).agg(

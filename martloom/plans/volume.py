@@ -22,8 +22,13 @@ BILL_SUMS = {
 
 
 def last_billing_days(invoice: DataFrame) -> DataFrame:
-    """Newest billing day of every month of the fact."""
-    return invoice.groupBy("YM").agg(F.max("DateKey").alias("LastDay")).select("LastDay")
+    """Newest billing day of every month of the fact.
+
+    Lines are counted by day first, in a hash table: the maximum of a text over the lines would sort them. A plain distinct
+    would not do, since Spark drops one below a maximum.
+    """
+    days = invoice.groupBy("YM", "DateKey").agg(F.count(F.lit(1)).alias("_lines")).filter(F.col("_lines") > 0)
+    return days.groupBy("YM").agg(F.max("DateKey").alias("LastDay")).select("LastDay")
 
 
 def volume_by_brand(
