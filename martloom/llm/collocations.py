@@ -64,7 +64,7 @@ class Chunk:
         self.n = len(self.starts)
         self.langs = [x if x is not None else "und" for x in langs]
         self.of_text = np.repeat(np.arange(len(first) - 1), np.diff(first))
-        piece = np.cumsum(_IS_END[data])[self.starts] if self.n else np.zeros(0, np.int64)
+        piece = np.searchsorted(np.flatnonzero(_IS_END[data]), self.starts)
         # True where a word and the next one stand in one piece.
         self.goes_on = (self.of_text[1:] == self.of_text[:-1]) & (piece[1:] == piece[:-1])
         letters = np.concatenate([[0], np.cumsum(ends - self.starts)]).astype(np.int64)
