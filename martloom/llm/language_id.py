@@ -193,10 +193,12 @@ def train(
         drawn = F.when(F.col("lang") == lang, here).otherwise(drawn)
     sample = known.filter(drawn)
     langs = sorted(sizes)
-    got = count_grams(sample, text).filter((F.col("n") >= min_count) | (F.col("depth") == 0)).toPandas()
-    number = {lang: i for i, lang in enumerate(langs)}
-    model = build(langs, got["depth"].to_numpy(), got["gram"].to_numpy().astype(U64),
-                  got["lang"].map(number).to_numpy(dtype=np.int64), got["n"].to_numpy())
+    got = count_grams(sample, text).filter((F.col("n") >= min_count) | (F.col("depth") == 0))
+    number = F.element_at(F.create_map(*[F.lit(x) for i, lang in enumerate(langs) for x in (lang, i)]), F.col("lang"))
+    # Columns, not rows: a row of the counts is many times its numbers on the driver.
+    got = got.select("depth", "gram", number.alias("at"), "n").toArrow()
+    depth, gram, at, n = (got.column(c).to_numpy() for c in ("depth", "gram", "at", "n"))
+    model = build(langs, depth, gram.astype(U64), at.astype(np.int64), n)
     own = predict(sample.select(F.col(text).alias("text")), model, text="text", names=("_lang", "_score", "_bits"))
     most = own.filter(F.octet_length("text") >= LEAST_BYTES).agg(F.max("_bits")).first()[0]
     model.most_bits = most + MARGIN_BITS if most is not None else model.most_bits
