@@ -36,21 +36,26 @@ def customer_copies(customer: DataFrame, rules: Rules) -> DataFrame:
 
 
 def sale_lines(
-    invoice: DataFrame, reason: DataFrame, material: DataFrame, as_of: date | None,
+    invoice: DataFrame, reason: DataFrame, material: DataFrame | None, as_of: date | None,
     months: int | None, rules: Rules, material_columns: list[str],
 ) -> DataFrame:
     """Invoice lines of the window with a counting reason and material, plus litres.
 
+    ``material=None`` says that the lines carry the columns of their material already.
+
     Only small dimensions are joined here. The customer filter is applied after the
     aggregation, so the fact crosses the network once, combined map-side, and a customer
     holding a large share of the lines never gathers them in one task.
     """
     litre = (F.col("Millilitre") / 1000).cast("decimal(18,7)")
-    products = sold_materials(material, rules).select("Material", *material_columns, litre.alias("_litre"))
+    lines = invoice.filter(month_window(F.col("YM"), as_of, months)).join(kept_reasons(reason, rules), "ReasonCode")
+    if material is None:
+        lines = sold_materials(lines, rules).withColumn("_litre", litre)
+    else:
+        products = sold_materials(material, rules).select("Material", *material_columns, litre.alias("_litre"))
+        lines = lines.join(products, "Material")
     return (
-        invoice.filter(month_window(F.col("YM"), as_of, months))
-        .join(kept_reasons(reason, rules), "ReasonCode")
-        .join(products, "Material")
+        lines
         .withColumn("SoldLitre", F.col("SoldBaseQty") * F.col("_litre"))
         .withColumn("FreeLitre", F.col("FreeBaseQty") * F.col("_litre"))
     )

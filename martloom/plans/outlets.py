@@ -31,8 +31,8 @@ def planned_outlets(plan: DataFrame, customer: DataFrame, group: DataFrame) -> D
 
 
 def _sold(
-    invoice: DataFrame, reason: DataFrame, channel: DataFrame, config: DataFrame, material: DataFrame,
-    customer: DataFrame, group: DataFrame, rules: Rules,
+    invoice: DataFrame, reason: DataFrame, channel: DataFrame, config: DataFrame, material: DataFrame | None,
+    customer: DataFrame, group: DataFrame, rules: Rules, dealt: tuple[str, ...] = (),
 ) -> DataFrame:
     """Distinct (month, customer, branch, route, flag, brand, packaging) of counting sales.
 
@@ -40,17 +40,22 @@ def _sold(
     and nothing downstream depends on how often a combination occurs.
     """
     flags = channel_flags(channel, config).filter(F.col("SalesOfficeDesc").isin(*rules.sales_offices))
-    sales = (
+    counting = (
         invoice.filter(F.col("BType") == rules.tax_bill)
         .join(reason.filter(F.col("ReasonCode") == rules.sale_reason).select("ReasonCode"), "ReasonCode")
         .join(flags.select("ChannelMarge", "PostMixFlag").distinct(), "ChannelMarge")
-        .join(sold_materials(material, rules).select("Material", "BrandDesc", "PackagingType"), "Material")
-        .select(
-            "YM", "HANAFlag", "Customer", "Branch", "VL", "BrandDesc", "PackagingType",
+    )
+    sales = (
+        sold_materials(counting, rules) if material is None
+        else counting.join(sold_materials(material, rules).select("Material", "BrandDesc", "PackagingType"), "Material")
+    )
+    sales = (
+        sales.select(
+            *dealt, "YM", "HANAFlag", "Customer", "Branch", "VL", "BrandDesc", "PackagingType",
             # Only this much of the flag is tested; NULL keeps its own meaning.
             (F.col("PostMixFlag") == rules.post_mix_flag).alias("PostMix"),
         )
-        .distinct()
+        .distinct().drop(*dealt)
     )
     outlets = outlet_customers(customer, group, rules, rules.excluded_groups)
     # Dealt by the key of the join, which then needs no exchange of its own.
@@ -174,20 +179,22 @@ def _rows(counts: DataFrame) -> DataFrame:
 
 def active_outlets(
     invoice: DataFrame, plan: DataFrame, reason: DataFrame, channel: DataFrame, config: DataFrame,
-    material: DataFrame, customer: DataFrame, group: DataFrame, route: DataFrame, location: DataFrame, *,
+    material: DataFrame | None, customer: DataFrame, group: DataFrame, route: DataFrame, location: DataFrame, *,
     as_of: date | None = None, months: int | None = 0, rules: Rules = DEFAULT_RULES, tasks: int | None = None,
+    dealt: tuple[str, ...] = (),
 ) -> DataFrame:
     """Outlet counts per month, branch, route and shop type.
 
     The many groupings of a buyer and month share a task, and Spark gives it as much as fits its advisory size. ``tasks`` deals
-    buyers to a number of tasks that grows with the input, which bounds the memory of each.
+    buyers to a number of tasks that grows with the input, which bounds the memory of each. ``material=None`` says that the lines
+    carry the columns of their material; ``dealt`` names columns that follow from month and customer, by which the lines are dealt.
 
     Plan totals carry no shop type of a sale; like off-plan rows they keep their key but
     a key holding a NULL shows no counts, as it would meet nothing in the final join.
     """
     window = month_window(F.col("YM"), as_of, months)
     earlier = month_window(F.col("YM"), as_of, None if months is None else months + 1)
-    sales = _sold(invoice.filter(window), reason, channel, config, material, customer, group, rules)
+    sales = _sold(invoice.filter(window), reason, channel, config, material, customer, group, rules, dealt)
     counts = outlet_counts(
         buyer_marks(sales, route, location, rules, tasks), plan.filter(window),
         planned_outlets(plan.filter(earlier), customer, group).filter(window), tasks,

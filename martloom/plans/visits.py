@@ -13,6 +13,12 @@ from martloom.rules import DEFAULT_RULES, Rules
 _CUSTOMER_MONTH = ["BranchCode", "RouteCode", "Salesman", "YM", "Customer"]
 
 
+def _lagged(visits: DataFrame, route: DataFrame, day: str, rules: Rules) -> tuple[DataFrame, Column]:
+    """Visit rows with the sales type of their route, and the month they count for."""
+    lag = F.when(F.col("SalesType1") == rules.next_day_sales_type, 1).otherwise(0)
+    return visits.join(route.select("Route", "SalesType1"), "Route", "left"), ym(F.date_add(F.to_date(day), lag))
+
+
 def _monthly(
     visits: DataFrame, route: DataFrame, day: str, name: str, as_of: date | None, months: int | None, rules: Rules
 ) -> DataFrame:
@@ -20,10 +26,9 @@ def _monthly(
     if months is not None:
         # Implied by the month filter below, and simple enough to reach the scan.
         visits = visits.filter(F.col(day) >= F.date_sub(month_start(as_of, months), 1))
-    lag = F.when(F.col("SalesType1") == rules.next_day_sales_type, 1).otherwise(0)
-    counted = visits.join(route.select("Route", "SalesType1"), "Route", "left").select(
-        F.col("Branch").alias("BranchCode"), F.col("Route").alias("RouteCode"), "Salesman",
-        ym(F.date_add(F.to_date(day), lag)).alias("YM"), "Customer",
+    typed, month = _lagged(visits, route, day, rules)
+    counted = typed.select(
+        F.col("Branch").alias("BranchCode"), F.col("Route").alias("RouteCode"), "Salesman", month.alias("YM"), "Customer",
         F.lit(1 if name == "plan" else 0).alias("_plan"), F.lit(0 if name == "plan" else 1).alias("_actual"),
     )
     return counted if months is None else counted.filter(F.col("YM") >= ym_back(as_of, months))
@@ -53,8 +58,21 @@ def visit_totals(
 
     Nothing is told per customer, so visits are added up map-side and few rows move.
     """
+    return _added_up(_both(planned, actual, route, as_of, months, rules))
+
+
+def marked_totals(visits: DataFrame, route: DataFrame, *, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """``visit_totals`` of all months, of planned and actual visits in one frame: their day is `_day`, `_plan` and `_actual` mark them."""
+    typed, month = _lagged(visits, route, "_day", rules)
+    return _added_up(typed.select(
+        F.col("Branch").alias("BranchCode"), F.col("Route").alias("RouteCode"), "Salesman", month.alias("YM"), "Customer",
+        "_plan", "_actual",
+    ))
+
+
+def _added_up(visits: DataFrame) -> DataFrame:
     plan, made = _counting()
-    return _both(planned, actual, route, as_of, months, rules).groupBy(
+    return visits.groupBy(
         "BranchCode", "RouteCode", F.concat_ws("", "YM", F.lit("01")).alias("DateKey")
     ).agg(F.sum(plan).alias("NoOfPlanVisit"), F.sum(made).alias("NoOfActualVisit"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.plans.common import invoice_keys, keep_customers, sale_lines
@@ -64,6 +64,56 @@ def volume_by_brand(
     return keep_customers(totals, customer, rules, keys, [], list(measures))
 
 
+def volume_totals(
+    invoice: DataFrame, reason: DataFrame, customer: DataFrame, material: DataFrame | None, *,
+    as_of: date | None = None, months: int | None = 5, rules: Rules = DEFAULT_RULES,
+    last_days: DataFrame | None = None, dealt: tuple[str, ...] = (),
+) -> DataFrame:
+    """Five measures of ``volume_by_brand`` per month, branch, route, channel, customer and brand bucket.
+
+    ``dealt`` names columns that follow from month and customer and by which the lines are dealt: they are then added up in place.
+    """
+    days = last_billing_days(invoice) if last_days is None else last_days
+    lines = sale_lines(invoice, reason, material, as_of, months, rules, ["BrandDesc"]).join(
+        days, F.col("DateKey") == F.col("LastDay"), "left")
+    measures = {
+        "SoldCase": F.col("SoldCase"),
+        "SoldCaseLastDay": F.when(F.col("LastDay").isNotNull(), F.col("SoldCase")).otherwise(F.lit(0)),
+        "SoldLitre": F.col("SoldLitre"), "NetItemAmt": F.col("NetItemAmt"), "TotalAmount": F.col("TotalAmt"),
+    }
+    keys = ["HANAFlag", "DateKey", "BranchCode", "RouteCode", "ChannelSalesOffice", "CustomerCode"]
+    totals = lines.groupBy(
+        *dealt, *_named(keys), rules.bucket(F.col("BrandDesc")).alias("Brand")
+    ).agg(*[F.sum(expr).alias(name) for name, expr in measures.items()])
+    return keep_customers(totals, customer, rules, [*keys, "Brand"], [], list(measures))
+
+
+def _named(keys: list[str]) -> list[Column]:
+    return [expr for name, expr in zip(KEYS, invoice_keys(), strict=True) if name in keys]
+
+
+def bill_totals(
+    invoice: DataFrame, reason: DataFrame, customer: DataFrame, material: DataFrame | None, *,
+    as_of: date | None = None, months: int | None = 5, rules: Rules = DEFAULT_RULES, dealt: tuple[str, ...] = (),
+) -> DataFrame:
+    """The four counts of ``bills`` per month, branch, route, channel and customer.
+
+    Lines become pairs, pairs bills and bills counts; where the lines are dealt by ``dealt`` (see ``volume_totals``) all three in place.
+    """
+    lines = sale_lines(invoice, reason, material, as_of, months, rules, ["BasicMaterial"])
+    document = F.col("Documents")
+    pairs = lines.groupBy(
+        *dealt, *invoice_keys(), F.coalesce(document, F.lit("")).alias("_bill"), F.coalesce("BasicMaterial", F.lit("")).alias("_item")
+    ).agg(F.max(document.isNotNull().cast("int")).alias("_billed"))
+    sold = pairs.groupBy(*dealt, *KEYS, "_bill").agg(
+        F.max("_billed").alias("NoOfBill"), F.count(F.lit(1)).alias("NoOfBrand"))
+    split = sold.select(*dealt, *KEYS, *_split_by_bill_type("NoOfBill", rules), *_split_by_bill_type("NoOfBrand", rules))
+    keys = ["HANAFlag", "DateKey", "BranchCode", "RouteCode", "ChannelSalesOffice", "CustomerCode"]
+    counts = ["NoOfBill", "NoOfBillCN", "NoOfBrand", "NoOfBrandCN"]
+    totals = split.groupBy(*dealt, *keys).agg(*[F.sum(c).alias(c) for c in counts])
+    return keep_customers(totals, customer, rules, keys, counts, [])
+
+
 def _split_by_bill_type(column: str, rules: Rules):
     """A count under its own name for tax invoices and under ``...CN`` for all other types."""
     bill = F.col("BillType")
