@@ -22,12 +22,22 @@ MARKS = [c for c in BRAND_COUNTS if c not in ("ActiveBrandOutletVL", "NoOfBrandO
 PLACE = ["_by_route", "YM", "Branch", "Route", "ShopType"]
 
 
-def planned_outlets(plan: DataFrame, customer: DataFrame, group: DataFrame) -> DataFrame:
-    """Planned customers, once per route and shop type; the plan of a month is the base of the next."""
-    shops = customer_shops(customer.filter(F.col("HANAFlag") == 1), group).select("Customer", "ShopType")
-    return plan.select("YM", "Branch", "Route", "Customer").join(shops, "Customer", "left").select(
-        next_month(F.col("YM")).alias("YM"), "Branch", "Route", "ShopType", "Customer"
-    ).filter(F.col("Customer").isNotNull()).distinct()
+def planned_outlets(
+    plan: DataFrame, customer: DataFrame, group: DataFrame, shops: str | None = None, dealt: tuple[str, ...] = ()
+) -> DataFrame:
+    """Planned customers, once per route and shop type; the plan of a month is the base of the next.
+
+    ``shops`` names a column of the plan that lists the shop types of its customer, which then need no lookup; ``dealt`` columns that
+    follow from month and route and by which the plan is dealt.
+    """
+    if shops is None:
+        types = customer_shops(customer.filter(F.col("HANAFlag") == 1), group).select("Customer", "ShopType")
+        typed = plan.select(*dealt, "YM", "Branch", "Route", "Customer").join(types, "Customer", "left")
+    else:
+        typed = plan.select(*dealt, "YM", "Branch", "Route", "Customer", F.explode(shops).alias("ShopType"))
+    return typed.select(
+        *dealt, next_month(F.col("YM")).alias("YM"), "Branch", "Route", "ShopType", "Customer"
+    ).filter(F.col("Customer").isNotNull()).distinct().drop(*dealt)
 
 
 def _sold(
@@ -181,13 +191,15 @@ def active_outlets(
     invoice: DataFrame, plan: DataFrame, reason: DataFrame, channel: DataFrame, config: DataFrame,
     material: DataFrame | None, customer: DataFrame, group: DataFrame, route: DataFrame, location: DataFrame, *,
     as_of: date | None = None, months: int | None = 0, rules: Rules = DEFAULT_RULES, tasks: int | None = None,
-    dealt: tuple[str, ...] = (),
+    dealt: tuple[str, ...] = (), plan_dealt: tuple[str, ...] = (), shops: str | None = None, buys: str | None = None,
 ) -> DataFrame:
     """Outlet counts per month, branch, route and shop type.
 
     The many groupings of a buyer and month share a task, and Spark gives it as much as fits its advisory size. ``tasks`` deals
     buyers to a number of tasks that grows with the input, which bounds the memory of each. ``material=None`` says that the lines
-    carry the columns of their material; ``dealt`` names columns that follow from month and customer, by which the lines are dealt.
+    carry the columns of their material; ``dealt`` names columns that follow from month, route and customer, by which the lines are
+    dealt, ``plan_dealt`` such of the plan. ``shops`` names a column of the plan that lists the shop types of its customer, ``buys``
+    one that is true for every outlet: the others buy nothing, so no buyer meets their routes.
 
     Plan totals carry no shop type of a sale; like off-plan rows they keep their key but
     a key holding a NULL shows no counts, as it would meet nothing in the final join.
@@ -195,9 +207,10 @@ def active_outlets(
     window = month_window(F.col("YM"), as_of, months)
     earlier = month_window(F.col("YM"), as_of, None if months is None else months + 1)
     sales = _sold(invoice.filter(window), reason, channel, config, material, customer, group, rules, dealt)
+    met = plan.filter(window)
     counts = outlet_counts(
-        buyer_marks(sales, route, location, rules, tasks), plan.filter(window),
-        planned_outlets(plan.filter(earlier), customer, group).filter(window), tasks,
+        buyer_marks(sales, route, location, rules, tasks), met if buys is None else met.filter(F.col(buys)),
+        planned_outlets(plan.filter(earlier), customer, group, shops, plan_dealt).filter(window), tasks,
     )
     whole = F.lit(True)
     for key in KEYS:

@@ -71,14 +71,19 @@ def volume_totals(
 ) -> DataFrame:
     """Five measures of ``volume_by_brand`` per month, branch, route, channel, customer and brand bucket.
 
-    ``dealt`` names columns that follow from month and customer and by which the lines are dealt: they are then added up in place.
+    ``dealt`` names columns that follow from month, route and customer and by which the lines are dealt: they are then added up in place.
+    ``last_days`` are distinct here and meet the lines as one row that lists them: a join by day would move the lines.
     """
-    days = last_billing_days(invoice) if last_days is None else last_days
-    lines = sale_lines(invoice, reason, material, as_of, months, rules, ["BrandDesc"]).join(
-        days, F.col("DateKey") == F.col("LastDay"), "left")
+    lines = sale_lines(invoice, reason, material, as_of, months, rules, ["BrandDesc"])
+    if last_days is None:
+        lines = lines.join(last_billing_days(invoice), F.col("DateKey") == F.col("LastDay"), "left")
+        is_last = F.col("LastDay").isNotNull()
+    else:
+        lines = lines.crossJoin(last_days.agg(F.collect_set("LastDay").alias("_last_days")))
+        is_last = F.array_contains("_last_days", F.col("DateKey"))
     measures = {
         "SoldCase": F.col("SoldCase"),
-        "SoldCaseLastDay": F.when(F.col("LastDay").isNotNull(), F.col("SoldCase")).otherwise(F.lit(0)),
+        "SoldCaseLastDay": F.when(is_last, F.col("SoldCase")).otherwise(F.lit(0)),
         "SoldLitre": F.col("SoldLitre"), "NetItemAmt": F.col("NetItemAmt"), "TotalAmount": F.col("TotalAmt"),
     }
     keys = ["HANAFlag", "DateKey", "BranchCode", "RouteCode", "ChannelSalesOffice", "CustomerCode"]
